@@ -8,12 +8,12 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
 # The default writes milliseconds and would cut times short.
-_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 def encode(row: Column) -> Column:
     """A struct as JSON text, times to the microsecond."""
-    return F.to_json(row, _TIMES)
+    return F.to_json(row, TIMES)
 
 
 def parse(text: Column, schema: StructType) -> Column:

@@ -27,12 +27,20 @@ def silver(bronze: DataFrame) -> DataFrame:
 
 
 def revenue(clean: DataFrame) -> DataFrame:
-    """Orders, revenue and mean order value per category, state and day."""
-    return clean.groupBy("category", "state", "order_date").agg(
-        F.count("order_id").alias("num_orders"),
-        F.sum("order_amount_usd").alias("total_revenue"),
-        F.avg("order_amount_usd").alias("avg_order_value"),
-    ).withColumn("_aggregated_at", F.current_timestamp())
+    """Orders, revenue and mean order value per category, state and day.
+
+    Amounts are whole cents by now and are added as such: sums of doubles would change in
+    the last digits with the order in which tasks finish."""
+    cents = F.round(F.col("order_amount_usd") * 100).cast("bigint")
+    return (
+        clean.groupBy("category", "state", "order_date")
+        .agg(F.count("order_id").alias("num_orders"), F.count("order_amount_usd").alias("_priced"),
+             F.sum(cents).alias("_cents"))
+        .select("category", "state", "order_date", "num_orders",
+                (F.col("_cents") / 100).alias("total_revenue"),
+                F.try_divide(F.col("_cents") / 100, F.col("_priced")).alias("avg_order_value"),
+                F.current_timestamp().alias("_aggregated_at"))
+    )
 
 
 def run_metrics(spark: SparkSession, run_id: str, job_id: str, started: datetime,
@@ -62,7 +70,7 @@ def compare_runs(metrics: DataFrame) -> DataFrame:
 
 def last_two(metrics: DataFrame) -> DataFrame:
     """The current and the previous run."""
-    return metrics.orderBy(F.desc("run_ts"), F.desc("run_id")).limit(2)
+    return metrics.orderBy(F.desc("run_ts"), F.desc("run_id"), F.desc("job_id")).limit(2)
 
 
 def run(spark: SparkSession, bronze: DataFrame, root: str, run_id: str, job_id: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schemas
+from strata.sources import files
 
 COMPLETE = "MAINTENANCE_TYPE_COMPLETE_RECOMPUTE"
 NO_RULES = "EXPECTATIONS_NOT_SUPPORTED"
@@ -16,6 +17,15 @@ RAW_COLUMNS = ["id", "sequence", "origin", "timestamp", "message", "level", "eve
                "maturity_level", "pipeline_id", "pipeline_name", "error"]
 
 
+def read_log(spark: SparkSession, path: str, pipeline_id: str | None = None,
+             pipeline_name: str | None = None) -> DataFrame:
+    """Fetched log entries, one JSON document per line. Entries fetched for one pipeline may
+    be tagged with its id and name."""
+    log = files.read_json(spark, path, schemas.EVENT_LOG)
+    tags = {"pipeline_id": pipeline_id, "pipeline_name": pipeline_name}
+    return log.withColumns({k: F.lit(v) for k, v in tags.items() if v is not None})
+
+
 def raw_copy(log: DataFrame) -> DataFrame:
     """The log without its bulky details."""
     return log.select(*RAW_COLUMNS)

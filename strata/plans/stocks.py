@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strata import schemas
 from strata.operators import quality
 from strata.operators.quality import Rule
+from strata.sources import files
 
 RULES = [Rule("date_is_not_null", "stock_date IS NOT NULL"),
          Rule("close_is_not_null", "close IS NOT NULL")]
@@ -19,8 +20,8 @@ SYMBOL = "2. Symbol"
 
 
 def read_payloads(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
-    return (spark.read.schema(schemas.STOCK_PAYLOAD)
-            .option("multiLine", not one_per_line).json(path))
+    """Fetched documents; as fetched, each fills a file."""
+    return files.read_json(spark, path, schemas.STOCK_PAYLOAD, one_per_line)
 
 
 def bronze(payloads: DataFrame) -> DataFrame:

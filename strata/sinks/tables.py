@@ -56,6 +56,10 @@ def create_schemas(spark: SparkSession, *names: str) -> None:
         spark.sql("CREATE SCHEMA IF NOT EXISTS IDENTIFIER(:name)", args={"name": name})
 
 
+def use_schema(spark: SparkSession, name: str) -> None:
+    spark.sql("USE SCHEMA IDENTIFIER(:name)", args={"name": name})
+
+
 def create_table(spark: SparkSession, name: str, columns: str) -> None:
     """Make an empty parquet table unless it exists; columns is a DDL column list."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) ({columns}) USING parquet",

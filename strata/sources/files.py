@@ -33,6 +33,12 @@ def read_fixture(spark: SparkSession, path: str) -> DataFrame:
     raise ValueError(f"unsupported fixture format: {suffix or path}")
 
 
+def read_json(spark: SparkSession, path: str, schema: StructType,
+              one_per_line: bool = True) -> DataFrame:
+    """JSON documents of a declared shape. One document per line lets Spark split a file."""
+    return spark.read.schema(schema).option("multiLine", not one_per_line).json(path)
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(name)
 

@@ -248,6 +248,23 @@ def messages(ids: DataFrame, now: str) -> DataFrame:
     )
 
 
+def edge_case_messages(spark: SparkSession, now: str) -> DataFrame:
+    """Four messages: a valid one, one without a time, one of unknown status and one with a
+    negative amount. The second falls at the bronze rules, the last two at the silver rules."""
+    cases = [(1, now, 100.0, "active"), (2, None, 50.0, "pending"),
+             (3, now, 75.0, "invalid_status"), (4, now, -100.0, "completed")]
+    rows = spark.createDataFrame(cases, "n INT, t STRING, amount DOUBLE, status STRING")
+    return rows.select(
+        F.concat(F.lit("client_00"), F.col("n")).alias("client_id"),
+        F.concat(F.lit("Test Client "), F.col("n")).alias("client_name"),
+        F.col("t").cast("timestamp").alias("timestamp"),
+        F.lit("test").alias("event_type"),
+        F.create_map(F.lit("test"), F.lit("data")).alias("data"),
+        "amount", "status",
+        F.create_map(F.lit("source"), F.lit("test")).alias("metadata"),
+    )
+
+
 def names(ids: DataFrame) -> DataFrame:
     i = F.col("id")
     return ids.select(draw(i, "nid", 100000).alias("id"), one_of(i, "nn", LOAD_NAMES).alias("name"))

@@ -94,12 +94,23 @@ SQL["client_silver"] = f"WITH {MSGS}, {ACCEPTED}, {SILVER} SELECT * FROM silver"
 SQL["client_silver_stream"] = SQL["client_silver"]
 
 SQL["client_gold_hourly"] = f"""WITH {MSGS}, {ACCEPTED}, {SILVER}, {HOURLY}
-SELECT * FROM hourly"""
+SELECT * REPLACE ({_round2('total_amount')} AS total_amount, round(avg_amount, 6) AS avg_amount)
+FROM hourly"""
 SQL["client_gold_hourly_stream"] = SQL["client_gold_hourly"]
 
+SQL["client_gold_closed_stream"] = f"""{SQL['client_gold_hourly']}
+WHERE window_end <= (SELECT max(event_timestamp) - INTERVAL 1 HOUR FROM silver)"""
+
 SQL["client_registry_stream"] = f"""WITH {MSGS}
 SELECT DISTINCT client_id, client_name FROM msgs"""
 
+SQL["client_registry"] = SQL["client_registry_stream"]
+SQL["one_client"] = f"""WITH {MSGS}, {ACCEPTED}
+SELECT client_id, kafka_offset, event_timestamp, amount, status FROM accepted
+WHERE client_id = 'client_001'"""
+SQL["json_paths"] = """
+SELECT event_id, regexp_extract(props, '([0-9]+)', 1) AS k, NULL::varchar AS absent FROM events"""
+
 SQL["hourly_event_metrics"] = """
 SELECT date_trunc('hour', ts) AS hour, count(*) AS event_count,
        count(DISTINCT event_id) AS unique_events, min(ts) AS first_event, max(ts) AS last_event
@@ -248,6 +259,16 @@ FLOWS = """flows AS (
   FROM events WHERE event_type IN ('click', 'error'))"""
 
 SQL["refresh_technique"] = f"WITH {REFRESHES} SELECT * FROM refreshes"
+SQL["refresh_log_files"] = SQL["refresh_technique"]
+SQL["refresh_raw_log"] = """
+SELECT ts AS timestamp, 'Flow ' || CASE WHEN event_id % 4 = 0 THEN 'has been planned.'
+         ELSE 'has been planned to be executed as ' || CASE WHEN event_id % 2 = 0
+              THEN 'COMPLETE_RECOMPUTE' ELSE 'ROW_BASED' END || '.' END AS message,
+       CASE WHEN event_type IN ('click', 'error') THEN 'flow_definition'
+            WHEN event_type = 'signup' THEN 'update_progress'
+            ELSE 'planning_information' END AS event_type,
+       'u' || (event_id // 8) AS update_id, NULL::varchar AS error
+FROM events"""
 SQL["refresh_flows"] = f"WITH {FLOWS} SELECT * FROM flows"
 SQL["refresh_with_flows"] = f"""WITH {REFRESHES}, {FLOWS}
 SELECT r.update_id, r.org_id, r.pipeline_id, r.timestamp, r.pipeline_name, r.refresh_type,
@@ -402,6 +423,10 @@ SELECT n_nationkey AS school_id, n_name AS name, 'District ' || n_regionkey AS d
 FROM nation LEFT JOIN taken ON taken.k = n_nationkey
 LEFT JOIN staff ON staff.k = n_nationkey LEFT JOIN rooms ON rooms.k = n_nationkey"""
 
+# Read from CSV, ids are text and the winner among repeated keys is chosen in text order.
+_AS_TEXT = SQL["edu_school_overview"].replace(
+    "ORDER BY student_id, educator_id", "ORDER BY student_id, cast(educator_id AS varchar)")
+SQL["edu_from_csv"] = f"SELECT * REPLACE (cast(school_id AS varchar) AS school_id) FROM ({_AS_TEXT})"
 SQL["season"] = f"SELECT {SEASON.format('o_orderdate')} AS season, count(*) AS n FROM orders GROUP BY 1"
 SQL["csv_ingest"] = "SELECT *, true AS has_source FROM customer"
 SQL["snapshot_sync"] = f"""WITH {ASSESSMENTS}, groups AS (
@@ -423,7 +448,9 @@ ORDERS = f"""clean AS (
 SQL["orders_silver"] = f"WITH {ORDERS} SELECT * FROM clean"
 SQL["orders_revenue"] = f"""WITH {ORDERS}
 SELECT category, state, order_date, count(order_id) AS num_orders,
-       sum(order_amount_usd) AS total_revenue, avg(order_amount_usd) AS avg_order_value
+       sum(cast(round(order_amount_usd * 100) AS bigint))::double / 100 AS total_revenue,
+       sum(cast(round(order_amount_usd * 100) AS bigint))::double / 100 / count(*)
+         AS avg_order_value
 FROM clean GROUP BY 1, 2, 3"""
 SQL["run_metrics"] = f"""WITH {ORDERS}
 SELECT 'run1' AS run_id, 'job1' AS job_id,
@@ -433,14 +460,17 @@ SELECT 'run1' AS run_id, 'job1' AS job_id,
        cast((SELECT count(*) FROM (SELECT DISTINCT category, state, order_date FROM clean))
             AS int) AS gold_rows,
        'success' AS status"""
-SQL["run_compare"] = f"""WITH runs AS (
+RUNS = f"""runs AS (
   SELECT o_orderpriority AS job_id, cast(year(o_orderdate) AS varchar) AS run_id,
          make_timestamp(year(o_orderdate), 1, 1, 0, 0, 0.0) AS run_ts,
          cast(count(*) AS int) AS bronze_rows,
          cast(count(*) FILTER ({STATUS} <> 'cancelled') AS int) AS silver_rows,
          cast(count(DISTINCT o_orderdate) AS int) AS gold_rows,
          cast(count(*) / 8 AS float) AS total_duration_sec
-  FROM orders GROUP BY 1, 2, 3)
+  FROM orders GROUP BY 1, 2, 3)"""
+SQL["run_last_two"] = f"""WITH {RUNS}
+SELECT *, 'success' AS status FROM runs ORDER BY run_ts DESC, run_id DESC, job_id DESC LIMIT 2"""
+SQL["run_compare"] = f"""WITH {RUNS}
 SELECT *, bronze_rows - lag(bronze_rows) OVER w AS delta_bronze,
        total_duration_sec - lag(total_duration_sec) OVER w AS delta_duration_sec
 FROM runs WINDOW w AS (PARTITION BY job_id ORDER BY run_ts, run_id)"""
@@ -485,6 +515,7 @@ TURNS = """emails AS (
 SQL["masked_open"] = f"WITH {TURNS} SELECT * FROM emails"
 SQL["masked_restricted"] = f"""WITH {TURNS}
 SELECT * REPLACE ('***' AS content) FROM emails WHERE processed = 'Y'"""
+SQL["masked_by_sql"] = SQL["masked_restricted"]
 SQL["masked_grouped"] = f"""WITH {TURNS}, grouped AS (
   SELECT email_id, customer_id, subject, content, sentiment, received_date, processed,
          sum(requested_amount) AS requested_amount FROM emails GROUP BY ALL)

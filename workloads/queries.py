@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from strata import schemas
 from strata.functions import json_text, labels
+from strata.functions.masking import register_sql_functions
 from strata.operators import conform, quality
 from strata.operators.quality import Rule
 from strata.plans import (dashboards, education, emails, messages, monitoring, orders,
@@ -102,9 +104,36 @@ def _hourly(t: Tables) -> DataFrame:
     return messages.hourly(messages.silver(bronze)).drop("gold_processed_timestamp")
 
 
+def _rounded(hourly: DataFrame) -> DataFrame:
+    """Sums of doubles depend in the last digits on the order of addition."""
+    return hourly.withColumns({"total_amount": F.round("total_amount", 2),
+                               "avg_amount": F.round("avg_amount", 6)})
+
+
 @query
 def client_gold_hourly(t: Tables) -> DataFrame:
-    return _hourly(t)
+    return _rounded(_hourly(t))
+
+
+@query
+def client_registry(t: Tables) -> DataFrame:
+    return _settled(messages.clients(mapping.bronze_messages(t.events)))
+
+
+@query
+def one_client(t: Tables) -> DataFrame:
+    """Validated bronze laid out by client; reading one client opens one folder."""
+    rows = messages.accepted(mapping.bronze_messages(t.events)).select(
+        "client_id", "kafka_offset", "event_timestamp", "amount", "status")
+    stored = sinks.overwrite_partitioned(rows, scratch_path(t.spark, "clients"), "client_id")
+    return messages.of_client(stored, "client_001")
+
+
+@query
+def json_paths(t: Tables) -> DataFrame:
+    """Values at JSON paths of a text column, present and absent."""
+    return t.events.select("event_id", json_text.path_text(F.col("props"), "$.k").alias("k"),
+                           json_text.path_text(F.col("props"), "$.a[0].b").alias("absent"))
 
 
 @query
@@ -152,7 +181,17 @@ def client_gold_hourly_stream(t: Tables) -> DataFrame:
     root = scratch_path(t.spark, "hourly")
     rows = messages.enriched(messages.accepted(messages.ingest(_raw_stream(t))))
     streams.hourly(rows, f"{root}/rows", f"{root}/log", watermark=None).awaitTermination()
-    return streams.hourly_table(t.spark, f"{root}/rows")
+    return _rounded(streams.hourly_table(t.spark, f"{root}/rows"))
+
+
+@query
+def client_gold_closed_stream(t: Tables) -> DataFrame:
+    """Append mode: only hours that the watermark has closed are written."""
+    root = scratch_path(t.spark, "closed")
+    rows = messages.enriched(messages.accepted(messages.ingest(_raw_stream(t))))
+    streams.hourly_closed(rows, f"{root}/rows", f"{root}/log").awaitTermination()
+    closed = t.spark.read.parquet(f"{root}/rows").drop("gold_processed_timestamp")
+    return _rounded(closed)
 
 
 @query
@@ -220,9 +259,12 @@ def rows_by_client(t: Tables) -> DataFrame:
 
 @query
 def layer_drop_rate(t: Tables) -> DataFrame:
+    """Silver is stored as the layer it is, so that counting it and building gold from it do
+    not each remove the duplicates again."""
     bronze = mapping.bronze_messages(t.events)
     kept = messages.silver(quality.enforce(bronze, messages.BRONZE_RULES))
-    return monitoring.layer_drop_rate(bronze, kept, messages.hourly(kept))
+    stored = sinks.overwrite_path(kept, scratch_path(t.spark, "silver"))
+    return monitoring.layer_drop_rate(bronze, stored, messages.hourly(stored))
 
 
 @query
@@ -289,6 +331,21 @@ def refresh_technique(t: Tables) -> DataFrame:
     return refresh_log.refreshes(mapping.refresh_log(t.events))
 
 
+@query
+def refresh_raw_log(t: Tables) -> DataFrame:
+    log = conform.conform(mapping.refresh_log(t.events), schemas.EVENT_LOG)
+    return refresh_log.raw_copy(log).select("timestamp", "message", "event_type",
+                                            F.col("origin.update_id").alias("update_id"), "error")
+
+
+@query
+def refresh_log_files(t: Tables) -> DataFrame:
+    """The log written as JSON documents, read back and analysed."""
+    path = scratch_path(t.spark, "event-log")
+    mapping.refresh_log(t.events).write.options(**json_text.TIMES).json(path)
+    return refresh_log.refreshes(refresh_log.read_log(t.spark, path))
+
+
 @query
 def refresh_flows(t: Tables) -> DataFrame:
     return refresh_log.flows(mapping.refresh_log(t.events))
@@ -362,6 +419,20 @@ def edu_school_overview(t: Tables) -> DataFrame:
                                      _assessments(t))
 
 
+@query
+def edu_from_csv(t: Tables) -> DataFrame:
+    """The whole job: entities as CSV files, bronze, silver, school overview."""
+    root = scratch_path(t.spark, "education")
+    sources = {"schools": mapping.schools, "educators": mapping.educators,
+               "classrooms": mapping.classrooms, "students": mapping.students,
+               "assessments": mapping.assessments}
+    for name, build in sources.items():
+        rows = conform.conform(build(t), education.ENTITIES[name].schema)
+        rows.write.option("header", True).csv(f"{root}/{name}.csv")
+    bronze = {name: education.bronze(t.spark, root, name) for name in sources}
+    return education.build(bronze)["school_performance_overview"]
+
+
 @query
 def season(t: Tables) -> DataFrame:
     return t.orders.groupBy(labels.season(F.col("o_orderdate")).alias("season")).agg(
@@ -411,6 +482,11 @@ def run_compare(t: Tables) -> DataFrame:
     return orders.compare_runs(mapping.yearly_runs(t))
 
 
+@query
+def run_last_two(t: Tables) -> DataFrame:
+    return orders.last_two(mapping.yearly_runs(t))
+
+
 @query
 def evolving_append(t: Tables) -> DataFrame:
     """The order table appended twice, the second time with one more column."""
@@ -462,6 +538,16 @@ def masked_restricted(t: Tables) -> DataFrame:
     return small_tables.masked_emails(mapping.turn_emails(t), ["no_content_group"])
 
 
+@query
+def masked_by_sql(t: Tables) -> DataFrame:
+    """The same policy through SQL functions, for a reader of the restricted group."""
+    register_sql_functions(t.spark, restricted=True)
+    mapping.turn_emails(t).createOrReplaceTempView("emails_to_mask")
+    return t.spark.sql("""SELECT email_id, customer_id, subject,
+        mask_content(content) AS content, sentiment, received_date, requested_amount, processed
+        FROM emails_to_mask WHERE unprocessed_filter(processed)""")
+
+
 @query
 def masked_open(t: Tables) -> DataFrame:
     return small_tables.masked_emails(mapping.turn_emails(t), ["analysts"])
