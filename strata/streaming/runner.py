@@ -29,11 +29,12 @@ def to_files(df: DataFrame, path: str, checkpoint: str, continuous: bool = False
 
 
 def each_batch(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
-               mode: str = "append", continuous: bool = False) -> StreamingQuery:
+               mode: str = "append", continuous: bool = False,
+               interval: str = "1 minute") -> StreamingQuery:
     """Hand every micro-batch to write(batch, batch_id)."""
     return (
         df.writeStream.foreachBatch(write).outputMode(mode)
-        .option("checkpointLocation", checkpoint).trigger(**trigger(continuous)).start()
+        .option("checkpointLocation", checkpoint).trigger(**trigger(continuous, interval)).start()
     )
 
 

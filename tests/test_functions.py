@@ -1,0 +1,106 @@
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.functions import json_text, labels, masking
+from strata.plans.messages import parsed
+from strata.plans.small_tables import EMAIL_POLICY
+
+from conftest import rows
+
+
+@pytest.mark.parametrize("size, text", [
+    (None, "-"), (0, "-"), (1, "1 B"), (1023, "1023 B"), (1024, "1.0 KB"), (1536, "1.5 KB"),
+    (1024 ** 2 - 1, "1024.0 KB"), (1024 ** 2, "1.0 MB"), (123456789, "117.74 MB"),
+    (1024 ** 3, "1.0 GB"), (5 * 1024 ** 3 // 2, "2.5 GB"),
+])
+def test_size_display(spark, size, text):
+    df = spark.createDataFrame([(size,)], "size BIGINT")
+    assert df.select(labels.size_display(F.col("size"))).first()[0] == text
+
+
+def test_bands_send_null_to_the_last_label(spark):
+    df = spark.createDataFrame([(None,), (99.99,), (100.0,), (999.99,), (1000.0,)], "v DOUBLE")
+    got = [r[0] for r in df.select(labels.amount_category(F.col("v"))).collect()]
+    assert got == ["large", "small", "medium", "medium", "large"]
+    df = spark.createDataFrame([(None,), (32.9,), (33.0,), (66.0,)], "v DOUBLE")
+    got = [r[0] for r in df.select(labels.value_category(F.col("v"))).collect()]
+    assert got == ["high", "low", "medium", "high"]
+
+
+def test_season_by_month(spark):
+    df = spark.createDataFrame([(date(2024, m, 1),) for m in range(1, 13)], "d DATE")
+    got = [r[0] for r in df.select(labels.season(F.col("d"))).collect()]
+    assert got == ["winter"] * 3 + ["spring"] * 4 + ["fall"] * 5
+
+
+def test_share_type(spark):
+    data = [("file", None, "Attachment"), ("item", "folder", "Attachment"),
+            ("reference", "file", "M365 File Link"), ("reference", "folder", "M365 Folder Link"),
+            ("reference", None, None), ("other", "file", None), (None, "file", None)]
+    df = spark.createDataFrame(data, "a STRING, r STRING, want STRING")
+    for got, want in df.select(labels.share_type(F.col("a"), F.col("r")), "want").collect():
+        assert got == want
+
+
+def test_small_labels(spark):
+    one = spark.range(1)
+    got = one.select(
+        labels.standard_code(F.lit("math"), F.lit("2"), F.lit("7")),
+        labels.email_address(F.lit("Ada"), F.lit("Berg"), F.lit(3), F.lit("example.com")),
+        labels.email_category_label(F.lit("standard")),
+        labels.email_category_label(F.lit("event")),
+        labels.email_category_label(F.lit("else")),
+        labels.publish_state(F.lit("publishDashboard")),
+        labels.publish_state(F.lit("unpublishDashboard")),
+    ).first()
+    assert tuple(got) == ("MAT.2.7", "ada.berg3@example.com", "Standard Email",
+                          "Event (Cal Invites)", "else", "published", "unpublished")
+
+
+BAD = ["{bad", "[]", '{"timestamp":"nope"}']
+GOOD = ['{"client_id":"c"}', "{}"]
+
+
+def test_malformed_json_is_told_from_empty(spark):
+    df = spark.createDataFrame([(t,) for t in BAD + GOOD + [None, ""]], "kafka_value STRING")
+    marked = parsed(df).select(
+        "kafka_value", json_text.malformed(F.col("kafka_value"), F.col("_body")).alias("bad"))
+    got = {r.kafka_value: r.bad for r in marked.collect()}
+    assert got == {**{t: True for t in BAD}, **{t: False for t in GOOD}, None: False, "": True}
+
+
+def test_json_times_keep_microseconds(spark):
+    moment = datetime(2024, 1, 2, 3, 4, 5, 678901)
+    df = spark.createDataFrame([(moment,)], "timestamp TIMESTAMP")
+    text = df.select(json_text.encode(F.struct("timestamp")).alias("kafka_value"))
+    assert parsed(text).select("_body.timestamp").first()[0] == moment
+
+
+def test_json_path(spark):
+    df = spark.createDataFrame([('{"a":[{"b":"x"}]}',), ("{bad",), (None,)], "t STRING")
+    got = [r[0] for r in df.select(json_text.path_text(F.col("t"), "$.a[0].b")).collect()]
+    assert got == ["x", None, None]
+
+
+@pytest.fixture
+def mails(spark):
+    return spark.createDataFrame([(1, "raw text", "Y"), (2, "more raw text", "N")],
+                                 "email_id INT, content STRING, processed STRING")
+
+
+def test_mask_and_row_filter(mails):
+    restricted = masking.secure(mails, EMAIL_POLICY, ["no_content_group", "staff"])
+    assert rows(restricted) == [(1, "***", "Y")]
+    assert rows(masking.secure(mails, EMAIL_POLICY, ["staff"])) == rows(mails)
+    assert not any("raw" in str(r) for r in restricted.collect())
+
+
+def test_sql_functions_follow_the_reader(spark, mails):
+    mails.createOrReplaceTempView("mails")
+    sql = "SELECT email_id, mask_content(content) c FROM mails WHERE unprocessed_filter(processed)"
+    masking.register_sql_functions(spark, restricted=True)
+    assert rows(spark.sql(sql)) == [(1, "***")]
+    masking.register_sql_functions(spark, restricted=False)
+    assert rows(spark.sql(sql)) == [(1, "raw text"), (2, "more raw text")]
