@@ -1,0 +1,284 @@
+import json
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata import schemas
+from strata.plans import (dashboards, emails, orders, refresh_log, small_tables, stocks, values)
+from strata.sources import files
+
+from conftest import rows
+
+# --- e-mails ---------------------------------------------------------------------------------
+
+GB = 1024 ** 3
+
+
+@pytest.fixture
+def attachments(spark):
+    data = [("a1", "m1", "d1", "file", None, 1536, "o"), ("a2", "m1", "d2", "reference", "file", GB, "o"),
+            ("a3", "m2", None, "item", None, None, "o"), ("a4", "m2", "d9", "reference", "folder", 0, "o"),
+            ("a5", "m3", "d1", "file", None, 10, None), ("a6", None, "d1", "file", None, 10, "o")]
+    return spark.createDataFrame(
+        data, "attachment_unique_id STRING, email_unique_id STRING, drive_item_unique_id STRING, "
+              "attachment_type STRING, reference_type STRING, size BIGINT, rls_org_key STRING")
+
+
+@pytest.fixture
+def found(spark):
+    data = [("d1", "sit1", "h1"), ("d1", "sit2", "h2"), ("d1", "sit3", "h3"), ("d2", "sit1", "h4"),
+            (None, "sit1", "h5")]
+    df = spark.createDataFrame(data, "drive_item_unique_id STRING, sit_id STRING, hit_id STRING")
+    return df.withColumns({c: F.lit(None).cast(t) for c, t in {
+        "sit_name": "string", "hit_rank": "int", "summary": "string",
+        "classification_type": "string", "classification_last_scan": "timestamp"}.items()})
+
+
+def test_attachment_hits(attachments, found):
+    got = emails.attachment_hits(attachments, found)
+    assert got.schema.simpleString() == schemas.ATTACHMENT_HITS.simpleString()
+    assert rows(got.select("attachment_unique_id", "hit_id", "share_type", "size_display")) == [
+        ("a1", "h1", "Attachment", "1.5 KB"), ("a1", "h2", "Attachment", "1.5 KB"),
+        ("a1", "h3", "Attachment", "1.5 KB"), ("a2", "h4", "M365 File Link", "1.0 GB"),
+        ("a3", None, "Attachment", "-"), ("a4", None, "M365 Folder Link", "-")]
+    assert emails.attachment_hits(attachments, found, org="other").count() == 0
+
+
+def test_email_summary(spark, attachments, found):
+    data = [("m1", "o", "to", True, False, "s", "standard"), ("m1", "o", "cc", None, True, None, "standard"),
+            ("m1", "o", "bcc", False, None, "s", "standard"), ("m1", "o", "reply_to", True, True, "s", "standard"),
+            ("m2", "o", "reply_to", True, True, "t", "event"), ("m4", "o", "to", None, None, "u", None),
+            ("m3", None, "to", True, True, "v", None)]
+    people = spark.createDataFrame(
+        data, "unique_email_id STRING, rls_org_key STRING, recipient_type STRING, "
+              "recipient_address_domain_is_external BOOLEAN, "
+              "recipient_address_domain_is_consumer BOOLEAN, subject STRING, email_category STRING"
+    ).withColumn("created_date_time", F.lit("2024-01-02 23:00:00").cast("timestamp"))
+    got = emails.email_summary(people, emails.attachment_hits(attachments, found))
+    assert got.schema.simpleString() == schemas.EMAIL_SUMMARY.simpleString()
+    seen = rows(got.select(
+        "unique_email_id", "subject", "email_category_label", "recipient_count", "to_count",
+        "cc_count", "bcc_count", "reply_to_count", "external_recipient_count",
+        "has_external_recipient", "has_consumer_recipient", "attachment_count",
+        "attachment_size", "attachment_size_display"))
+    assert seen == [
+        ("m1", "s", "Standard Email", 3, 1, 1, 1, 1, 1, True, True, 2, GB + 1536, "1.0 GB"),
+        ("m2", "t", "Event (Cal Invites)", 0, 0, 0, 0, 1, 0, False, False, 2, 0, "-"),
+        ("m4", "u", None, 1, 1, 0, 0, 0, 0, False, False, 0, 0, "-")]
+    assert str(got.first().created_date) == "2024-01-02"
+
+
+def test_totals_skip_the_hits(attachments, found):
+    """Sizes do not depend on hits, so Spark leaves that join out of the totals."""
+    totals = emails.attachment_totals(emails.attachment_hits(attachments, found))
+    assert "Join" not in totals._jdf.queryExecution().optimizedPlan().toString()
+
+
+# --- refresh log -------------------------------------------------------------------------------
+
+FULL, ROWS = "MAINTENANCE_TYPE_COMPLETE_RECOMPUTE", "MAINTENANCE_TYPE_ROW_BASED"
+RULES = "EXPECTATIONS_NOT_SUPPORTED"
+
+
+def plan_event(update, *techniques, message="Flow x planned to be executed as ROW_BASED."):
+    entries = [{"is_chosen": chosen, "maintenance_type": kind, "cost": float(i),
+                "incrementalization_issues": [{"issue_type": issue}] if issue else None}
+               for i, (chosen, kind, issue) in enumerate(techniques)]
+    details = {"planning_information": {"technique_information": entries,
+                                        "source_table_information": [{"num_rows": 7}]}}
+    return event(update, "planning_information", details, message)
+
+
+def flow_event(update, dataset, org="g"):
+    return event(update, "flow_definition", {"flow_definition": {
+        "output_dataset": dataset, "explain_text": "q", "flow_type": "T"}}, None, org)
+
+
+def event(update, kind, details, message, org="g"):
+    return (update, kind, json.dumps(details), message, org)
+
+
+def log_of(spark, *events):
+    return spark.createDataFrame(
+        events, "u STRING, event_type STRING, details STRING, message STRING, org STRING").select(
+        F.struct(F.col("u").alias("update_id"), F.col("org").alias("org_id"),
+                 F.lit("p").alias("pipeline_id"), F.lit("P").alias("pipeline_name")).alias("origin"),
+        F.lit(datetime(2024, 1, 1)).alias("timestamp"), "message", "event_type", "details")
+
+
+NO, YES = False, True
+CASES = {
+    "first": ([(YES, ROWS, None)], ROWS, 0.0, "incremental recompute"),
+    "last_looked_at": ([(NO, FULL, None)] * 3 + [(YES, ROWS, None)], ROWS, 3.0, "incremental recompute"),
+    "beyond": ([(NO, FULL, None)] * 4 + [(YES, FULL, None)], None, None, "incremental recompute"),
+    "none_chosen": ([(NO, FULL, RULES)], None, None, "incremental recompute"),
+    "no_entries": ([], None, None, "incremental recompute"),
+    "two_chosen": ([(NO, FULL, None), (YES, ROWS, None), (YES, FULL, None)], ROWS, 1.0,
+                   "incremental recompute"),
+    "rules_second": ([(YES, FULL, "OTHER"), (NO, ROWS, RULES)], FULL, 0.0, RULES),
+    "rules_third": ([(YES, FULL, "OTHER"), (NO, ROWS, "X"), (NO, ROWS, RULES)], FULL, 0.0, RULES),
+    "rules_fourth": ([(YES, FULL, None), (NO, ROWS, "X"), (NO, ROWS, None), (NO, ROWS, RULES)],
+                     FULL, 0.0, "X"),
+    "other_first": ([(YES, FULL, "OTHER"), (NO, ROWS, "X")], FULL, 0.0, "OTHER"),
+    "no_issue": ([(YES, FULL, None)], FULL, 0.0, "UNKNOWN_ISSUE"),
+    "null_flag": ([(None, ROWS, None), (YES, FULL, None)], FULL, 1.0, "UNKNOWN_ISSUE"),
+}
+
+
+def test_chosen_technique_and_reason(spark):
+    log = log_of(spark, *[plan_event(name, *case[0]) for name, case in CASES.items()])
+    got = {r.update_id: (r.chosen_maintenance_type, r.cost, r.recompute_reason)
+           for r in refresh_log.refreshes(log).collect()}
+    assert got == {name: case[1:] for name, case in CASES.items()}
+    one = refresh_log.refreshes(log).first()
+    assert (one.refresh_type, one.num_rows) == ("ROW_BASED", 7)
+
+
+def test_message_without_a_match(spark):
+    log = log_of(spark, plan_event("u", message="nothing"), plan_event("v", message=None))
+    assert rows(refresh_log.refreshes(log).select("refresh_type")) == [("",), (None,)]
+
+
+def test_details_as_struct_give_the_same(spark):
+    log = log_of(spark, *[plan_event(name, *case[0]) for name, case in CASES.items()])
+    as_struct = refresh_log.detailed(log)
+    assert rows(refresh_log.refreshes(as_struct)) == rows(refresh_log.refreshes(log))
+
+
+def test_flows_multiply_as_stated(spark):
+    log = log_of(spark, plan_event("u1"), plan_event("u1"), plan_event("u2"),
+                 flow_event("u1", "d1"), flow_event("u1", "d2"), flow_event("u9", "d3"))
+    by_update = refresh_log.with_flows(log).select("update_id", "output_dataset")
+    assert rows(by_update) == [("u1", "d1"), ("u1", "d1"), ("u1", "d2"), ("u1", "d2"),
+                               ("u2", None)]
+    by_org = refresh_log.by_organisation(log).select("org_id", "matching_flows",
+                                                     "matching_datasets")
+    assert rows(by_org) == [("g", 3, 3)] * 3
+    expanded = refresh_log.with_flows(log, ("org_id",)).groupBy("timestamp").count().first()["count"]
+    assert expanded == sum(r.matching_flows for r in by_org.collect())
+
+
+def test_log_files_and_raw_copy(spark, tmp_path):
+    lines = [{"id": "1", "origin": {"update_id": "u"}, "timestamp": "2024-01-01T00:00:00Z",
+              "message": "executed as NO_OP", "event_type": "planning_information",
+              "details": {"planning_information": {"technique_information": []}}}]
+    (tmp_path / "log.json").write_text("\n".join(map(json.dumps, lines)))
+    log = refresh_log.read_log(spark, str(tmp_path / "log.json"), "p1", "name")
+    assert refresh_log.refreshes(log).first().refresh_type == "NO_OP"
+    raw = refresh_log.raw_copy(log)
+    assert raw.columns == refresh_log.RAW_COLUMNS and raw.first().pipeline_id == "p1"
+
+
+# --- dashboards ------------------------------------------------------------------------------
+
+def test_publish_states(spark):
+    data = [("dashboards", "publishDashboard", "2024-06-01", "d1", "r1"),
+            ("dashboards", "unpublishDashboard", "2024-06-02", "d1", "r2"),
+            ("dashboards", "publishDashboard", "2024-06-02", "d2", "r4"),
+            ("dashboards", "publishDashboard", "2024-06-02", "d2", "r3"),
+            ("dashboards", "publishDashboard", "2023-01-01", "d3", "r5"),
+            ("dashboards", "openDashboard", "2024-06-09", "d2", "r6"),
+            ("jobs", "publishDashboard", "2024-06-09", "d2", "r7")]
+    audit = spark.createDataFrame(data, "s STRING, a STRING, t STRING, d STRING, r STRING").select(
+        F.col("s").alias("service_name"), F.col("a").alias("action_name"),
+        F.col("t").cast("timestamp").alias("event_time"),
+        F.struct(F.col("d").alias("dashboard_id")).alias("request_params"),
+        F.struct(F.lit("m").alias("email")).alias("user_identity"),
+        F.struct(F.col("r").alias("run_by"), F.lit("x").alias("run_as")).alias("identity_metadata"))
+    states = dashboards.publish_states(audit, "https://h", as_of="2024-06-10")
+    names = spark.createDataFrame([("d1", "One")], "dashboard_id STRING, display_name STRING")
+    got = dashboards.named(states, names).select("dashboard_id", "publish_state", "run_by",
+                                                 "dashboard_url", "display_name")
+    assert rows(got) == [
+        ("d1", "unpublished", "r2", "https://h/sql/dashboardsv3/d1", "One"),
+        ("d2", "published", "r3", "https://h/sql/dashboardsv3/d2", None)]
+
+
+# --- orders and runs -----------------------------------------------------------------------------
+
+@pytest.fixture
+def placed(spark):
+    data = [("1", 10.005, "completed"), ("1", 10.005, "completed"), ("2", 5.0, "cancelled"),
+            ("3", 0.1, "pending"), ("4", 0.2, "refunded"), ("5", 9.0, None), ("6", None, "pending")]
+    return spark.createDataFrame(data, "order_id STRING, order_amount DOUBLE, status STRING").select(
+        "*", F.lit("food").alias("category"), F.lit("CA").alias("state"),
+        F.lit("2024-01-01 10:00:00").cast("timestamp").alias("order_ts"))
+
+
+def test_orders(placed):
+    clean = orders.silver(placed)
+    assert rows(clean.select("order_id", "order_amount_usd")) == [
+        ("1", 10.01), ("3", 0.1), ("4", 0.2), ("6", None)]
+    got = orders.revenue(clean).first()
+    assert (got.num_orders, got.total_revenue) == (4, 10.31)
+    assert got.avg_order_value == pytest.approx(10.31 / 3)
+
+
+def test_run_writes_layers_and_counts_them(spark, placed, path):
+    root = path("lake")
+    orders.run(spark, placed, root, "r1", "j")
+    metrics = orders.run(spark, placed.filter("order_id < '4'"), root, "r2", "j")
+    got = orders.compare_runs(metrics).select("run_id", "bronze_rows", "silver_rows", "gold_rows",
+                                              "delta_bronze")
+    assert rows(got) == [("r1", 7, 4, 1, None), ("r2", 4, 2, 1, -3)]
+    assert [r.run_id for r in orders.last_two(metrics).collect()] == ["r2", "r1"]
+    assert metrics.schema.simpleString() == schemas.RUN_METRICS.simpleString()
+    stored = spark.read.parquet(f"{root}/silver/orders_clean")
+    assert "_ingested_at" not in stored.columns and stored.count() == 2
+
+
+# --- values, stocks, names ---------------------------------------------------------------------
+
+def test_values(spark):
+    ids = spark.createDataFrame([(1, 10.004), (2, 20.0), (3, -1.0), (4, None), (None, 5.0)],
+                                "id BIGINT, v DOUBLE")
+    raw = values.bronze(ids.withColumn("id", F.col("id")), "dev", F.lit(1.0), consumer_group="g")
+    assert set(raw.columns) == {"id", "name", "value", "timestamp", "config", "consumer_group"}
+    rows_ = ids.withColumnRenamed("v", "value").withColumn("config", F.lit("dev"))
+    clean = values.silver(rows_, checkpoint_path="/c")
+    assert rows(clean.select("id", "value_rounded", "value_category", "checkpoint_path")) == [
+        (1, 10.0, "low", "/c"), (2, 20.0, "low", "/c")]
+    got = values.stats(clean, environment="dev").first()
+    assert (got.record_count, got.avg_value, got.min_value, got.max_value, got.environment) == (
+        2, 15.0, 10.0, 20.0, "dev")
+    assert got.stddev_value == pytest.approx(7.0710678)
+
+
+def test_stocks(spark, tmp_path):
+    day = {"1. open": "1.5", "2. high": "2", "3. low": "1", "4. close": "1.75", "5. volume": "10"}
+    series = {"2024-01-02": day, "2024-01-03": {**day, "4. close": "n/a"}}
+    doc = {"Meta Data": {"2. Symbol": "ABC"}, "Time Series (Daily)": series}
+    (tmp_path / "a.json").write_text(json.dumps(doc, indent=1))
+    (tmp_path / "b.json").write_text(json.dumps({"Note": "limit reached"}))
+    rows_ = stocks.bronze(stocks.read_payloads(spark, str(tmp_path)))
+    assert rows_.count() == 2
+    got = stocks.gold(stocks.silver(rows_))
+    assert rows(got) == [("2024-01-02", "ABC", 1.5, 2.0, 1.0, 1.75, 10)]
+
+
+def test_names(spark):
+    df = spark.createDataFrame([(1, "Alice"), (2, "Bob"), (None, "Bob"), (3, None)],
+                               "id BIGINT, name STRING")
+    counts = small_tables.name_counts(df)
+    assert rows(counts) == [("Alice", 1), ("Bob", 1), (None, 1)]
+    assert rows(small_tables.filtered_names(counts)) == [("Bob", 1)]
+    loaded = small_tables.name_counts_at_load(df)
+    assert rows(loaded.drop("load_time")) == rows(counts)
+    assert loaded.select("load_time").distinct().count() == 1
+
+
+def test_grouped_and_masked_emails(spark):
+    data = [(1, 7, "s", "c", 0.5, None, 2.0, "Y"), (1, 7, "s", "c", 0.5, None, 3.0, "Y"),
+            (2, 7, "s", "d", 0.5, None, 1.0, "N")]
+    df = spark.createDataFrame(data, schemas.MASKED_EMAIL)
+    grouped = small_tables.grouped_emails(df)
+    assert [(r.email_id, r.requested_amount) for r in grouped.orderBy("email_id").collect()] == [
+        (1, 5.0), (2, 1.0)]
+    seen = small_tables.masked_emails(grouped, ["no_content_group"]).collect()
+    assert [(r.email_id, r.content) for r in seen] == [(1, "***")]
+
+
+def test_cheap_trips_drop_null(spark):
+    df = spark.createDataFrame([(29.99,), (30.0,), (None,)], "fare_amount DOUBLE")
+    assert rows(small_tables.cheap_trips(df)) == [(29.99,)]
