@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strata.functions import labels
 from strata.operators import dedup
 from strata.plans.monitoring import Moment, recent
+from strata.sinks.lake import Lake
 
 ACTIONS = ("publishDashboard", "unpublishDashboard")
 
@@ -40,3 +41,7 @@ def publish_states(audit: DataFrame, host: str, as_of: Moment = None,
 def named(states: DataFrame, names: DataFrame) -> DataFrame:
     """States with the display name of dashboards that are still active."""
     return states.join(names.select("dashboard_id", "display_name"), "dashboard_id", "left")
+
+
+def run(lake: Lake, audit: DataFrame, names: DataFrame, host: str, as_of: Moment = None) -> DataFrame:
+    return lake.store(named(publish_states(audit, host, as_of), names), "gold", "dashboards")

@@ -13,6 +13,8 @@ from pyspark.sql.types import StructType
 
 from strata import schemas
 from strata.operators import conform, dedup, quality
+from strata.sinks import snapshot
+from strata.sinks.lake import Lake
 from strata.sources import files
 
 
@@ -156,14 +158,33 @@ def school_overview(schools: DataFrame, educators: DataFrame, classrooms: DataFr
     )
 
 
-def build(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All silver and gold tables from the six bronze ones."""
-    clean = {name: silver(name, rows) for name, rows in tables.items()}
+def gold(clean: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The three gold tables from the silver ones."""
     s, e, c = clean["schools"], clean["educators"], clean["classrooms"]
     p, a = clean["students"], clean["assessments"]
-    gold = {
+    return {
         "assessment_summary_by_classroom": assessment_summary(s, c, p, a),
         "educator_performance_metrics": educator_metrics(s, e, c, p, a),
         "school_performance_overview": school_overview(s, e, c, p, a),
     }
-    return {**{f"silver_{n}": df for n, df in clean.items()}, **gold}
+
+
+def build(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """All silver and gold tables from the bronze ones, not yet computed."""
+    clean = {name: silver(name, rows) for name, rows in tables.items()}
+    return {**{f"silver_{n}": df for n, df in clean.items()}, **gold(clean)}
+
+
+def run(lake: Lake, source: str) -> dict[str, DataFrame]:
+    """From CSV files to stored gold tables. Silver is stored once and read by all three."""
+    clean = {}
+    for name in ENTITIES:
+        raw = lake.store(bronze(lake.spark, source, name), "bronze", f"bronze_{name}")
+        clean[name] = lake.store(silver(name, raw), "silver", f"silver_{name}")
+    return {name: lake.store(df, "gold", name) for name, df in gold(clean).items()}
+
+
+def serve(lake: Lake, target: str) -> None:
+    """Replace the serving copies of the gold tables, each checked for its key."""
+    for name, keys in snapshot.SERVED_KEYS.items():
+        snapshot.sync_snapshot(lake.spark, lake.read("gold", name), f"{target}/{name}", keys)

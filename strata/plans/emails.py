@@ -10,6 +10,7 @@ from strata.functions import labels
 from strata.operators import quality
 from strata.operators.conform import conform
 from strata.operators.quality import Rule
+from strata.sinks.lake import Lake
 
 ATTACHMENT_RULES = [Rule("valid_email_and_org",
                          "email_unique_id IS NOT NULL AND rls_org_key IS NOT NULL")]
@@ -97,3 +98,12 @@ def email_summary(recipients: DataFrame, attachments: DataFrame,
         "attachment_size_display": labels.size_display(F.col("attachment_size")),
     })
     return conform(shown, schemas.EMAIL_SUMMARY)
+
+
+def run(lake: Lake, recipients: DataFrame, attachments: DataFrame, hits: DataFrame,
+        org: str | None = None) -> DataFrame:
+    """Store the attachment view and the summary built from it; of one organisation if given."""
+    prefix = f"{org}_" if org else ""
+    found = lake.store(attachment_hits(attachments, hits, org), "silver",
+                       f"{prefix}attachment_hits")
+    return lake.store(email_summary(recipients, found, org), "gold", f"{prefix}emails")

@@ -5,12 +5,13 @@ from __future__ import annotations
 import time
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata import schemas
 from strata.operators import dedup
 from strata.sinks import tables
+from strata.sinks.lake import Lake
 
 
 def silver(bronze: DataFrame) -> DataFrame:
@@ -73,23 +74,16 @@ def last_two(metrics: DataFrame) -> DataFrame:
     return metrics.orderBy(F.desc("run_ts"), F.desc("run_id"), F.desc("job_id")).limit(2)
 
 
-def run(spark: SparkSession, bronze: DataFrame, root: str, run_id: str, job_id: str) -> DataFrame:
-    """Write the three layers below root and append the run's metrics; returns all metrics.
+def run(lake: Lake, bronze: DataFrame, run_id: str, job_id: str) -> DataFrame:
+    """Write the three layers and append the run's metrics; returns the metrics of all runs.
 
     Each layer is read back from storage by the next one, and its rows are counted while it
     is written, so nothing is computed twice."""
     started, clock = datetime.now(), time.monotonic()
     rows: dict[str, int] = {}
-
-    def store(df: DataFrame, layer: str, name: str) -> DataFrame:
-        watch = Observation(f"{layer}_{run_id}")
-        stored = tables.overwrite_path(
-            df.observe(watch, F.count(F.lit(1)).alias("rows")), f"{root}/{layer}/{name}")
-        rows[layer] = watch.get["rows"]
-        return stored
-
-    raw = store(bronze.withColumn("_ingested_at", F.current_timestamp()), "bronze", "orders")
-    clean = store(silver(raw), "silver", "orders_clean")
-    store(revenue(clean), "gold", "revenue_summary")
-    row = run_metrics(spark, run_id, job_id, started, rows, time.monotonic() - clock)
-    return tables.append_evolving(row, f"{root}/gold/pipeline_run_metrics")
+    raw, rows["bronze"] = lake.store_counted(
+        bronze.withColumn("_ingested_at", F.current_timestamp()), "bronze", "orders")
+    clean, rows["silver"] = lake.store_counted(silver(raw), "silver", "orders_clean")
+    _, rows["gold"] = lake.store_counted(revenue(clean), "gold", "revenue_summary")
+    row = run_metrics(lake.spark, run_id, job_id, started, rows, time.monotonic() - clock)
+    return tables.append_evolving(row, lake.path("gold", "pipeline_run_metrics"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schemas
+from strata.sinks.lake import Lake
 from strata.sources import files
 
 COMPLETE = "MAINTENANCE_TYPE_COMPLETE_RECOMPUTE"
@@ -125,3 +126,9 @@ def by_organisation(log: DataFrame) -> DataFrame:
         "chosen_maintenance_type", "recompute_reason", "cost", "matching_flows",
         "matching_datasets",
     )
+
+
+def run(lake: Lake, log: DataFrame, keys: tuple[str, ...] = ("update_id",)) -> DataFrame:
+    """Store the raw log and the combined table of refreshes and flows."""
+    lake.store(raw_copy(log), "bronze", "raw_event_log")
+    return lake.store(with_flows(log, keys), "gold", "combined_event_log")

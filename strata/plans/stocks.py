@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strata import schemas
 from strata.operators import quality
 from strata.operators.quality import Rule
+from strata.sinks.lake import Lake
 from strata.sources import files
 
 RULES = [Rule("date_is_not_null", "stock_date IS NOT NULL"),
@@ -48,3 +49,9 @@ def silver(rows: DataFrame) -> DataFrame:
 
 def gold(rows: DataFrame) -> DataFrame:
     return rows.select("stock_date", "symbol", "open", "high", "low", "close", "volume")
+
+
+def run(lake: Lake, payloads: DataFrame) -> DataFrame:
+    raw = lake.store(bronze(payloads), "bronze", "daily_stock_metrics")
+    clean = lake.store(silver(raw), "silver", "daily_stock_metrics")
+    return lake.store(gold(clean), "gold", "daily_aggregates")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strata.functions import labels
 from strata.operators import quality
 from strata.operators.quality import Rule
+from strata.sinks.lake import Lake
 
 RULES = [Rule("valid_id", "id IS NOT NULL"), Rule("valid_value", "value >= 0")]
 
@@ -43,3 +44,11 @@ def stats(rows: DataFrame, *by: str, environment: str | None = None) -> DataFram
         F.stddev(v).alias("stddev_value"),
     ).withColumn("aggregation_timestamp", F.current_timestamp())
     return out if environment is None else out.withColumn("environment", F.lit(environment))
+
+
+def run(lake: Lake, ids: DataFrame, config: str, value: Column, **tags: str) -> DataFrame:
+    """Store the three layers under names that carry the configuration."""
+    raw = lake.store(bronze(ids, config, value, **tags), "bronze", f"{config}_raw_data")
+    clean = lake.store(silver(raw), "silver", f"{config}_processed_data")
+    summary = stats(clean, *tags, environment=config)
+    return lake.store(summary, "gold", f"{config}_aggregated_data")

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.plans import messages
+from strata.sinks.lake import Lake
+from strata.sources import files
 from strata.streaming import runner
 
 WATERMARK = "1 hour"
@@ -65,3 +67,25 @@ def late_rows(query: StreamingQuery) -> int:
     """Rows left out as too late in the batches the query still reports on."""
     return sum(int(op.get("numRowsDroppedByWatermark", 0))
                for p in query.recentProgress for op in p["stateOperators"])
+
+
+def run_available(lake: Lake, raw: DataFrame, target_topic: str,
+                  watermark: str | None = WATERMARK) -> DataFrame:
+    """Work off what has arrived, layer by layer, and return the hourly table. Run it again
+    to take in what came since; each layer goes on from its own checkpoint."""
+    def step(start, source: DataFrame, layer: str, name: str, *args) -> None:
+        start(source, lake.path(layer, name), lake.checkpoint(layer, name),
+              *args).awaitTermination()
+
+    def layer(name: str, kind: str, like: DataFrame) -> DataFrame:
+        return files.stream_files(lake.spark, lake.path(kind, name), like.schema)
+
+    step(bronze, raw, "bronze", "messages")
+    step(quarantine, raw, "bronze", "quarantine", target_topic)
+    arrived = layer("messages", "bronze", messages.ingest(raw))
+    step(clients, arrived, "bronze", "clients")
+    step(client_layers, arrived, "silver", "by_client")
+    step(silver, messages.accepted(arrived), "silver", "messages", watermark or WATERMARK)
+    clean = layer("messages", "silver", messages.silver(messages.accepted(arrived)))
+    step(hourly, clean, "gold", "hourly", watermark)
+    return hourly_table(lake.spark, lake.path("gold", "hourly"))

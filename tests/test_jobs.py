@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strata import schemas
 from strata.plans import (dashboards, emails, orders, refresh_log, small_tables, stocks, values)
-from strata.sources import files
+from strata.sinks.lake import Lake
 
 from conftest import rows
 
@@ -216,15 +216,15 @@ def test_orders(placed):
 
 
 def test_run_writes_layers_and_counts_them(spark, placed, path):
-    root = path("lake")
-    orders.run(spark, placed, root, "r1", "j")
-    metrics = orders.run(spark, placed.filter("order_id < '4'"), root, "r2", "j")
+    lake = Lake(spark, path("lake"))
+    orders.run(lake, placed, "r1", "j")
+    metrics = orders.run(lake, placed.filter("order_id < '4'"), "r2", "j")
     got = orders.compare_runs(metrics).select("run_id", "bronze_rows", "silver_rows", "gold_rows",
                                               "delta_bronze")
     assert rows(got) == [("r1", 7, 4, 1, None), ("r2", 4, 2, 1, -3)]
     assert [r.run_id for r in orders.last_two(metrics).collect()] == ["r2", "r1"]
     assert metrics.schema.simpleString() == schemas.RUN_METRICS.simpleString()
-    stored = spark.read.parquet(f"{root}/silver/orders_clean")
+    stored = lake.read("silver", "orders_clean")
     assert "_ingested_at" not in stored.columns and stored.count() == 2
 
 
@@ -282,3 +282,15 @@ def test_grouped_and_masked_emails(spark):
 def test_cheap_trips_drop_null(spark):
     df = spark.createDataFrame([(29.99,), (30.0,), (None,)], "fare_amount DOUBLE")
     assert rows(small_tables.cheap_trips(df)) == [(29.99,)]
+
+
+def test_stored_runs(spark, path):
+    lake = Lake(spark, path("lake"))
+    ids = spark.range(100)
+    got = values.run(lake, ids, "dev", F.col("id").cast("double"), kafka_host="h")
+    assert rows(got.select("value_category", "record_count", "kafka_host", "environment")) == [
+        ("high", 34, "h", "dev"), ("low", 33, "h", "dev"), ("medium", 33, "h", "dev")]
+    assert lake.read("bronze", "dev_raw_data").count() == 100
+    audit = spark.createDataFrame([], schemas.AUDIT)
+    names = spark.createDataFrame([], "dashboard_id STRING, display_name STRING")
+    assert dashboards.run(lake, audit, names, "https://h").count() == 0

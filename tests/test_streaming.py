@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strata import schemas
 from strata.plans import messages
+from strata.sinks.lake import Lake
 from strata.sources import files, kafka, synthetic
 from strata.streaming import messages as streams
 from strata.streaming import runner
@@ -160,3 +161,14 @@ def test_table_as_stream(spark, path):
     spark.range(5).write.mode("overwrite").saveAsTable("ticks")
     run(runner.to_files(files.stream_table(spark, "ticks"), path("out"), path("log")))
     assert spark.read.parquet(path("out")).count() == 5
+
+
+def test_all_layers_twice(spark, feed, path):
+    lake = Lake(spark, path("lake"))
+    feed.add("2024-01-01T10:00:00Z", "2024-01-01T11:00:00Z", "nope")
+    assert hours(streams.run_available(lake, feed.stream(), "dlq")) == [(10, 1, 1.0), (11, 1, 1.0)]
+    feed.add("2024-01-01T11:30:00Z")
+    assert hours(streams.run_available(lake, feed.stream(), "dlq")) == [(10, 1, 1.0), (11, 2, 2.0)]
+    assert lake.read("bronze", "quarantine").count() == 1
+    assert lake.read("bronze", "clients").count() == 1
+    assert lake.read("silver", "by_client").count() == 3

@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 
 from strata import schemas
 from strata.plans import education
+from strata.sinks.lake import Lake
+from strata.sinks.snapshot import SERVED_KEYS
 from strata.sources import synthetic as s
 
 from conftest import rows
@@ -82,3 +84,17 @@ def test_messages_names_emails(spark):
     assert mails.schema.simpleString() == schemas.MASKED_EMAIL.simpleString()
     values = spark.range(200).select(s.value_of(F.col("id")).alias("v"))
     assert values.filter("v < 0 OR v >= 100").count() == 0
+
+
+def test_from_csv_files_to_served_copies(spark, made, path):
+    for name, df in made.items():
+        df.write.option("header", True).csv(f"{path('csv')}/{name}.csv")
+    lake = Lake(spark, path("lake"))
+    out = education.run(lake, path("csv"))
+    assert set(out) == set(SERVED_KEYS)
+    direct = education.gold({n: education.silver(n, df) for n, df in made.items()})
+    for name in out:
+        assert rows(out[name]) == rows(direct[name])
+    education.serve(lake, path("served"))
+    served = spark.read.parquet(f"{path('served')}/school_performance_overview")
+    assert rows(served) == rows(out["school_performance_overview"])

@@ -144,13 +144,14 @@ def assessments(t: Tables) -> DataFrame:
 
 
 # --- e-mails: lineitem = recipients and attachments, orders = the e-mail, part = hits ----------
+# Ids stay numbers as given; the results declare them as text.
 
 def recipients(t: Tables) -> DataFrame:
     line, order = F.col("l_linenumber"), F.col("l_orderkey")
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey").join(
         t.orders, order == F.col("o_orderkey"))
     return rows.select(
-        order.cast("string").alias("unique_email_id"),
+        order.alias("unique_email_id"),
         _case(order % 3, ["org_a", "org_b", "org_c"]).alias("rls_org_key"),
         F.concat(F.lit("user"), F.col("o_custkey").cast("string")).alias("user_email"),
         F.col("o_orderdate").alias("created_date_time"),
@@ -172,8 +173,8 @@ def attachments(t: Tables) -> DataFrame:
     return t.lineitem.select(
         F.concat_ws("-", key.cast("string"), F.col("l_linenumber").cast("string"))
         .alias("attachment_unique_id"),
-        key.cast("string").alias("email_unique_id"),
-        F.when(part % 17 != 0, part.cast("string")).alias("drive_item_unique_id"),
+        key.alias("email_unique_id"),
+        F.when(part % 17 != 0, part).alias("drive_item_unique_id"),
         _case(part % 4, ["file", "item", "reference", "unknown"]).alias("attachment_type"),
         _case(F.col("l_linenumber") % 2, ["file", "folder"]).alias("reference_type"),
         F.when(part % 11 != 0, F.when(part % 13 == 0, 0).otherwise(size)).cast("bigint")
@@ -191,7 +192,7 @@ def hits(t: Tables) -> DataFrame:
         F.explode(F.expr("transform(array_repeat(0, n), (x, i) -> i)")).alias("hit"))
     part = F.col("p_partkey").cast("string")
     return each.select(
-        part.alias("drive_item_unique_id"),
+        F.col("p_partkey").alias("drive_item_unique_id"),
         F.concat(F.lit("sit"), F.col("hit").cast("string")).alias("sit_id"),
         F.col("p_type").alias("sit_name"),
         F.concat_ws("-", part, F.col("hit").cast("string")).alias("hit_id"),

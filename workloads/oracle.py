@@ -98,6 +98,7 @@ SELECT * REPLACE ({_round2('total_amount')} AS total_amount, round(avg_amount, 6
 FROM hourly"""
 SQL["client_gold_hourly_stream"] = SQL["client_gold_hourly"]
 
+SQL["message_layers_stream"] = SQL["client_gold_hourly"]
 SQL["client_gold_closed_stream"] = f"""{SQL['client_gold_hourly']}
 WHERE window_end <= (SELECT max(event_timestamp) - INTERVAL 1 HOUR FROM silver)"""
 
@@ -275,6 +276,7 @@ SELECT r.update_id, r.org_id, r.pipeline_id, r.timestamp, r.pipeline_name, r.ref
        r.chosen_maintenance_type, r.recompute_reason, r.cost, r.num_rows,
        f.output_dataset, f.query, f.table_type
 FROM refreshes r LEFT JOIN flows f ON r.update_id = f.update_id"""
+SQL["refresh_layers"] = SQL["refresh_with_flows"] + " AND r.pipeline_id = f.pipeline_id"
 SQL["refresh_by_org"] = f"""WITH {REFRESHES}, {FLOWS}, per_org AS (
   SELECT org_id, count(*) AS flows_n, count(DISTINCT output_dataset) AS datasets_n
   FROM flows GROUP BY 1)
@@ -365,6 +367,8 @@ SELECT unique_email_id, org AS rls_org_key, 'user' || cust AS user_email,
        {_size_text('coalesce(bytes, 0)')} AS attachment_size_display
 FROM grouped LEFT JOIN totals ON unique_email_id = email_unique_id AND org = rls_org_key"""
 
+SQL["email_layers"] = f"SELECT * FROM ({SQL['email_summary']}) WHERE rls_org_key = 'org_b'"
+
 # --- education -------------------------------------------------------------------------------
 
 SEASON = ("CASE WHEN month({0}) <= 3 THEN 'winter' WHEN month({0}) <= 7 THEN 'spring' "

@@ -17,6 +17,7 @@ from strata.plans import (dashboards, education, emails, messages, monitoring, o
                           refresh_log, small_tables, stocks, values)
 from strata.session import configure, scratch_path
 from strata.sinks import snapshot, tables as sinks
+from strata.sinks.lake import Lake
 from strata.sources import files, kafka, synthetic
 from strata.streaming import messages as streams
 from strata.streaming import runner
@@ -194,6 +195,13 @@ def client_gold_closed_stream(t: Tables) -> DataFrame:
     return _rounded(closed)
 
 
+@query
+def message_layers_stream(t: Tables) -> DataFrame:
+    """All layers one after the other, each reading the one before from storage."""
+    lake = Lake(t.spark, scratch_path(t.spark, "layers"))
+    return _rounded(streams.run_available(lake, _raw_stream(t), "dead-letters"))
+
+
 @query
 def client_registry_stream(t: Tables) -> DataFrame:
     root = scratch_path(t.spark, "registry")
@@ -356,6 +364,14 @@ def refresh_with_flows(t: Tables) -> DataFrame:
     return refresh_log.with_flows(mapping.refresh_log(t.events))
 
 
+@query
+def refresh_layers(t: Tables) -> DataFrame:
+    """The stored combined log, joined by update and pipeline."""
+    lake = Lake(t.spark, scratch_path(t.spark, "refresh"))
+    log = conform.conform(mapping.refresh_log(t.events), schemas.EVENT_LOG)
+    return refresh_log.run(lake, log, ("update_id", "pipeline_id"))
+
+
 @query
 def refresh_by_org(t: Tables) -> DataFrame:
     return refresh_log.by_organisation(mapping.refresh_log(t.events))
@@ -388,6 +404,14 @@ def email_summary(t: Tables) -> DataFrame:
     return emails.email_summary(mapping.recipients(t), found).select(*EMAIL_COLUMNS)
 
 
+@query
+def email_layers(t: Tables) -> DataFrame:
+    """The stored views of one organisation."""
+    lake = Lake(t.spark, scratch_path(t.spark, "emails"))
+    return emails.run(lake, mapping.recipients(t), mapping.attachments(t), mapping.hits(t),
+                      org="org_b").select(*EMAIL_COLUMNS)
+
+
 # --- education -------------------------------------------------------------------------------
 
 def _assessments(t: Tables) -> DataFrame:
@@ -429,8 +453,9 @@ def edu_from_csv(t: Tables) -> DataFrame:
     for name, build in sources.items():
         rows = conform.conform(build(t), education.ENTITIES[name].schema)
         rows.write.option("header", True).csv(f"{root}/{name}.csv")
-    bronze = {name: education.bronze(t.spark, root, name) for name in sources}
-    return education.build(bronze)["school_performance_overview"]
+    synthetic.learning_objectives(_ids(t.nation, "n_nationkey")).write.option(
+        "header", True).csv(f"{root}/learning_objectives.csv")
+    return education.run(Lake(t.spark, f"{root}/lake"), root)["school_performance_overview"]
 
 
 @query
@@ -472,8 +497,8 @@ def orders_revenue(t: Tables) -> DataFrame:
 @query
 def run_metrics(t: Tables) -> DataFrame:
     """The job run over the order table: rows per layer as counted while writing."""
-    metrics = orders.run(t.spark, mapping.orders(t), scratch_path(t.spark, "orders"),
-                         "run1", "job1")
+    lake = Lake(t.spark, scratch_path(t.spark, "orders"))
+    metrics = orders.run(lake, mapping.orders(t), "run1", "job1")
     return metrics.select("run_id", "job_id", "bronze_rows", "silver_rows", "gold_rows", "status")
 
 
@@ -516,21 +541,20 @@ def value_stats(t: Tables) -> DataFrame:
         {c: F.round(c, 6) for c in ("avg_value", "stddev_value")})
 
 
-def _stock_rows(t: Tables) -> DataFrame:
+def _stock_payloads(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "payloads")
     mapping.stock_payloads(t).write.json(path)
-    payloads = stocks.read_payloads(t.spark, path, one_per_line=True)
-    return stocks.silver(stocks.bronze(payloads))
+    return stocks.read_payloads(t.spark, path, one_per_line=True)
 
 
 @query
 def stock_silver(t: Tables) -> DataFrame:
-    return _stock_rows(t)
+    return stocks.silver(stocks.bronze(_stock_payloads(t)))
 
 
 @query
 def stock_gold(t: Tables) -> DataFrame:
-    return stocks.gold(_stock_rows(t))
+    return stocks.run(Lake(t.spark, scratch_path(t.spark, "stocks")), _stock_payloads(t))
 
 
 @query
