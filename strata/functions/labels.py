@@ -1,4 +1,6 @@
-"""Column functions that turn raw values into labels and display text."""
+"""Column functions that turn raw values into labels and display text.
+
+Fixed values: the limits and label texts below are part of the results."""
 
 from __future__ import annotations
 

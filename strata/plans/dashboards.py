@@ -10,6 +10,7 @@ from strata.operators import dedup
 from strata.plans.monitoring import Moment, recent
 from strata.sinks.lake import Lake
 
+# The audited actions that decide the state.
 ACTIONS = ("publishDashboard", "unpublishDashboard")
 
 

@@ -9,9 +9,12 @@ from strata import schemas
 from strata.sinks.lake import Lake
 from strata.sources import files
 
+# The log's vocabulary, and how many entries of a plan are looked at.
 COMPLETE = "MAINTENANCE_TYPE_COMPLETE_RECOMPUTE"
 NO_RULES = "EXPECTATIONS_NOT_SUPPORTED"
-# Only the first entries of a plan are looked at.
+NO_ISSUE = "UNKNOWN_ISSUE"
+NOT_COMPLETE = "incremental recompute"
+EXECUTED_AS = "executed as ([A-Z_]+)"
 ENTRIES = 4
 
 RAW_COLUMNS = ["id", "sequence", "origin", "timestamp", "message", "level", "event_type",
@@ -57,8 +60,8 @@ def recompute_reason(entries: Column, chosen_type: Column) -> Column:
     unsupported = F.coalesce(issues[1] == NO_RULES, F.lit(False)) | F.coalesce(
         issues[2] == NO_RULES, F.lit(False))
     reason = F.when(unsupported, NO_RULES).otherwise(
-        F.coalesce(*issues, F.lit("UNKNOWN_ISSUE")))
-    return F.when(chosen_type == COMPLETE, reason).otherwise("incremental recompute")
+        F.coalesce(*issues, F.lit(NO_ISSUE)))
+    return F.when(chosen_type == COMPLETE, reason).otherwise(NOT_COMPLETE)
 
 
 def refreshes(log: DataFrame) -> DataFrame:
@@ -76,7 +79,7 @@ def refreshes(log: DataFrame) -> DataFrame:
         .select(
             "origin.update_id", "origin.org_id", "origin.pipeline_id", "timestamp",
             "origin.pipeline_name",
-            F.regexp_extract("message", "executed as ([A-Z_]+)", 1).alias("refresh_type"),
+            F.regexp_extract("message", EXECUTED_AS, 1).alias("refresh_type"),
             F.col("chosen.maintenance_type").alias("chosen_maintenance_type"),
             F.col("chosen.cost").alias("cost"),
             recompute_reason(F.col("entries"), F.col("chosen.maintenance_type"))
