@@ -119,9 +119,12 @@ def hourly(rows: DataFrame, watermark: str | None = None) -> DataFrame:
 
 
 def clients(bronze: DataFrame) -> DataFrame:
-    """Registry of clients with the time each was first seen. State on a stream grows with
-    the number of clients only."""
-    seen = bronze.select("client_id", "client_name").dropDuplicates(["client_id"])
+    """Registry of clients with the time each was first seen. On a stream the first name
+    seen stays, and state grows with the number of clients only; a batch takes the smallest."""
+    if bronze.isStreaming:
+        seen = bronze.select("client_id", "client_name").dropDuplicates(["client_id"])
+    else:
+        seen = bronze.groupBy("client_id").agg(F.min("client_name").alias("client_name"))
     return seen.withColumn("first_seen", F.current_timestamp())
 
 

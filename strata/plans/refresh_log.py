@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata import schemas
 from strata.sinks.lake import Lake
@@ -35,11 +36,14 @@ def raw_copy(log: DataFrame) -> DataFrame:
     return log.select(*RAW_COLUMNS)
 
 
-def detailed(log: DataFrame) -> DataFrame:
-    """The log with details as a struct; text is parsed, a struct is taken as it is."""
-    if log.schema["details"].dataType.typeName() == "string":
-        return log.withColumn("details", F.from_json("details", schemas.REFRESH_DETAILS))
-    return log
+def detailed(log: DataFrame, event_type: str) -> DataFrame:
+    """The events of one type with details as a struct. Text is parsed, and of it only the
+    part that this type fills; a struct is taken as it is."""
+    events = log.filter(F.col("event_type") == event_type)
+    if log.schema["details"].dataType.typeName() != "string":
+        return events
+    part = StructType([schemas.REFRESH_DETAILS[event_type]])
+    return events.withColumn("details", F.from_json("details", part))
 
 
 def chosen_entry(entries: Column) -> Column:
@@ -66,7 +70,7 @@ def recompute_reason(entries: Column, chosen_type: Column) -> Column:
 
 def refreshes(log: DataFrame) -> DataFrame:
     """One row per planning event with the technique chosen, its cost and the reason."""
-    planned = detailed(log.filter(F.col("event_type") == "planning_information"))
+    planned = detailed(log, "planning_information")
     entries = F.col("details.planning_information.technique_information")
     sources = F.col("details.planning_information.source_table_information")
     return (
@@ -91,7 +95,7 @@ def refreshes(log: DataFrame) -> DataFrame:
 
 def flows(log: DataFrame) -> DataFrame:
     """One row per flow definition."""
-    defined = detailed(log.filter(F.col("event_type") == "flow_definition"))
+    defined = detailed(log, "flow_definition")
     return defined.select(
         "origin.update_id", "origin.org_id", "origin.pipeline_id",
         F.col("details.flow_definition.output_dataset").alias("output_dataset"),

@@ -60,9 +60,12 @@ def use_schema(spark: SparkSession, name: str) -> None:
     spark.sql("USE SCHEMA IDENTIFIER(:name)", args={"name": name})
 
 
-def create_table(spark: SparkSession, name: str, columns: str) -> None:
-    """Make an empty parquet table unless it exists; columns is a DDL column list."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) ({columns}) USING parquet",
+def create_table(spark: SparkSession, name: str, columns: str,
+                 location: str | None = None) -> None:
+    """Make an empty parquet table unless it exists; columns is a DDL column list. With a
+    location the catalogue only points at the data."""
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) ({columns}) USING parquet{place}",
               args={"name": name})
 
 

@@ -4,6 +4,7 @@ is the next layer's source, so layers restart independently of each other."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.plans import messages
@@ -26,10 +27,15 @@ def quarantine(raw: DataFrame, path: str, checkpoint: str, target_topic: str,
 
 
 def client_layers(bronze_rows: DataFrame, path: str, checkpoint: str,
-                  continuous: bool = False) -> StreamingQuery:
-    """Validated bronze, one folder per client."""
-    return runner.to_files(messages.accepted(bronze_rows), path, checkpoint, continuous,
-                           partition_by=["client_id"])
+                  continuous: bool = False, files_per_client: int = 8) -> StreamingQuery:
+    """Validated bronze, one folder per client.
+
+    Rows are gathered by client and a salt before the write: a batch then gives a client a
+    handful of files, not one from every task, and a dominant client still has several
+    writers."""
+    salt = F.pmod(F.xxhash64("kafka_partition", "kafka_offset"), F.lit(files_per_client))
+    rows = messages.accepted(bronze_rows).repartition("client_id", salt)
+    return runner.to_files(rows, path, checkpoint, continuous, partition_by=["client_id"])
 
 
 def silver(bronze_rows: DataFrame, path: str, checkpoint: str, watermark: str = WATERMARK,

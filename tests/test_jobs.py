@@ -142,7 +142,7 @@ def test_message_without_a_match(spark):
 
 def test_details_as_struct_give_the_same(spark):
     log = log_of(spark, *[plan_event(name, *case[0]) for name, case in CASES.items()])
-    as_struct = refresh_log.detailed(log)
+    as_struct = log.withColumn("details", F.from_json("details", schemas.REFRESH_DETAILS))
     assert rows(refresh_log.refreshes(as_struct)) == rows(refresh_log.refreshes(log))
 
 

@@ -1,10 +1,13 @@
 """One key holds a third of the rows; results stay whole and no task gets the whole key."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import dedup
 from strata.plans import education, emails
+from strata.sinks import tables
 
 from conftest import rows
 
@@ -90,3 +93,12 @@ def test_hot_duplicates(spark):
     df = spark.range(N).repartition(8).select(hot(F.col("id"), 1000).alias("k"), F.col("id").alias("v"))
     got = dedup.first_per_key(df, ["k"])
     assert rows(got) == rows(df.groupBy("k").agg(F.min("v")))
+
+
+def test_hot_folder_gets_several_files(spark, small_limits, path):
+    df = spark.range(N).repartition(8).select(
+        hot(F.col("id"), 5).alias("k"), F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("t"))
+    tables.overwrite_partitioned(df, path("p"), "k")
+    counts = {k: len(list((Path(path("p")) / f"k={k}").glob("*.parquet"))) for k in range(5)}
+    assert counts[0] > 1 and sum(counts.values()) < 5 * 16
+    assert spark.read.parquet(path("p")).count() == N

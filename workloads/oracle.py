@@ -526,6 +526,8 @@ SQL["masked_grouped"] = f"""WITH {TURNS}, grouped AS (
 SELECT * REPLACE ('***' AS content) FROM grouped WHERE processed = 'Y'"""
 SQL["name_counts"] = """
 SELECT c_mktsegment AS name, count(c_custkey) AS name_count FROM customer GROUP BY 1"""
+SQL["name_table"] = "SELECT c_custkey AS id, c_mktsegment AS name FROM customer"
+SQL["error_table"] = f"WITH {ERRORS} SELECT * FROM errors"
 SQL["name_counts_all"] = SQL["name_counts"]
 SQL["name_counts_filtered"] = SQL["name_counts"] + " HAVING c_mktsegment <> 'BUILDING'"
 SQL["fare_filter"] = """

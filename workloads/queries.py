@@ -588,6 +588,30 @@ def name_counts(t: Tables) -> DataFrame:
     return small_tables.name_counts(mapping.names(t))
 
 
+def _through_table(t: Tables, df: DataFrame, label: str) -> DataFrame:
+    """df inserted into a catalogue table of its own and read from there. The table's entry
+    goes again; its files stay in the scratch folder."""
+    path = scratch_path(t.spark, label)
+    name = sinks.prefixed("dev", path.rsplit("/", 1)[1].replace("-", "_"))
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+    sinks.create_table(t.spark, name, columns, location=path)
+    sinks.insert_into(df, name)
+    stored = files.read_table(t.spark, name)
+    t.spark.sql("DROP TABLE IDENTIFIER(:name)", args={"name": name})
+    return stored
+
+
+@query
+def name_table(t: Tables) -> DataFrame:
+    return _through_table(t, mapping.names(t), "names")
+
+
+@query
+def error_table(t: Tables) -> DataFrame:
+    rows = conform.conform(mapping.errors(t.events), schemas.PIPELINE_ERROR)
+    return _through_table(t, rows, "errors")
+
+
 @query
 def name_counts_filtered(t: Tables) -> DataFrame:
     rules = [Rule("valid_customer_name", "name <> 'BUILDING'")]
