@@ -10,7 +10,8 @@ from strata.operators import dedup
 from strata.plans.monitoring import Moment, recent
 from strata.sinks.lake import Lake
 
-# The audited actions that decide the state.
+# Where a dashboard's page lies, and the audited actions that decide the state.
+PAGE = "/sql/dashboardsv3/"
 ACTIONS = ("publishDashboard", "unpublishDashboard")
 
 
@@ -34,7 +35,7 @@ def publish_states(audit: DataFrame, host: str, as_of: Moment = None,
         "dashboard_id",
         labels.publish_state(F.col("action_name")).alias("publish_state"),
         "actor_email", "run_by", "run_as", "event_time",
-        F.concat(F.lit(f"{host}/sql/dashboardsv3/"), F.col("dashboard_id").cast("string"))
+        F.concat(F.lit(host + PAGE), F.col("dashboard_id").cast("string"))
         .alias("dashboard_url"),
     )
 

@@ -67,10 +67,8 @@ def of_client(df: DataFrame, client_id: str) -> DataFrame:
     return df.filter(F.col("client_id") == client_id)
 
 
-def enriched(bronze: DataFrame) -> DataFrame:
-    """Rows that pass the silver rules, with date parts and an amount band."""
-    kept = quality.enforce(bronze, SILVER_RULES)
-    return kept.select(
+def _with_extras(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "client_id", "client_name", "event_timestamp", "event_type", "amount", "status",
         "data", "metadata", *MESSAGE_ID,
         F.current_timestamp().alias("silver_processed_timestamp"),
@@ -79,15 +77,23 @@ def enriched(bronze: DataFrame) -> DataFrame:
     )
 
 
+def enriched(bronze: DataFrame) -> DataFrame:
+    """Rows that pass the silver rules, with date parts and an amount band."""
+    return _with_extras(quality.enforce(bronze, SILVER_RULES))
+
+
 def silver(bronze: DataFrame, watermark: str | None = None) -> DataFrame:
     """Enriched rows, each message once. Offsets repeat between topics, so the topic is part
-    of a message's identity. On a stream give a watermark: it bounds the state kept to
-    recognise repeats."""
-    rows = enriched(bronze)
-    if watermark:
-        return (rows.withWatermark("event_timestamp", watermark)
-                .dropDuplicatesWithinWatermark(MESSAGE_ID))
-    return rows.dropDuplicates(MESSAGE_ID)
+    of a message's identity.
+
+    On a stream give a watermark: it bounds the state kept to recognise repeats. It runs on
+    the broker's time, which a repeat shares with its first delivery; a message that reports
+    an old event is not late by it and stays."""
+    if watermark is None:
+        return enriched(bronze).dropDuplicates(MESSAGE_ID)
+    once = (quality.enforce(bronze, SILVER_RULES).withWatermark("kafka_timestamp", watermark)
+            .dropDuplicatesWithinWatermark(MESSAGE_ID))
+    return _with_extras(once)
 
 
 def _hour() -> Column:

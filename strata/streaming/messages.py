@@ -3,6 +3,8 @@ is the next layer's source, so layers restart independently of each other."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,7 +14,10 @@ from strata.sinks.lake import Lake
 from strata.sources import files
 from strata.streaming import runner
 
-WATERMARK = "1 hour"
+# How far behind the newest broker time a delivery may be and still be told from a repeat,
+# and how long an hour stays open for late events before hourly_closed() writes it.
+REPEATS = "1 day"
+CLOSING = "1 hour"
 
 
 def bronze(raw: DataFrame, path: str, checkpoint: str, continuous: bool = False) -> StreamingQuery:
@@ -38,17 +43,17 @@ def client_layers(bronze_rows: DataFrame, path: str, checkpoint: str,
     return runner.to_files(rows, path, checkpoint, continuous, partition_by=["client_id"])
 
 
-def silver(bronze_rows: DataFrame, path: str, checkpoint: str, watermark: str = WATERMARK,
+def silver(bronze_rows: DataFrame, path: str, checkpoint: str, watermark: str = REPEATS,
            continuous: bool = False) -> StreamingQuery:
-    """Valid, enriched messages, each once within the watermark."""
+    """Valid, enriched messages, each once."""
     return runner.to_files(messages.silver(bronze_rows, watermark), path, checkpoint, continuous)
 
 
-def hourly(silver_rows: DataFrame, path: str, checkpoint: str, watermark: str | None = WATERMARK,
+def hourly(silver_rows: DataFrame, path: str, checkpoint: str, watermark: str | None = None,
            continuous: bool = False) -> StreamingQuery:
     """Hourly metrics kept current: every batch writes the groups it changed, also those of
-    hours still open; read them with hourly_table(). The watermark bounds the state, and rows
-    that arrive later than it are left out; without one no row is ever late."""
+    hours still open; read them with hourly_table(). No row is ever late, and state grows with
+    the number of groups. A watermark bounds the state, and later rows are then left out."""
     return runner.each_batch(messages.hourly(silver_rows, watermark), runner.batch_folders(path),
                              checkpoint, mode="update", continuous=continuous)
 
@@ -57,7 +62,7 @@ def hourly_table(spark: SparkSession, path: str) -> DataFrame:
     return runner.newest(spark, path, messages.HOURLY_KEYS, messages.HOURLY_VALUES)
 
 
-def hourly_closed(silver_rows: DataFrame, path: str, checkpoint: str, watermark: str = WATERMARK,
+def hourly_closed(silver_rows: DataFrame, path: str, checkpoint: str, watermark: str = CLOSING,
                   continuous: bool = False) -> StreamingQuery:
     """Hourly metrics written once, when the watermark has closed the hour."""
     return runner.to_files(messages.hourly(silver_rows, watermark), path, checkpoint, continuous)
@@ -75,23 +80,23 @@ def late_rows(query: StreamingQuery) -> int:
                for p in query.recentProgress for op in p["stateOperators"])
 
 
-def run_available(lake: Lake, raw: DataFrame, target_topic: str,
-                  watermark: str | None = WATERMARK) -> DataFrame:
+def run_available(lake: Lake, raw: DataFrame, target_topic: str) -> DataFrame:
     """Work off what has arrived, layer by layer, and return the hourly table. Run it again
     to take in what came since; each layer goes on from its own checkpoint."""
-    def step(start, source: DataFrame, layer: str, name: str, *args) -> None:
+    def step(start: Callable[..., StreamingQuery], source: DataFrame, layer: str, name: str,
+             *args: str) -> None:
         start(source, lake.path(layer, name), lake.checkpoint(layer, name),
               *args).awaitTermination()
 
-    def layer(name: str, kind: str, like: DataFrame) -> DataFrame:
-        return files.stream_files(lake.spark, lake.path(kind, name), like.schema)
+    def arriving(layer: str, name: str, like: DataFrame) -> DataFrame:
+        return files.stream_files(lake.spark, lake.path(layer, name), like.schema)
 
     step(bronze, raw, "bronze", "messages")
     step(quarantine, raw, "bronze", "quarantine", target_topic)
-    arrived = layer("messages", "bronze", messages.ingest(raw))
+    arrived = arriving("bronze", "messages", messages.ingest(raw))
     step(clients, arrived, "bronze", "clients")
     step(client_layers, arrived, "silver", "by_client")
-    step(silver, messages.accepted(arrived), "silver", "messages", watermark or WATERMARK)
-    clean = layer("messages", "silver", messages.silver(messages.accepted(arrived)))
-    step(hourly, clean, "gold", "hourly", watermark)
+    step(silver, messages.accepted(arrived), "silver", "messages")
+    clean = arriving("silver", "messages", messages.enriched(messages.accepted(arrived)))
+    step(hourly, clean, "gold", "hourly")
     return hourly_table(lake.spark, lake.path("gold", "hourly"))

@@ -181,7 +181,7 @@ def client_silver_stream(t: Tables) -> DataFrame:
 def client_gold_hourly_stream(t: Tables) -> DataFrame:
     root = scratch_path(t.spark, "hourly")
     rows = messages.enriched(messages.accepted(messages.ingest(_raw_stream(t))))
-    streams.hourly(rows, f"{root}/rows", f"{root}/log", watermark=None).awaitTermination()
+    streams.hourly(rows, f"{root}/rows", f"{root}/log").awaitTermination()
     return _rounded(streams.hourly_table(t.spark, f"{root}/rows"))
 
 
