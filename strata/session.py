@@ -23,22 +23,49 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-_SHUFFLE_TARGET_BYTES = 128 * 1024 * 1024
+MB = 1024 * 1024
+# A shuffle has one block per map task and partition, so neither number may grow without end:
+# beyond these, tasks get larger instead, and spill.
+PARTITION_BYTES, MOST_PARTITIONS = 256 * MB, 40_000
+SPLIT_BYTES, LARGEST_SPLIT, MOST_SPLITS = 128 * MB, 1024 * MB, 100_000
+
 _local_scratch: str | None = None
 
 
-def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
-    """Apply SETTINGS; with input_bytes also raise the shuffle partition count so that one
-    partition stays near 128 MB. Adaptive execution merges what turns out too small."""
+def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
+    """Apply SETTINGS, and size scans and shuffles for an input of the given size. Settings
+    that are already larger stay; adaptive execution merges partitions that turn out small."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
-    if input_bytes:
-        wanted = math.ceil(input_bytes / _SHUFFLE_TARGET_BYTES)
-        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spark.conf.set("spark.sql.shuffle.partitions", str(max(current, wanted)))
+    for key, wanted in sizing(input_bytes).items():
+        current = spark.conf.get(key)
+        if _bytes(current) < wanted:
+            spark.conf.set(key, str(wanted))
     return spark
 
 
+def sizing(input_bytes: int) -> dict[str, int]:
+    """Shuffle partitions and scan split size for an input of the given size."""
+    partitions = min(math.ceil(input_bytes / PARTITION_BYTES), MOST_PARTITIONS)
+    split = min(max(SPLIT_BYTES, math.ceil(input_bytes / MOST_SPLITS)), LARGEST_SPLIT)
+    return {"spark.sql.shuffle.partitions": partitions,
+            "spark.sql.files.maxPartitionBytes": split if input_bytes else 0}
+
+
+def _bytes(text: str) -> int:
+    """A plain number, or one with a size suffix as Spark writes them (128m, 1g, 134217728b)."""
+    text = text.strip().lower().removesuffix("b")
+    scale = {"k": 1024, "m": MB, "g": 1024 * MB, "t": MB * MB}.get(text[-1:], 1)
+    return int(text.rstrip("kmgt")) * scale
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes stored below a path, as its file system reports them."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.getContentSummary(place).getLength()
+
+
 def local_session(cpus: int | str = "*", app: str = "strata", **extra: str) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (

@@ -76,13 +76,33 @@ def test_scratch_follows_the_session(spark):
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
 
 
-def test_shuffle_partitions_grow_with_the_input(spark):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
+def test_scans_and_shuffles_grow_with_the_input(spark):
+    keys = list(session.sizing(1))
+    before = {k: spark.conf.get(k) for k in keys}
+
+    def sized(n):
+        session.configure(spark, n)
+        return [session._bytes(spark.conf.get(k)) for k in keys]
+
     try:
-        session.configure(spark, input_bytes=1 << 40)
-        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 8192
+        assert sized(1 << 20) == [session._bytes(before[k]) for k in keys]
+        assert sized(1 << 40) == [4096, 128 << 20]
+        assert sized(100 << 40) == [40_000, 1 << 30]
+        assert sized(1 << 20) == [40_000, 1 << 30]  # never lowered
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("text, want", [("134217728b", 1 << 27), ("128MB", 1 << 27), ("16KB", 1 << 14),
+                                        ("1g", 1 << 30), ("200", 200)])
+def test_sizes_in_settings(text, want):
+    assert session._bytes(text) == want
+
+
+def test_input_bytes(spark, path):
+    spark.range(1000).write.parquet(path("x"))
+    assert session.input_bytes(spark, path("x")) > 1000
 
 
 def test_evolving_append(spark, path):

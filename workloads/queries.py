@@ -15,7 +15,7 @@ from strata.operators import conform, quality
 from strata.operators.quality import Rule
 from strata.plans import (dashboards, education, emails, messages, monitoring, orders,
                           refresh_log, small_tables, stocks, values)
-from strata.session import configure, scratch_path
+from strata.session import configure, input_bytes, scratch_path
 from strata.sinks import snapshot, tables as sinks
 from strata.sinks.lake import Lake
 from strata.sources import files, kafka, synthetic
@@ -31,9 +31,14 @@ HISTORY = "30 DAYS"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+_sizes: dict[str, int] = {}
+
+
 def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(Tables(configure(spark), sf_dir))
+        if sf_dir not in _sizes:
+            _sizes[sf_dir] = input_bytes(spark, sf_dir)
+        return build(Tables(configure(spark, _sizes[sf_dir]), sf_dir))
 
     QUERIES[build.__name__] = run
     return build
