@@ -5,9 +5,9 @@ from __future__ import annotations
 SQL: dict[str, str] = {}
 
 
-def _round2(x: str) -> str:
+def _round(x: str, digits: int = 2) -> str:
     """Rounds as Spark does: half up on the shortest decimal text of a double."""
-    return f"cast(round(cast(cast({x} AS varchar) AS decimal(38,17)), 2) AS double)"
+    return f"cast(round(cast(cast({x} AS varchar) AS decimal(38,17)), {digits}) AS double)"
 
 
 # --- messages ------------------------------------------------------------------------------
@@ -94,7 +94,7 @@ SQL["client_silver"] = f"WITH {MSGS}, {ACCEPTED}, {SILVER} SELECT * FROM silver"
 SQL["client_silver_stream"] = SQL["client_silver"]
 
 SQL["client_gold_hourly"] = f"""WITH {MSGS}, {ACCEPTED}, {SILVER}, {HOURLY}
-SELECT * REPLACE ({_round2('total_amount')} AS total_amount, round(avg_amount, 6) AS avg_amount)
+SELECT * REPLACE ({_round('total_amount')} AS total_amount, {_round('avg_amount', 6)} AS avg_amount)
 FROM hourly"""
 SQL["client_gold_hourly_stream"] = SQL["client_gold_hourly"]
 
@@ -171,12 +171,12 @@ SELECT b AS bronze_count, s AS silver_count, g AS gold_count,
        CASE WHEN b = 0 THEN 0.0 ELSE cast(b - s AS double) / b * 100 END AS drop_rate_pct
 FROM n"""
 SQL["event_type_distribution"] = f"""WITH {MSGS}
-SELECT client_id, event_type, count(*) AS event_count, {_round2('avg(amount)')} AS avg_amount,
-       {_round2('sum(amount)')} AS total_amount
+SELECT client_id, event_type, count(*) AS event_count, {_round('avg(amount)')} AS avg_amount,
+       {_round('sum(amount)')} AS total_amount
 FROM msgs WHERE {RECENT} GROUP BY 1, 2"""
 SQL["gold_latest20"] = f"""WITH {MSGS}, {ACCEPTED}, {SILVER}, {HOURLY}
 SELECT client_id, window_start, window_end, event_type, status, event_count,
-       {_round2('total_amount')} AS total_amount, {_round2('avg_amount')} AS avg_amount,
+       {_round('total_amount')} AS total_amount, {_round('avg_amount')} AS avg_amount,
        min_amount, max_amount
 FROM hourly ORDER BY window_start DESC, client_id, event_type, status LIMIT 20"""
 SQL["messages_latest20"] = f"""WITH {MSGS}
@@ -193,7 +193,7 @@ SQL["status_share"] = f"""WITH {MSGS}, counted AS (
 shared AS (
   SELECT *, status_count * 100.0::double / cast(sum(status_count) OVER (PARTITION BY client_id)
          AS double) AS share FROM counted)
-SELECT client_id, status, status_count, {_round2('share')} AS percentage FROM shared"""
+SELECT client_id, status, status_count, {_round('share')} AS percentage FROM shared"""
 SQL["failed_alert"] = f"""WITH {MSGS}
 SELECT client_id, count(*) AS failed_count, max(event_timestamp) AS last_failure
 FROM msgs WHERE status = 'failed' AND {RECENT}
@@ -289,7 +289,7 @@ FROM refreshes r LEFT JOIN per_org p ON r.org_id = p.org_id"""
 
 
 def _size_text(x: str) -> str:
-    parts = [f"WHEN {x} >= {1 << p} THEN cast({_round2(f'{x} / {1 << p}.0::double')} AS varchar)"
+    parts = [f"WHEN {x} >= {1 << p} THEN cast({_round(f'{x} / {1 << p}.0::double')} AS varchar)"
              f" || ' {u}'" for u, p in (("GB", 30), ("MB", 20), ("KB", 10))]
     return (f"CASE WHEN {x} IS NULL OR {x} = 0 THEN '-' {' '.join(parts)} "
             f"ELSE cast({x} AS varchar) || ' B' END")
@@ -390,9 +390,9 @@ SQL["edu_silver"] = f"WITH {ASSESSMENTS} SELECT * FROM assessments"
 SQL["edu_assessment_summary"] = f"""WITH {ASSESSMENTS}
 SELECT c_custkey AS classroom_id, c_name AS classroom_name, c_mktsegment AS grade_level,
        n_nationkey AS school_id, n_name AS school_name, subject, assessment_period,
-       count(DISTINCT student_id) AS student_count, {_round2('avg(score)')} AS avg_score,
+       count(DISTINCT student_id) AS student_count, {_round('avg(score)')} AS avg_score,
        min(score) AS min_score, max(score) AS max_score,
-       {_round2('stddev_samp(score)')} AS stddev_score
+       {_round('stddev_samp(score)')} AS stddev_score
 FROM assessments JOIN orders ON o_orderkey = student_id
 JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
 GROUP BY 1, 2, 3, 4, 5, 6, 7"""
@@ -403,7 +403,7 @@ SELECT s_suppkey AS educator_id, s_name AS first_name, 'L' || s_suppkey AS last_
             WHEN 2 THEN 'specialist' ELSE 'administrator' END AS role,
        n_name AS school_name, count(DISTINCT o_orderkey) AS student_count,
        count(DISTINCT assessment_id) AS assessment_count,
-       {_round2('avg(score)')} AS avg_student_score,
+       {_round('avg(score)')} AS avg_student_score,
        count(DISTINCT c_custkey) AS classroom_count
 FROM supplier JOIN customer ON c_custkey // 15 = s_suppkey
 JOIN orders ON o_custkey = c_custkey
@@ -422,7 +422,7 @@ SELECT n_nationkey AS school_id, n_name AS name, 'District ' || n_regionkey AS d
        CASE n_regionkey % 3 WHEN 0 THEN 'CA' WHEN 1 THEN 'NY' ELSE 'TX' END AS state,
        CASE n_nationkey % 2 WHEN 0 THEN 'public' ELSE 'private' END AS school_type,
        coalesce(taken.students, 0) AS total_students, coalesce(staff.n, 0) AS total_educators,
-       coalesce(rooms.n, 0) AS total_classrooms, {_round2('taken.mean')} AS avg_assessment_score,
+       coalesce(rooms.n, 0) AS total_classrooms, {_round('taken.mean')} AS avg_assessment_score,
        coalesce(taken.n, 0) AS total_assessments
 FROM nation LEFT JOIN taken ON taken.k = n_nationkey
 LEFT JOIN staff ON staff.k = n_nationkey LEFT JOIN rooms ON rooms.k = n_nationkey"""
@@ -445,7 +445,7 @@ STATUS = "CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'pending' E
 ORDERS = f"""clean AS (
   SELECT o_orderkey AS order_id, c_name AS customer_name, n_name AS state,
          o_totalprice AS order_amount, c_mktsegment AS category, o_orderdate AS order_ts,
-         {STATUS} AS status, {_round2('o_totalprice')} AS order_amount_usd,
+         {STATUS} AS status, {_round('o_totalprice')} AS order_amount_usd,
          cast(o_orderdate AS date) AS order_date
   FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
   WHERE o_orderstatus IN ('F', 'O'))"""
@@ -490,15 +490,15 @@ VALUES = f"""raw AS (
   FROM part),
 silver AS (
   SELECT id, 'user_' || id AS name, value, 'dev' AS config, 'broker.example' AS kafka_host,
-         {_round2('value')} AS value_rounded,
+         {_round('value')} AS value_rounded,
          CASE WHEN value < 33 THEN 'low' WHEN value < 66 THEN 'medium' ELSE 'high' END
            AS value_category, '/checkpoints/dev' AS checkpoint_path
   FROM raw WHERE id IS NOT NULL AND value >= 0)"""
 SQL["value_silver"] = f"WITH {VALUES} SELECT * FROM silver"
 SQL["value_stats"] = f"""WITH {VALUES}
 SELECT value_category, config, kafka_host, count(*) AS record_count,
-       round(avg(value_rounded), 6) AS avg_value, min(value_rounded) AS min_value,
-       max(value_rounded) AS max_value, round(stddev_samp(value_rounded), 6) AS stddev_value,
+       {_round('avg(value_rounded)', 6)} AS avg_value, min(value_rounded) AS min_value,
+       max(value_rounded) AS max_value, {_round('stddev_samp(value_rounded)', 6)} AS stddev_value,
        'dev' AS environment
 FROM silver GROUP BY 1, 2, 3"""
 SQL["stock_silver"] = """
