@@ -10,10 +10,6 @@ from strata.llm.common import lower_ascii, stage
 PREFIX = 64
 
 
-def _repeated(rows: DataFrame, *keys: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").drop("n")
-
-
 def _ingest(docs: DataFrame, id: str, text: str) -> DataFrame:
     """The rows whole, in a struct so that no name clashes, beside a tag of their own and the
     two cheap keys. In the stored table the first two steps read no text."""
@@ -31,9 +27,9 @@ def _text(stored: DataFrame, text: str):
 
 def _decisions(stored: DataFrame, text: str) -> DataFrame:
     """(tag, keep_id, group_size, kept) of every row whose text occurs more than once."""
-    keys = stored.select("size", "prefix")
-    of_length = keys.join(_repeated(stored.select("size"), "size"), "size", "left_semi")
-    alike = _repeated(of_length, "size", "prefix")
+    groups = stored.groupBy("size", "prefix").agg(F.count("*").alias("n"))
+    lengths = groups.groupBy("size").agg(F.sum("n").alias("m")).where("m > 1")
+    alike = groups.join(lengths, "size", "left_semi").where("n > 1").drop("n")
     full = stage(stored.join(alike, ["size", "prefix"], "left_semi").select(
         "tag", "doc_id", "size", F.sha2(_text(stored, text), 256).alias("hash")), "exact-full")
     groups = full.groupBy("size", "hash").agg(

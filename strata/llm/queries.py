@@ -5,17 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import exact
+from strata.llm import exact, packing, token_files
+from strata.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_tokens(_table(spark, sf_dir, "documents"),
+                             vocabulary("byte_bpe_50k.json"), path, end=2)
+    return token_files.read_tokens(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(
+        _table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end=0,
+    ).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+             "sequence_id", "offset", "loss_tokens")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_token_files": op1_token_files,
+    "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
 }
