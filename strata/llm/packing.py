@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from strata.llm.tokens import encoder, end_bytes
+from strata.llm.tokens import TEXTS, encoder, end_bytes
 
 TOKENS, SEGMENTS = 1024, 64
 POOL = 4096
@@ -248,10 +248,15 @@ def pack_documents(docs: DataFrame, vocabulary: str, end: int | None = 0, id: st
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = encoder(vocabulary)
         last = end_bytes(known, end)
-        return _packed((Source(name, np.frombuffer(known.ids(value.as_py()) + last, known.dtype))
-                        for batch in batches
-                        for name, value in zip(batch.column(0).to_pylist(), batch.column(1),
-                                               strict=True)), limits, True)
+
+        def sources() -> Iterator[Source]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, TEXTS):
+                    names, texts = (c.to_pylist() for c in batch.slice(at, TEXTS).columns)
+                    for name, ids in zip(names, known.many(texts), strict=True):
+                        yield Source(name, np.frombuffer(ids + last, known.dtype))
+
+        return _packed(sources(), limits, True)
 
     return docs.select(docs[id].cast("long").alias("doc_id"), docs[text].alias("text")).mapInArrow(
         of, COLUMNS)

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import exact, packing, token_files
+from strata.llm import exact, packing, pii, quality, simhash, token_files, url_classes, warc
 from strata.session import scratch_path
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -22,25 +22,57 @@ def vocabulary(name: str) -> str:
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
-    token_files.write_tokens(_table(spark, sf_dir, "documents"),
+    token_files.write_tokens(table(spark, sf_dir, "documents"),
                              vocabulary("byte_bpe_50k.json"), path, end=2)
     return token_files.read_tokens(spark, path).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op3_pieces(packed: DataFrame) -> DataFrame:
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", "offset", "loss_tokens")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(
-        _table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end=0,
-    ).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
-             "sequence_id", "offset", "loss_tokens")
+    return op3_pieces(packing.pack_documents(
+        table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end=0))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact.exact_groups(_table(spark, sf_dir, "documents"))
+    return exact.exact_groups(table(spark, sf_dir, "documents"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), path)
+    return warc.read_warc(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal(table(spark, sf_dir, "documents"))
+
+
+def op10_url_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_classes.filter_urls(table(spark, sf_dir, "pages"))
 
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_simhash": op2_simhash,
     "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op7_warc": op7_warc,
+    "op8_quality": op8_quality,
+    "op9_personal_data": op9_personal_data,
+    "op10_url_classes": op10_url_classes,
 }

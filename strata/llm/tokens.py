@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import json
+import os
 import re
 from array import array
 from collections.abc import Iterator
@@ -16,7 +17,9 @@ from pyspark.sql import DataFrame
 SPACE = "\t-\r \x85\xa0  -     　"
 APART = re.compile(f"[{SPACE}][ \n]")
 CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-CACHED = 300_000
+SPACES = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{SPACE}]", c))
+ENDS = ".,"
+CACHED, TEXTS = 600_000, 500
 
 
 def _byte_letters() -> dict[int, str]:
@@ -30,72 +33,95 @@ def _byte_letters() -> dict[int, str]:
 LETTERS = _byte_letters()
 
 
-class _Known(dict):
-    """Pieces of text with their ids, kept between texts and tasks. Bounded: when it is full it
-    becomes the older generation, from which what is still asked for moves over."""
-
-    def __init__(self, encode, before: str = "") -> None:
-        self.encode, self.before, self.older = encode, before, {}
-
-    def __missing__(self, piece: str) -> bytes:
-        found = self.older.get(piece)
-        if found is None:
-            found = self.encode(piece if piece[:1] == "\n" else self.before + piece)
-        if len(piece) < 64:
-            if len(self) >= CACHED:
-                self.older = dict(self)
-                self.clear()
-            self[piece] = found
-        return found
-
-
 class Encoder:
-    """ids(text) is what the tokenizer gives for the whole text without special tokens, as
+    """many(texts) is what the tokenizer gives for whole texts without special tokens, as
     little-endian bytes of `dtype`; strings of special tokens in a text are ordinary text.
 
     A byte-level pre-tokenizer never joins a non-space character to the white space after it,
-    so a text may be cut there, and each piece is looked up before the tokenizer is asked.
-    Any other kind of tokenizer gets the text whole."""
+    so a text may be cut there. Pieces met before are looked up, the tokenizer's model is asked
+    for the others. Any other kind of tokenizer gets the texts whole.
+
+    A piece that follows a single space is known by itself without the space, one that begins
+    with a newline by itself, any other by a tuple around it."""
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         described = json.loads(self.tokenizer.to_str())
         pre = described["pre_tokenizer"] or {}
         self.by_piece = (described["normalizer"] is None and pre.get("type") == "ByteLevel"
                          and pre.get("use_regex") and not pre.get("add_prefix_space"))
-        self.words, self.chunks = _Known(self._piece, " "), _Known(self._piece)
-
-    def _ids(self, letters: str) -> list[int]:
-        return [t.id for t in self.model.tokenize(letters)]
-
-    def _piece(self, piece: str) -> bytes:
-        word = piece.rstrip(".,")
-        if word[:1] == " " and word[1:].isalpha() and max(word) < "ɐ":
-            ids = self._ids("Ġ" + word[1:] if word.isascii() else
-                            word.encode().decode("latin-1").translate(LETTERS))
-            ids += self._ids(piece[len(word):]) if len(word) < len(piece) else []
-        else:
-            ids = [i for part, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(piece)
-                   for i in self._ids(part)]
-        return array(self.code, ids).tobytes()
-
-    def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if not self.by_piece:
-            found = self.tokenizer.encode(text, add_special_tokens=False).ids
-            return np.array(found, self.dtype).tobytes()
+        self.model = self.tokenizer.model
+        if described["model"]["type"] == "BPE":  # its own cache is no use to pieces not met yet
+            options = {k: v for k, v in described["model"].items()
+                       if k not in ("type", "vocab", "merges") and v}
+            self.model = BPE(described["model"]["vocab"],
+                             [tuple(x) for x in described["model"]["merges"]],
+                             cache_capacity=0, **options)
+        self.ends = {c: self._ids([c]) for c in ENDS} if self.by_piece else {}
+        self.known: dict = {}
+        self.older: dict = {}
+
+    def _letters(self, piece: str) -> list[str]:
+        """The pre-tokens of a piece, in letters that stand for bytes."""
+        if piece[:1] == " " and piece[1:].isalpha() and max(piece) < "ɐ":
+            return ["Ġ" + piece[1:] if piece.isascii() else
+                    piece.encode().decode("latin-1").translate(LETTERS)]
+        return [part for part, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(piece)]
+
+    def _ids(self, parts: list[str]) -> bytes:
+        tokenize = self.model.tokenize
+        return array(self.code, [t.id for part in parts for t in tokenize(part)]).tobytes()
+
+    def _learned(self, new: set) -> dict:
+        """The ids of new pieces, known from now on. A word before a full stop or comma is looked up itself."""
+        found, ask, tails = {}, [], []
+        for k in new:
+            ids = self.older.get(k)
+            if ids is not None:
+                found[k] = ids
+            elif type(k) is str and k[-1:] in ENDS and k[:-1].isalpha():
+                tails.append(k)
+            else:
+                ask.append(k)
+        words = {k[:-1] for k in tails}.difference(self.known, self.older, found, ask)
+        ask += words
+        for k in ask:
+            piece = k[0] if type(k) is tuple else k if k[:1] == "\n" else " " + k
+            found[k] = self._ids(self._letters(piece))
+        for k in tails:
+            word = k[:-1]
+            ids = found.get(word) or self.known.get(word) or self.older[word]
+            found[k] = ids + self.ends[k[-1]]
+        if len(self.known) + len(found) > CACHED:
+            self.older, self.known = self.known, {}
+        self.known.update(found)
+        return found
+
+    def _keys(self, text: str) -> list:
         if APART.search(text):
-            return b"".join(map(self.chunks.__getitem__, CHUNK.findall(text)))
+            return [c[1:] if c[0] == " " and c[1:2] not in SPACES else
+                    c if c[0] == "\n" and c[1:2] not in SPACES else (c,)
+                    for c in CHUNK.findall(text)]
         first, *rest = text.replace("\n", " \n").split(" ")
-        return (self.chunks[first] if first else b"") + b"".join(
-            map(self.words.__getitem__, rest))
+        return [(first,), *rest] if first else rest
+
+    def many(self, texts: list[str | None]) -> list[bytes]:
+        if not self.by_piece:
+            found = self.tokenizer.encode_batch_fast([t or "" for t in texts],
+                                                     add_special_tokens=False)
+            return [np.array(f.ids, self.dtype).tobytes() for f in found]
+        keys = [self._keys(t) if t else [] for t in texts]
+        met = set().union(*keys)  # far fewer than there are pieces, and so quicker to look up in
+        ids = {k: self.known[k] for k in met if k in self.known}
+        ids |= self._learned(met.difference(ids))
+        return [b"".join(map(ids.__getitem__, k)) for k in keys]
 
 
 @functools.lru_cache(maxsize=2)
@@ -117,9 +143,9 @@ def encode(docs: DataFrame, vocabulary: str, end: int | None = None, id: str = "
         known = encoder(vocabulary)
         last = end_bytes(known, end)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                ids = [known.ids(t) + last for t in part.column(1).to_pylist()]
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                ids = [x + last for x in known.many(part.column(1).to_pylist())]
                 lengths = [len(x) // known.dtype.itemsize for x in ids]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(lengths, pa.int64()), pa.array(ids, pa.binary())],
