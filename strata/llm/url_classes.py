@@ -57,17 +57,20 @@ def node(url: Column) -> Column:
 
 
 def judged(of_host: Column, of_path: Column, rules: Sequence[Rule]) -> Column:
-    """The longest rule that fits, as a struct of name and verdict; null if none does. Of rules
-    of the same length an allowing one comes first."""
-    chosen = F.lit(None).cast("struct<name:string,verdict:string>")
-    for rule in sorted(rules, key=lambda r: (len(r.name), r.verdict == "allow", r)):
+    """The place in `ranked(rules)` of the first rule that fits; null if none does."""
+    chosen = F.lit(None).cast("int")
+    for place, rule in reversed(list(enumerate(ranked(rules)))):
         fits = ((of_host == rule.host) | of_host.endswith("." + rule.host)) & of_path.startswith(
             rule.path)
-        chosen = F.when(fits, F.struct(F.lit(rule.name).alias("name"),
-                                       F.lit(rule.verdict).alias("verdict"))).otherwise(chosen)
+        chosen = F.when(fits, place).otherwise(chosen)
     return chosen
 
 
+def ranked(rules: Sequence[Rule]) -> list[Rule]:
+    """The longest first; of the same length an allowing one."""
+    return sorted(rules, key=lambda r: (-len(r.name), r.verdict != "allow", r))
+
+
 def target(tag: Column) -> Column:
     """The address that a tag names as the page's own: a canonical link's, or that of a refresh
     to another address. Empty for any other tag."""
@@ -90,8 +93,8 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     """Edges (a, b) between the addresses of pages and those their html names."""
     tags = pages.select(pages[url].alias("url"), F.explode(
         F.regexp_extract_all(pages[html], F.lit(TAG), F.lit(0))).alias("tag"))
-    named = tags.select("url", F.regexp_replace("tag", r"[\r\n]+", " ").alias("tag")).select(
-        "url", target(F.col("tag")).alias("target")).where("target <> ''")
+    named = stage(tags.select("url", target(F.regexp_replace("tag", r"[\r\n]+", " "))
+                              .alias("target")).where("target <> ''"), "named")
     own = named.select("target", node(F.col("url")).alias("a"), host(F.col("url")).alias("host"),
                        path(F.col("url")).alias("path"))
     return own.select("a", node(resolved(F.col("target"), F.col("host"), F.col("path")))
@@ -117,20 +120,23 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, id: str = "page
     if redirects is not None:
         edges = edges.unionAll(redirects.select(node(redirects["source"]).alias("a"),
                                                 node(redirects["target"]).alias("b")))
-    classes = stage(components(edges.where("a IS NOT NULL AND b IS NOT NULL")), "aliases")
+    classes = stage(components(stage(edges, "url-edges")), "aliases")
+    order = ranked(rules)
+    verdicts = F.array(*[F.lit(r.verdict) for r in order])
     at = F.concat(F.lit("http://"), F.col("node"))
     found = classes.select("root", host(at).alias("host"), path(at).alias("path")).select(
-        "root", judged(F.col("host"), F.col("path"), rules)["verdict"].alias("verdict"))
+        "root", F.get(verdicts, judged(F.col("host"), F.col("path"), rules)).alias("verdict"))
     decided = found.groupBy("root").agg(
         F.max(F.col("verdict") == "allow").alias("allowed"),
         F.max(F.col("verdict") == "block").alias("blocked"))
-    blocked = classes.join(decided.where("blocked AND NOT allowed"), "root").select(
+    blocked = classes.join(decided.where("blocked AND coalesce(NOT allowed, true)"), "root").select(
         F.col("node").alias("blocked_node"))
     rows = pages.select(pages[id].alias("page_id"), host(pages[url]).alias("host"),
                         path(pages[url]).alias("path"), node(pages[url]).alias("node"))
-    rows = rows.withColumn("found", judged(F.col("host"), F.col("path"), rules))
-    rows = rows.withColumn("open", F.when(F.col("found").isNull(), F.col("node")))
+    rows = rows.withColumn("place", judged(F.col("host"), F.col("path"), rules))
+    rows = rows.withColumn("open", F.when(F.col("place").isNull(), F.col("node")))
+    by_class = F.when(F.col("blocked_node").isNotNull(), "block").otherwise("allow")
     return rows.join(blocked, F.col("open") == F.col("blocked_node"), "left").select(
-        "page_id", "host", "path", F.col("found.name").alias("rule"),
-        F.coalesce("found.verdict", F.when(F.col("blocked_node").isNotNull(), F.lit("block"))
-                   .otherwise(F.lit("allow"))).alias("verdict"))
+        "page_id", "host", "path",
+        F.get(F.array(*[F.lit(r.name) for r in order]), F.col("place")).alias("rule"),
+        F.coalesce(F.get(verdicts, F.col("place")), by_class).alias("verdict"))
