@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import exact, packing, pii, quality, simhash, token_files, url_classes, warc
+from strata.llm import exact, packing, pieces, pii, quality, simhash, token_files, url_classes, warc
 from strata.session import scratch_path
 
 
@@ -51,6 +51,15 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = vocabulary("piece_bpe_32k.model")
+    sampled = pieces.sample_pieces(table(spark, sf_dir, "documents"), model)
+    return pieces.decode_pieces(sampled, model).select(
+        "doc_id", (F.octet_length("pieces") / 4).cast("long").alias("n_pieces"),
+        F.crc32("pieces").alias("pieces_crc32"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_warc(table(spark, sf_dir, "pages"), path)
@@ -71,6 +80,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_pieces": op5_pieces,
     "op7_warc": op7_warc,
     "op8_quality": op8_quality,
     "op9_personal_data": op9_personal_data,
