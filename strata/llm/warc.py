@@ -24,7 +24,7 @@ from strata.llm.common import discard, shuffles_removed, stage
 DICTIONARY_FRAME = 0x184D2A5D
 EMPTY_FRAME = "P*M\x18\0\0\0\0"  # magic 0x184D2A50 and a length of 0
 SAMPLES, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 16_384, 110_000
-FILE_BYTES, ROW_BYTES, LEVEL = 64 << 20, 1 << 20, 6
+ROW_BYTES, LEVEL = 1 << 20, 6
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 COLUMNS = ("page_id long, url string, record_type string, payload_bytes long, "
@@ -96,7 +96,7 @@ def _frames(batches: Iterator[pa.RecordBatch], dictionary: bytes) -> Iterator[pa
 
 
 def write_warc(pages: DataFrame, path: str, id: str = "page_id", url: str = "url",
-               html: str = "html", least_bytes: int = 0, file_bytes: int = FILE_BYTES) -> None:
+               html: str = "html", least_bytes: int = 0) -> None:
     """Write one record per row of pages below `path`.
 
     Of equal payloads of at least `least_bytes` the row with the least id (null ids last) is a
@@ -105,8 +105,9 @@ def write_warc(pages: DataFrame, path: str, id: str = "page_id", url: str = "url
     the response. Other columns are not looked at; an empty table gives no file.
 
     The dictionary is trained on at most 1000 records, the first by digest, of 16 KB each at
-    most; both bounds are parameters of this module. Files hold about `file_bytes` of payload,
-    which bounds what a reader holds. Equal payloads are counted on the map side."""
+    most; both bounds are parameters of this module. Payloads are shuffled once, by digest, for
+    the join with the groups, and each of Spark's partitions (a hot digest makes several) is
+    written as a file. Equal payloads are counted on the map side."""
     spark = pages.sparkSession
     whole = F.coalesce(F.col("html"), F.lit(""))
     stored = stage(pages.select(
@@ -126,10 +127,8 @@ def write_warc(pages: DataFrame, path: str, id: str = "page_id", url: str = "url
               .select("page_id", "tag", "url", F.substring("html", 1, SAMPLE_BYTES), "sha1"))
     dictionary = train([record(i, t, u, (h or "").encode(), s, None, None)
                         for i, t, u, h, s in sample.collect()])
-    total = stored.agg(F.sum(F.col("size").cast("long"))).first()[0] or 0
     with shuffles_removed(spark):
-        (rows.repartition(max(1, -(-total // file_bytes)), "tag")
-         .mapInArrow(lambda batches: _frames(batches, dictionary), "value binary")
+        (rows.mapInArrow(lambda batches: _frames(batches, dictionary), "value binary")
          .select(F.col("value").cast("string")).write.option("lineSep", EMPTY_FRAME).text(path))
     discard(stored)
 
