@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import exact, packing, pieces, pii, quality, simhash, token_files, url_classes, warc
+from strata.llm import exact, fuzzy_lines, packing, pieces, pii, quality, simhash, token_files, url_classes, warc
 from strata.session import scratch_path
 
 
@@ -60,6 +60,10 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
 
 
+def op6_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.fuzzy_lines(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_warc(table(spark, sf_dir, "pages"), path)
@@ -81,6 +85,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_pieces": op5_pieces,
+    "op6_fuzzy_lines": op6_fuzzy_lines,
     "op7_warc": op7_warc,
     "op8_quality": op8_quality,
     "op9_personal_data": op9_personal_data,

@@ -74,20 +74,20 @@ def _sparse(parts: int, radius: int) -> Iterator[tuple[int, ...]]:
     return grow(0, radius)
 
 
-class _Forest:
+class Forest:
     """Which of the pairs seen so far are already connected."""
 
     def __init__(self) -> None:
-        self.parent: dict[int, int] = {}
+        self.parent: dict = {}
 
-    def root(self, x: int) -> int:
+    def root(self, x):
         up = self.parent.setdefault(x, x)
         while up != self.parent[up]:
             self.parent[x] = self.parent[up]
             x, up = up, self.parent[up]
         return up
 
-    def join(self, a: int, b: int) -> bool:
+    def join(self, a, b) -> bool:
         a, b = self.root(a), self.root(b)
         self.parent[max(a, b)] = min(a, b)
         return a != b
@@ -112,7 +112,7 @@ def _links(home: np.ndarray, others: np.ndarray, radius: int, same: bool
 def _compare(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
     """Rows come by tile, a tile's own fingerprints first, then those of the tiles around it.
     Only a tile's own are held; of the links found the ones that join something are returned."""
-    tile, home, forest = None, np.zeros(0, np.uint64), _Forest()
+    tile, home, forest = None, np.zeros(0, np.uint64), Forest()
     for batch in batches:
         tiles, guest, prints = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
         prints = prints.view(np.uint64)
@@ -122,7 +122,7 @@ def _compare(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Reco
             if a == b:
                 continue
             if tiles[a] != tile:
-                tile, home, forest = tiles[a], np.zeros(0, np.uint64), _Forest()
+                tile, home, forest = tiles[a], np.zeros(0, np.uint64), Forest()
             part = prints[a:b]
             if guest[a]:
                 pairs = _links(home, part, radius, False) if len(home) else ()
