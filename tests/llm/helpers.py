@@ -1,0 +1,48 @@
+"""Plain reference computations and awkward tables for the tests of strata.llm."""
+
+import random
+
+from pyspark.sql import functions as F
+
+SF = "/root/testdata/sf0.001"
+CLASHING = ["tag", "row", "key", "print", "kept", "keep_id", "size", "prefix", "hash", "n",
+            "node", "root", "a", "b", "ids", "gone", "norm", "q", "p", "place", "at"]
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def documents(spark, rows, clash=True):
+    """(doc_id, text) rows with extra columns whose names the operators use themselves."""
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    if clash:
+        for name in CLASHING:
+            df = df.withColumn(name, F.concat(F.lit(name), F.lit("-"), F.col("doc_id").cast("string")))
+    return df
+
+
+def awkward(seed=0, n=60):
+    """Rows with nulls, empty and long texts, ties, repeated rows and odd white space."""
+    rng = random.Random(seed)
+    words = ["the", "The", "of", "und", "école", "x" * 40, "語", "a.b", "123", "­", "&&&"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(80))) for _ in range(n // 3)]
+    texts += ["", None, " ", "\n\n", "\t a \x0b b\r\n", "Same", "same", "SAME", "ÉCOLE", "école",
+              "word " * 30_000, "x" * 100_000]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    rows += [(100 + i, rng.choice(texts[:20])) for i in range(n // 3)]
+    return rows + rows[:5] + [(None, "same"), (None, None), (7, "other text of id 7")]
+
+
+class Union:
+    def __init__(self):
+        self.up = {}
+
+    def root(self, x):
+        while self.up.setdefault(x, x) != x:
+            x = self.up[x]
+        return x
+
+    def join(self, a, b):
+        a, b = sorted([self.root(a), self.root(b)], key=repr)
+        self.up[b] = a
