@@ -1,0 +1,289 @@
+"""Quality rules and personal data against plain computations."""
+
+import collections
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from strata.llm import pii, quality
+
+from helpers import SF, awkward, documents, rows_of
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+# Quality.
+
+def counts_plain(text):
+    words = WORD.findall(text or "")
+    lines, seen, dup = (text or "").split("\n"), set(), 0
+    for line in lines:
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    times = collections.Counter(windows)
+    inside = {i + k for i, w in enumerate(windows) if times[w] > 1 for k in range(3)}
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), dup,
+            len(inside))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.one_of(st.none(), st.text(alphabet="ab é#|\n\t\x0b\x1c\xa0 ", max_size=60)))
+def test_counts(text):
+    assert quality.counts(text) == counts_plain(text)
+
+
+def test_counts_of_many_different_words(monkeypatch):
+    text = " ".join(map(str, range(300))) + " 1 2 3 4"
+    assert quality.counts(text) == counts_plain(text)
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    """Clean documents in two languages, and two kinds of junk."""
+    rng = random.Random(11)
+    words = {"en": ["the", "of", "house", "river", "stone", "walks", "over"],
+             "de": ["der", "fluss", "über", "haus", "geht", "stein", "und"]}
+    rows, labels = [], []
+    for n in range(240):
+        tongue = words["en" if n % 3 else "de"]
+        text = " ".join(rng.choice(tongue) + str(rng.randrange(9)) * (rng.random() < 0.1)
+                        for _ in range(rng.randrange(60, 200)))
+        if n % 8 == 0:
+            text = " ".join(w + rng.choice(["***", "&&&", "$$$"]) for w in text.split())
+        elif n % 8 == 1:
+            text = " ".join(w.upper() + "!!" for w in text.split())
+        rows.append((n, text))
+        if n % 2:
+            labels.append((n, 0 if n % 8 < 2 else 1))
+    return rows, labels
+
+
+def test_rules_keep_clean_documents_and_reject_junk(spark, corpus):
+    rows, labelled = corpus
+    labels = spark.createDataFrame(labelled + [(5, 1), (None, 1), (9999, 1), (7, None)],
+                                   "doc_id long, quality int")
+    docs = documents(spark, rows + [(500, None), (501, ""), (None, "the of")])
+    found = {r.doc_id: r for r in quality.quality(docs, labels).collect()}
+    for n, text in rows:
+        r = found[n]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (
+            counts_plain(text))
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        if not r.base_failed:
+            assert r.kept == (n % 8 > 1), (n, r.score)
+    assert not found[500].kept and not found[501].kept and found[500].base_failed
+    kept = quality.keep_good(docs, labels)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {n for n, r in found.items() if r.kept}
+
+
+def test_scores_equal_a_plain_likelihood_ratio(spark, corpus):
+    rows, labelled = corpus
+    labels = spark.createDataFrame(labelled, "doc_id long, quality int")
+    docs = documents(spark, rows)
+    chosen = {r.labelled: r.counted for r in quality._labelled(labels, 10 ** 6).collect()}
+    size = 1 << quality.BITS
+    raw, target = np.ones(size), np.ones(size)
+
+    def grams(text):
+        data = text.encode()
+        out = []
+        for i in range(len(data) - 3):
+            value = 0
+            for b in data[i:i + 4]:
+                value = value * 257 + b
+            out.append((value * 0x9E3779B97F4A7C15 % 2 ** 64) >> (64 - quality.BITS))
+        return out
+
+    for n, text in rows:
+        for g in grams(text):
+            raw[g] += 1
+            target[g] += chosen.get(n) is True
+    ratio = np.log(target / target.sum()) - np.log(raw / raw.sum())
+    for r in quality.quality(docs, labels).collect()[:20]:
+        found = grams(rows[r.doc_id][1])
+        assert r.score == pytest.approx(sum(ratio[g] for g in found) / len(found), abs=1e-9)
+
+
+def test_without_labels_only_the_base_rule_rejects(spark, corpus):
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    found = quality.quality(documents(spark, corpus[0]), labels)
+    assert found.where(~F.col("base_failed") & ~F.col("kept")).count() == 0
+    assert quality.quality(documents(spark, []), labels).count() == 0
+
+
+# Personal data.
+
+PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+         "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+",
+         "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(digits):
+    total = 0
+    for k, c in enumerate(reversed(digits)):
+        v = int(c) * (2 if k % 2 else 1)
+        total += v - 9 if v > 9 else v
+    return total % 10 == 0
+
+
+def spans_plain(text):
+    out = []
+    for kind, pattern in PLAIN.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            if kind == "ip" and any(int(x) > 255 for x in m.group().split(".")):
+                continue
+            if kind == "card" and not (16 <= len(digits) <= 19 and luhn(digits)):
+                continue
+            if kind == "phone" and not 8 <= len(digits) <= 15:
+                continue
+            out.append((kind, *m.span()))
+    return out
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.text(alphabet="a@.1+ -(5%é\n04_", max_size=50))
+def test_patterns(text):
+    assert pii.base_spans(text) == spans_plain(text)
+
+
+@pytest.mark.parametrize("text", ["1" * 200_000, "1." * 100_000, "a" * 200_000 + "@", "@" * 100_000,
+                                  "+1" + " " * 200_000, "+1 " * 70_000, "a@" * 100_000])
+def test_long_runs_take_no_time(text):
+    pii.base_spans(text)
+
+
+def viterbi_plain(scores, model):
+    best, back = scores[0] + model.begins, []
+    for s in scores[1:]:
+        through = best[:, None] + model.follows
+        back.append(through.argmax(0))
+        best = through.max(0) + s
+    out = [int(best.argmax())]
+    for b in reversed(back):
+        out.append(int(b[out[-1]]))
+    return out[::-1]
+
+
+def test_viterbi_of_many_lines_is_that_of_each():
+    rng = np.random.default_rng(3)
+    model = pii.Field(np.zeros((pii.FEATURES, pii.K), np.float32),
+                      rng.normal(size=(pii.K, pii.K)).astype(np.float32),
+                      rng.normal(size=pii.K).astype(np.float32))
+    lengths = np.array([3, 1, 0, 7, 7, 2, 30, 0, 1])
+    scores = rng.normal(size=(lengths.sum(), pii.K)).astype(np.float32)
+    found, at = pii.viterbi(scores, lengths, model).tolist(), 0
+    for n in lengths:
+        if n:
+            assert found[at:at + n] == viterbi_plain(scores[at:at + n], model)
+        at += n
+
+
+def invented(seed, n):
+    """Lines of words with personal data in some, and look-alikes in others."""
+    rng = random.Random(seed)
+    digits = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+
+    def card():
+        head = digits(15)
+        return head + next(c for c in "0123456789" if luhn(head + c))
+
+    make = {"email": lambda: f"{rng.choice('abc')}{digits(2)}@mail.example.com",
+            "ip": lambda: ".".join(str(rng.randrange(256)) for _ in range(4)), "card": card,
+            "phone": lambda: f"+1 ({digits(3)}) 555-{digits(4)}"}
+    out = []
+    for _ in range(n):
+        text, spans = "", []
+        for _ in range(rng.randrange(4, 12)):
+            kind = rng.choice([None] * 6 + list(make))
+            piece = make[kind]() if kind else rng.choice(["word", "Other", "of", "v1.2", "2024", "x=9f3"])
+            if kind:
+                spans.append((kind, len(text), len(text) + len(piece)))
+            text += piece + rng.choice([" ", ", ", " "])
+        out.append((text, spans))
+    return out
+
+
+@pytest.fixture(scope="module")
+def model():
+    return pii.fit(invented(1, 250))
+
+
+def test_held_out_accuracy_of_the_field(model):
+    finder, hit, known, wrong = pii.Finder(model), 0, 0, 0
+    texts = invented(2, 300)
+    found = finder.added([t for t, _ in texts])
+    for n, (_, spans) in enumerate(texts):
+        got = set(found.get(n, []))
+        hit, known = hit + len(got & set(spans)), known + len(spans)
+        wrong += len(got - set(spans))
+    assert hit / known > 0.95 and wrong / known < 0.03
+
+
+def test_the_field_adds_what_a_greedy_pattern_swallows(model):
+    text = "call +1 (826) 555-4081 190.137.223.20 or write"
+    (base, more), = pii.Finder(model).find([text])
+    assert ("phone", 5, 22) in more and [s[0] for s in base] == ["ip"]
+    assert pii.redacted(text, base + more) == "call [phone] [ip] or write"
+
+
+def test_training_depends_on_the_texts_alone(model):
+    again = pii.fit(invented(1, 250))
+    assert all((getattr(model, k) == getattr(again, k)).all() for k in ("weights", "follows", "begins"))
+
+
+def test_personal_rows(spark, model):
+    rows = awkward(6) + [(900 + n, t) for n, (t, _) in enumerate(invented(3, 40))]
+    found = pii.find_personal(documents(spark, rows), model=model).collect()
+    assert len(found) == len(rows)
+    texts = collections.defaultdict(list)
+    for i, t in rows:
+        texts[i].append(t or "")
+    for r in found:
+        want = [t for t in texts[r.doc_id] if hashlib.sha256(
+            pii.joined(spans_plain(t)).encode()).hexdigest() == r.base_sha256]
+        assert want
+        base = spans_plain(want[0])
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [
+            sum(s[0] == k for s in base) for k in pii.KINDS]
+        assert set(base) <= set(pii.parsed(r.spans))
+        assert len(pii.parsed(r.spans)) == len(base) + r.n_added
+    clean = [r for r in found if r.doc_id is not None and r.doc_id < 100]
+    assert all(r.spans == "" for r in clean)
+
+
+def test_redaction_keeps_the_rest(spark, model):
+    rows = [(1, "mail a1@b.example now"), (2, None), (3, ""), (4, "nothing here")]
+    docs = documents(spark, rows).withColumn("n_chars", F.length("text"))
+    found = pii.redact(docs, model=model)
+    assert found.columns == docs.columns
+    assert rows_of(found.select("doc_id", "text", "n_chars")) == [
+        (1, "mail [email] now", 16), (2, None, None), (3, "", 0), (4, "nothing here", 12)]
+
+
+def test_a_field_trained_on_the_tables_adds_only_checked_spans(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    table = pii.label_table(docs)
+    assert 0 < table.count() <= pii.WINDOWS
+    for r in table.collect():
+        assert pii.joined(pii.base_spans(r.text)) == r.spans or "," in r.spans or r.spans == ""
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in pii.find_personal(docs).where("n_added > 0").collect():
+        for kind, a, b in pii.parsed(r.spans):
+            assert pii._checked(kind, texts[r.doc_id][a:b])
+
+
+def test_nothing_to_learn_from(spark):
+    empty = documents(spark, [])
+    assert pii.find_personal(empty).count() == 0
+    found = pii.find_personal(documents(spark, [(1, "plain words"), (2, None)])).collect()
+    assert [r.spans for r in found] == ["", ""]
