@@ -9,8 +9,10 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import scratch_path
+from strata.session import _bytes, scratch_path
 
+ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2000,
+         "spark.sql.execution.arrow.maxBytesPerBatch": 16 << 20}
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -20,6 +22,14 @@ def lower_ascii(text: Column) -> Column:
             .otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase)))
 
 
+def in_batches(df: DataFrame) -> DataFrame:
+    """df, in a session that hands Python no more than some 16 MB at a time (or one row)."""
+    for key, most in ARROW.items():
+        if not 0 < _bytes(df.sparkSession.conf.get(key)) <= most:
+            df.sparkSession.conf.set(key, str(most))
+    return df
+
+
 @contextmanager
 def shuffles_removed(spark: SparkSession) -> Iterator[None]:
     """Queries that end in this block remove their shuffle files at once. A staged table holds

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from strata.llm.common import in_batches
 from strata.llm.tokens import TEXTS, encoder, end_bytes
 
 TOKENS, SEGMENTS = 1024, 64
@@ -258,8 +259,8 @@ def pack_documents(docs: DataFrame, vocabulary: str, end: int | None = 0, id: st
 
         return _packed(sources(), limits, True)
 
-    return docs.select(docs[id].cast("long").alias("doc_id"), docs[text].alias("text")).mapInArrow(
-        of, COLUMNS)
+    rows = in_batches(docs).select(docs[id].cast("long").alias("doc_id"), docs[text].alias("text"))
+    return rows.mapInArrow(of, COLUMNS)
 
 
 def pack_examples(examples: DataFrame, id: str = "id", ids: str = "ids", mask: str = "mask",
@@ -279,5 +280,5 @@ def pack_examples(examples: DataFrame, id: str = "id", ids: str = "ids", mask: s
 
         return _packed(sources(), limits, False)
 
-    return examples.select(examples[id].cast("long").alias("id"), examples[ids].alias("ids"),
+    return in_batches(examples).select(examples[id].cast("long").alias("id"), examples[ids].alias("ids"),
                            examples[mask].alias("mask")).mapInArrow(of, COLUMNS)

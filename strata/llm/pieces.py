@@ -20,11 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import in_batches
+
 MARK = "▁"
 PLAIN_MARK = "\ud800"  # stands for the mark's own character in a text; no text holds it
 ALPHA = 0.001
 DRAW = 24  # bits of a draw: chances are whole numbers, so they do not depend on the place
-WORDS, TEXTS = 200_000, 500
+WORDS, TEXTS = 120_000, 250
 LONGEST = 200
 
 
@@ -246,7 +248,7 @@ def sample_pieces(docs: DataFrame, model: str, id: str = "doc_id", text: str = "
                      pa.array([x.tobytes() for x in found], pa.binary())],
                     ["doc_id", "text", "pieces"])
 
-    return docs.select(
+    return in_batches(docs).select(
         docs[id].cast("long").alias("doc_id"), docs[text].alias("text"),
         F.xxhash64(docs[id].cast("long"), F.lit(seed)).alias("key")).mapInArrow(
         of, "doc_id long, text string, pieces binary")

@@ -14,13 +14,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import in_batches
+
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ["O", *(f"{p}-{k}" for k in KINDS for p in "BI")]
 K = len(LABELS)
 WINDOWS, AROUND = 400, 40
 FEATURES, ROUNDS, RATE, SHRINK = 1 << 13, 80, 0.2, 0.02
 CELLS = 1 << 16
-SHAPES = 200_000
+SHAPES = 150_000
 EDGES = ".,;:!?<>[]\"'"
 
 Span = tuple[str, int, int]
@@ -330,7 +332,7 @@ def label_table(docs: DataFrame, text: str = "text", most: int = WINDOWS) -> Dat
                 [pa.array([w[k] for w in found], pa.string()) for k in range(2)],
                 ["text", "spans"])
 
-    found = docs.select(docs[text].alias("text")).mapInArrow(of, "text string, spans string")
+    found = in_batches(docs).select(docs[text].alias("text")).mapInArrow(of, "text string, spans string")
     ranked = found.distinct().withColumn("rank", F.xxhash64("text"))
     half = lambda rows: rows.orderBy("rank", "text").limit(most // 2).drop("rank")
     return half(ranked.where("spans <> ''")).unionAll(half(ranked.where("spans = ''")))
@@ -451,14 +453,14 @@ def find_personal(docs: DataFrame, id: str = "doc_id", text: str = "text",
     labelled table, of which a bounded number reaches the driver. The field sees whole lines of
     whole texts."""
     model = model or train(label_table(docs, text))
-    return docs.select(docs[id].alias("doc_id"), spotted(model, docs[text]).alias("p")).select(
+    return in_batches(docs).select(docs[id].alias("doc_id"), spotted(model, docs[text]).alias("p")).select(
         "doc_id", "p.*")
 
 
 def redact(docs: DataFrame, text: str = "text", model: Field | None = None) -> DataFrame:
     """docs with every span replaced by its kind in brackets; null text stays null. A column
     n_chars, where there is one, counts the characters of the new text."""
-    finder = Finder(model or train(label_table(docs, text)))
+    finder = Finder(model or train(label_table(in_batches(docs), text)))
 
     @F.pandas_udf("string")
     def of(texts: pd.Series) -> pd.Series:

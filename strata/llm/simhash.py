@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import discard, stage
+from strata.llm.common import discard, in_batches, stage
 from strata.llm.components import components
 
 WORDS, RADIUS, SEED = 3, 2, 42
@@ -50,7 +50,7 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text",
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "print"])
 
-    return docs.select(docs[id].alias("doc_id"), docs[text].alias("text")).mapInArrow(
+    return in_batches(docs).select(docs[id].alias("doc_id"), docs[text].alias("text")).mapInArrow(
         of, f"doc_id {docs.schema[id].dataType.simpleString()}, print long")
 
 

@@ -13,13 +13,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from strata.llm.common import in_batches
+
 # The characters that the pre-tokenizer's \s stands for (Unicode White_Space).
 SPACE = "\t-\r \x85\xa0  -     　"
 APART = re.compile(f"[{SPACE}][ \n]")
 CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 SPACES = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{SPACE}]", c))
 ENDS = ".,"
-CACHED, TEXTS = 600_000, 500
+CACHED, TEXTS = 300_000, 500
 
 
 def _byte_letters() -> dict[int, str]:
@@ -151,5 +153,5 @@ def encode(docs: DataFrame, vocabulary: str, end: int | None = None, id: str = "
                     [part.column(0), pa.array(lengths, pa.int64()), pa.array(ids, pa.binary())],
                     ["doc_id", "n_tokens", "ids"])
 
-    return docs.select(docs[id].cast("long").alias("doc_id"), docs[text].alias("text")).mapInArrow(
-        of, "doc_id long, n_tokens long, ids binary")
+    rows = in_batches(docs).select(docs[id].cast("long").alias("doc_id"), docs[text].alias("text"))
+    return rows.mapInArrow(of, "doc_id long, n_tokens long, ids binary")

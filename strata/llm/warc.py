@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import discard, shuffles_removed, stage
+from strata.llm.common import discard, in_batches, shuffles_removed, stage
 
 DICTIONARY_FRAME = 0x184D2A5D
 EMPTY_FRAME = "P*M\x18\0\0\0\0"  # magic 0x184D2A50 and a length of 0
@@ -108,7 +108,7 @@ def write_warc(pages: DataFrame, path: str, id: str = "page_id", url: str = "url
     most; both bounds are parameters of this module. Payloads are shuffled once, by digest, for
     the join with the groups, and each of Spark's partitions (a hot digest makes several) is
     written as a file. Equal payloads are counted on the map side."""
-    spark = pages.sparkSession
+    spark = in_batches(pages).sparkSession
     whole = F.coalesce(F.col("html"), F.lit(""))
     stored = stage(pages.select(
         F.monotonically_increasing_id().alias("tag"), pages[id].cast("long").alias("page_id"),
