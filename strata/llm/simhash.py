@@ -22,7 +22,7 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     """A bit is 1 if it is set in over half the XXH64 hashes (seed 42) of the text's shingles:
     `words` words in a row, space-joined, repeats included; of fewer words the whole sequence;
     of none the fingerprint is 0. A-Z are lower-cased; words end at ASCII white space."""
-    from xxhash import xxh64_intdigest
+    from xxhash import xxh64_digest
 
     found = (text or "").encode().lower().split()
     if not found:
@@ -33,8 +33,9 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     stops = (ends - 1)[min(words, len(found)) - 1:].tolist()
     ones = np.zeros(64, np.int64)
     for at in range(0, n, PART):
-        hashes = np.array([xxh64_intdigest(whole[a:b], SEED) for a, b in
-                           zip(starts[at:at + PART], stops[at:at + PART], strict=True)], "<u8")
+        hashes = np.frombuffer(b"".join([
+            xxh64_digest(whole[a:b], SEED) for a, b in
+            zip(starts[at:at + PART], stops[at:at + PART], strict=True)]), ">u8").astype("<u8")
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])

@@ -202,12 +202,25 @@ def test_edit_distance(a, b, most):
     assert found == edit(a, b) if edit(a, b) <= most else found > most
 
 
+def test_edit_distance_of_long_near_texts():
+    rng = random.Random(4)
+    for _ in range(40):
+        a = "".join(rng.choice("abcd ") for _ in range(rng.randrange(300, 900)))
+        b = list(a)
+        for _ in range(rng.randrange(40)):
+            at = rng.randrange(len(b))
+            b[at:at + rng.randrange(2)] = rng.choice(["", "x", "yz"])
+        b, most = "".join(b), rng.randrange(1, 60)
+        want, found = edit(a, b), fuzzy_lines.distance(a, b, most)
+        assert found == want if want <= most else found > most
+
+
 def lines_plain(rows):
     """Occurrences, and for each the place that its group keeps."""
     found = [((i is None, i or 0), n, fuzzy_lines.normalised(x)) for i, t in rows
              for n, x in enumerate((t or "").split("\n")) if x and not x.isspace()]
     texts = sorted({x for _, _, x in found})
-    values = fuzzy_lines.prints(texts)
+    values = fuzzy_lines.prints([x.encode() for x in texts])
     plain = Union()
     for k, value in enumerate(values):
         for j in np.flatnonzero(np.bitwise_count(values[k + 1:] ^ value) <= 3) + k + 1:
