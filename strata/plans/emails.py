@@ -61,6 +61,11 @@ def attachment_totals(rows: DataFrame) -> DataFrame:
     )
 
 
+def _as_text(df: DataFrame, *keys: str) -> DataFrame:
+    """Ids of either type as text: a join on one type needs no cast and so no new layout."""
+    return df.withColumns({k: F.col(k).cast("string") for k in keys})
+
+
 def _any(condition: Column) -> Column:
     return F.bool_or(F.coalesce(condition, F.lit(False)))
 
@@ -76,6 +81,8 @@ def email_summary(recipients: DataFrame, attachments: DataFrame,
     receives = kind.isin("to", "cc", "bcc")
     external = receives & F.col("recipient_address_domain_is_external")
     consumer = receives & F.col("recipient_address_domain_is_consumer")
+    recipients = _as_text(recipients, "unique_email_id", "rls_org_key")
+    attachments = _as_text(attachments, "email_unique_id", "rls_org_key")
     kept = of_org(quality.enforce(recipients, EMAIL_RULES), org)
     present = [c for c in DESCRIPTIVE if c in recipients.columns]
     emails = kept.groupBy("unique_email_id", "rls_org_key").agg(

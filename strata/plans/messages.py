@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strata import schemas
 from strata.functions import json_text, labels
-from strata.operators import quality
+from strata.operators import dedup, quality
 from strata.operators.quality import Rule
 
 # The rules that decide which messages reach which layer.
@@ -23,6 +23,7 @@ SILVER_RULES = [
 
 MESSAGE_ID = ["kafka_topic", "kafka_partition", "kafka_offset"]
 HOURLY_KEYS = ["client_id", "client_name", "window_start", "window_end", "event_type", "status"]
+HOURLY_PARTS = ["event_count", "amount_sum", "amount_count", "min_amount", "max_amount"]
 HOURLY_VALUES = ["event_count", "total_amount", "avg_amount", "min_amount", "max_amount",
                  "unique_event_types"]
 
@@ -82,46 +83,65 @@ def enriched(bronze: DataFrame) -> DataFrame:
     return _with_extras(quality.enforce(bronze, SILVER_RULES))
 
 
-def silver(bronze: DataFrame, watermark: str | None = None) -> DataFrame:
+def silver(bronze: DataFrame) -> DataFrame:
     """Enriched rows, each message once. Offsets repeat between topics, so the topic is part
-    of a message's identity.
-
-    On a stream give a watermark: it bounds the state kept to recognise repeats. It runs on
-    the broker's time, which a repeat shares with its first delivery; a message that reports
-    an old event is not late by it and stays."""
-    if watermark is None:
-        return enriched(bronze).dropDuplicates(MESSAGE_ID)
-    once = (quality.enforce(bronze, SILVER_RULES).withWatermark("kafka_timestamp", watermark)
-            .dropDuplicatesWithinWatermark(MESSAGE_ID))
-    return _with_extras(once)
+    of a message's identity. Of repeats the first to arrive stays; equal times are settled by a
+    hash of the row, so the winner does not depend on the layout."""
+    passed = quality.enforce(bronze, SILVER_RULES)
+    arrival = "kafka_timestamp" if "kafka_timestamp" in bronze.columns else "ingestion_timestamp"
+    plain = [f.name for f in bronze.schema.fields if f.dataType.typeName() != "map"
+             and f.name not in ("ingestion_timestamp", "bronze_processed_timestamp")]
+    return _with_extras(dedup.first_per_key(
+        passed, MESSAGE_ID, [F.col(arrival), F.xxhash64(*plain)]))
 
 
 def _hour() -> Column:
     return F.window("event_timestamp", "1 hour")
 
 
-def hourly(rows: DataFrame, watermark: str | None = None) -> DataFrame:
-    """Gold: metrics per client, hour, event type and status.
-
-    unique_event_types is the number of types within one type's group, so 1, or 0 for NULL;
-    taking it as a maximum keeps it legal on a stream."""
-    if watermark:
-        rows = rows.withWatermark("event_timestamp", watermark)
+def hourly_parts(rows: DataFrame) -> DataFrame:
+    """Per client, hour, event type and status what hourly metrics are made of. Parts of the
+    same group add up, and amounts are added as decimals, so neither the order of rows nor
+    their division into batches changes a total."""
     groups = rows.groupBy("client_id", "client_name", _hour().alias("window"),
                           "event_type", "status")
-    metrics = groups.agg(
+    parts = groups.agg(
         F.count(F.lit(1)).alias("event_count"),
-        F.sum("amount").alias("total_amount"),
-        F.avg("amount").alias("avg_amount"),
+        F.sum(F.col("amount").cast("decimal(28,10)")).alias("amount_sum"),
+        F.count("amount").alias("amount_count"),
         F.min("amount").alias("min_amount"),
         F.max("amount").alias("max_amount"),
-        F.max(F.when(F.col("event_type").isNull(), 0).otherwise(1)).alias("unique_event_types"),
-    )
-    return metrics.select(
-        "client_id", "client_name", F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"), "event_type", "status", *HOURLY_VALUES,
-        F.current_timestamp().alias("gold_processed_timestamp"),
     )
+    return parts.select("client_id", "client_name", F.col("window.start").alias("window_start"),
+                        F.col("window.end").alias("window_end"), "event_type", "status",
+                        *HOURLY_PARTS)
+
+
+def added_parts(parts: DataFrame) -> DataFrame:
+    """Parts of the same group as one."""
+    return parts.groupBy(*HOURLY_KEYS).agg(
+        F.sum("event_count").alias("event_count"),
+        F.sum("amount_sum").cast("decimal(38,10)").alias("amount_sum"),
+        F.sum("amount_count").alias("amount_count"), F.min("min_amount").alias("min_amount"),
+        F.max("max_amount").alias("max_amount"))
+
+
+def hourly_metrics(parts: DataFrame) -> DataFrame:
+    """The metrics of groups. unique_event_types is the number of types within one type's
+    group, so 1, or 0 for NULL."""
+    total = F.col("amount_sum").cast("double")
+    return parts.select(
+        *HOURLY_KEYS, "event_count", total.alias("total_amount"),
+        F.try_divide(total, F.col("amount_count")).alias("avg_amount"), "min_amount",
+        "max_amount", F.col("event_type").isNotNull().cast("int").alias("unique_event_types"))
+
+
+def hourly(rows: DataFrame, watermark: str | None = None) -> DataFrame:
+    """Gold: metrics per client, hour, event type and status."""
+    if watermark:
+        rows = rows.withWatermark("event_timestamp", watermark)
+    return hourly_metrics(hourly_parts(rows)).withColumn(
+        "gold_processed_timestamp", F.current_timestamp())
 
 
 def clients(bronze: DataFrame) -> DataFrame:

@@ -70,8 +70,10 @@ def compare_runs(metrics: DataFrame) -> DataFrame:
 
 
 def last_two(metrics: DataFrame) -> DataFrame:
-    """The current and the previous run."""
-    return metrics.orderBy(F.desc("run_ts"), F.desc("run_id"), F.desc("job_id")).limit(2)
+    """The current and the previous run of each job."""
+    newest = Window.partitionBy("job_id").orderBy(F.desc("run_ts"), F.desc("run_id"))
+    return metrics.withColumn("_rank", F.row_number().over(newest)).filter("_rank <= 2").drop(
+        "_rank")
 
 
 def run(lake: Lake, bronze: DataFrame, run_id: str, job_id: str) -> DataFrame:

@@ -10,13 +10,12 @@ from strata import schemas
 from strata.sinks.lake import Lake
 from strata.sources import files
 
-# The log's vocabulary, and how many entries of a plan are looked at.
+# The log's vocabulary.
 COMPLETE = "MAINTENANCE_TYPE_COMPLETE_RECOMPUTE"
 NO_RULES = "EXPECTATIONS_NOT_SUPPORTED"
 NO_ISSUE = "UNKNOWN_ISSUE"
 NOT_COMPLETE = "incremental recompute"
 EXECUTED_AS = "executed as ([A-Z_]+)"
-ENTRIES = 4
 
 RAW_COLUMNS = ["id", "sequence", "origin", "timestamp", "message", "level", "event_type",
                "maturity_level", "pipeline_id", "pipeline_name", "error"]
@@ -47,24 +46,21 @@ def detailed(log: DataFrame, event_type: str) -> DataFrame:
 
 
 def chosen_entry(entries: Column) -> Column:
-    """The first chosen entry among those looked at, else NULL."""
-    return F.get(F.filter(F.slice(entries, 1, ENTRIES), lambda t: t.getField("is_chosen")), F.lit(0))
+    """The first chosen entry, else NULL."""
+    return F.get(F.filter(entries, lambda t: t.getField("is_chosen")), F.lit(0))
 
 
-def _issue(entries: Column, position: int) -> Column:
-    entry = F.get(entries, F.lit(position))
-    first = F.get(entry.getField("incrementalization_issues"), F.lit(0))
-    return first.getField("issue_type")
+def _issue(entry: Column) -> Column:
+    return F.get(entry.getField("incrementalization_issues"), F.lit(0)).getField("issue_type")
 
 
 def recompute_reason(entries: Column, chosen_type: Column) -> Column:
-    """Why a complete recompute was chosen. Unsupported rules named by the second or third
-    entry win over any other issue."""
-    issues = [_issue(entries, i) for i in range(ENTRIES)]
-    unsupported = F.coalesce(issues[1] == NO_RULES, F.lit(False)) | F.coalesce(
-        issues[2] == NO_RULES, F.lit(False))
-    reason = F.when(unsupported, NO_RULES).otherwise(
-        F.coalesce(*issues, F.lit(NO_ISSUE)))
+    """Why a complete recompute was chosen: the first issue that any entry names. Unsupported
+    rules named by the second or third entry win over any other issue."""
+    issues = F.transform(entries, _issue)
+    unsupported = F.array_contains(F.slice(issues, 2, 2), NO_RULES)
+    first = F.get(F.filter(issues, lambda i: i.isNotNull()), F.lit(0))
+    reason = F.when(unsupported, NO_RULES).otherwise(F.coalesce(first, F.lit(NO_ISSUE)))
     return F.when(chosen_type == COMPLETE, reason).otherwise(NOT_COMPLETE)
 
 
@@ -118,6 +114,16 @@ def with_flows(log: DataFrame, keys: tuple[str, ...] = ("update_id",)) -> DataFr
     )
 
 
+def by_update(log: DataFrame) -> DataFrame:
+    """Refreshes with what is known about the flows of their update, one row per refresh: the
+    number of flows and of datasets. flows() holds the flows under the same update_id."""
+    per_update = flows(log).groupBy("update_id").agg(
+        F.count(F.lit(1)).alias("matching_flows"),
+        F.count_distinct("output_dataset").alias("matching_datasets"))
+    return refreshes(log).join(per_update, "update_id", "left").na.fill(
+        0, ["matching_flows", "matching_datasets"])
+
+
 def by_organisation(log: DataFrame) -> DataFrame:
     """Refreshes with what is known about the flows of their organisation.
 
@@ -135,7 +141,9 @@ def by_organisation(log: DataFrame) -> DataFrame:
     )
 
 
-def run(lake: Lake, log: DataFrame, keys: tuple[str, ...] = ("update_id",)) -> DataFrame:
-    """Store the raw log and the combined table of refreshes and flows."""
+def run(lake: Lake, log: DataFrame, keys: tuple[str, ...] | None = None) -> DataFrame:
+    """Store the raw log and the combined table of refreshes and flows: one row per refresh, or
+    with keys one per refresh and flow that share them."""
     lake.store(raw_copy(log), "bronze", "raw_event_log")
-    return lake.store(with_flows(log, keys), "gold", "combined_event_log")
+    combined = by_update(log) if keys is None else with_flows(log, keys)
+    return lake.store(combined, "gold", "combined_event_log")

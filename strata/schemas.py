@@ -58,7 +58,7 @@ ORDERS = _row(
     status=S,
 )
 RUN_METRICS = _row(
-    run_id=S, job_id=S, run_ts=TS, bronze_rows=I, silver_rows=I, gold_rows=I,
+    run_id=S, job_id=S, run_ts=TS, bronze_rows=L, silver_rows=L, gold_rows=L,
     total_duration_sec=FL, status=S,
 )
 

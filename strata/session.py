@@ -30,17 +30,24 @@ PARTITION_BYTES, MOST_PARTITIONS = 256 * MB, 40_000
 SPLIT_BYTES, LARGEST_SPLIT, MOST_SPLITS = 128 * MB, 1024 * MB, 100_000
 
 _local_scratch: str | None = None
+# Of the sized settings, what the session was given and what it was last set to.
+_given: dict[str, tuple[str, str]] = {}
 
 
 def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
-    """Apply SETTINGS, and size scans and shuffles for an input of the given size. Settings
-    that are already larger stay; adaptive execution merges partitions that turn out small."""
+    """Apply SETTINGS, and size scans and shuffles for one job's input: the larger of what the
+    session was given and what the input asks for. A later job sizes them anew, so nothing of a
+    large one stays. Adaptive execution merges partitions that turn out small."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     for key, wanted in sizing(input_bytes).items():
-        current = spark.conf.get(key)
-        if _bytes(current) < wanted:
-            spark.conf.set(key, str(wanted))
+        now = spark.conf.get(key)
+        known = _given.get(key)
+        if known is None or now not in (known[0], known[1]):
+            known = (now, now)  # given by the session, or changed by its user since
+        chosen = str(wanted) if _bytes(known[0]) < wanted else known[0]
+        spark.conf.set(key, chosen)
+        _given[key] = (known[0], chosen)
     return spark
 
 
@@ -61,11 +68,26 @@ def _bytes(text: str) -> int:
 
 def input_bytes(spark: SparkSession, path: str) -> int:
     """Bytes stored below a path, as its file system reports them."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    place, system = _place(spark, path)
     return system.getContentSummary(place).getLength()
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, system = _place(spark, path)
+    return system.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has written."""
+    place, system = _place(spark, path)
+    system.delete(place, True)
+
+
 def local_session(cpus: int | str = "*", app: str = "strata", **extra: str) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schemas
@@ -29,6 +29,28 @@ def overwrite_partitioned(df: DataFrame, path: str, key: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def overwrite_bucketed(df: DataFrame, path: str, key: str, buckets: int = 64) -> DataFrame:
+    """Replace a directory laid out in a fixed number of buckets of the key's hash. The number
+    of folders does not grow with the keys. Rows of a file are sorted by key, so within a bucket
+    row groups without a key are skipped; a hot key's rows are split over several files."""
+    rows = df.withColumn("_bucket", _bucket(F.col(key), buckets))
+    (rows.hint("rebalance", "_bucket", key).sortWithinPartitions("_bucket", key)
+     .write.mode("overwrite").partitionBy("_bucket").parquet(path))
+    return df.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def bucket_of(stored: DataFrame, key: str, value: object, buckets: int = 64) -> DataFrame:
+    """The rows of one key of a table laid out by overwrite_bucketed(); only its bucket is
+    read."""
+    typed = F.lit(value).cast(stored.schema[key].dataType)
+    return stored.filter((F.col("_bucket") == _bucket(typed, buckets)) & (F.col(key) == typed)
+                         ).drop("_bucket")
+
+
+def _bucket(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
 def append_evolving(df: DataFrame, path: str) -> DataFrame:
     """Append to a directory whose rows may gain columns; readers see the union of columns,
     NULL where a row was written without one."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,9 +14,7 @@ from strata.sinks.lake import Lake
 from strata.sources import files
 from strata.streaming import runner
 
-# How far behind the newest broker time a delivery may be and still be told from a repeat,
-# and how long an hour stays open for late events before hourly_closed() writes it.
-REPEATS = "1 day"
+# How long an hour stays open for late events before hourly_closed() writes it.
 CLOSING = "1 hour"
 
 
@@ -32,34 +30,58 @@ def quarantine(raw: DataFrame, path: str, checkpoint: str, target_topic: str,
 
 
 def client_layers(bronze_rows: DataFrame, path: str, checkpoint: str,
-                  continuous: bool = False, files_per_client: int = 8) -> StreamingQuery:
-    """Validated bronze, one folder per client.
+                  continuous: bool = False) -> StreamingQuery:
+    """Validated bronze, one folder per client and in it one per batch. The rebalance hint
+    sizes the writers by volume: small clients share one, a dominant client has as many as its
+    rows need. A repeated batch replaces what it wrote."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("batch_id", F.lit(batch_id)).hint("rebalance", "client_id")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("client_id", "batch_id").parquet(path))
 
-    Rows are gathered by client and a salt before the write: a batch then gives a client a
-    handful of files, not one from every task, and a dominant client still has several
-    writers."""
-    salt = F.pmod(F.xxhash64("kafka_partition", "kafka_offset"), F.lit(files_per_client))
-    rows = messages.accepted(bronze_rows).repartition("client_id", salt)
-    return runner.to_files(rows, path, checkpoint, continuous, partition_by=["client_id"])
+    return runner.each_batch(messages.accepted(bronze_rows), write, checkpoint,
+                             continuous=continuous)
 
 
-def silver(bronze_rows: DataFrame, path: str, checkpoint: str, watermark: str = REPEATS,
+def silver(bronze_rows: DataFrame, path: str, checkpoint: str,
            continuous: bool = False) -> StreamingQuery:
-    """Valid, enriched messages, each once."""
-    return runner.to_files(messages.silver(bronze_rows, watermark), path, checkpoint, continuous)
+    """Valid, enriched messages, each once, however late they come and in whatever batches: a
+    repeat is told by the message's identity among the rows stored, not by a watermark."""
+    write = runner.new_rows(path, messages.MESSAGE_ID, messages.silver)
+    return runner.each_batch(bronze_rows, write, checkpoint, continuous=continuous)
+
 
+def late_arrivals(spark: SparkSession, path: str) -> DataFrame:
+    """Per batch of the stored silver rows: how many, and how many of them report an event
+    older than the newest of the batches before."""
+    stored = spark.read.parquet(path)
+    newest = stored.groupBy("batch_id").agg(F.max("event_timestamp").alias("newest"))
+    before = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, -1)
+    seen = newest.select("batch_id", F.max("newest").over(before).alias("seen"))
+    return stored.join(seen, "batch_id").groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if(F.col("event_timestamp") < F.col("seen")).alias("late_rows"))
 
-def hourly(silver_rows: DataFrame, path: str, checkpoint: str, watermark: str | None = None,
+
+def hourly(silver_rows: DataFrame, path: str, checkpoint: str,
            continuous: bool = False) -> StreamingQuery:
-    """Hourly metrics kept current: every batch writes the groups it changed, also those of
-    hours still open; read them with hourly_table(). No row is ever late, and state grows with
-    the number of groups. A watermark bounds the state, and later rows are then left out."""
-    return runner.each_batch(messages.hourly(silver_rows, watermark), runner.batch_folders(path),
-                             checkpoint, mode="update", continuous=continuous)
+    """Hourly metrics kept current: a batch adds its rows to what the table has of the groups
+    it touches and stores these groups. No state is kept, and no row is late. Read the table
+    with hourly_table(), and gather its batches now and then with compact_hourly()."""
+    write = runner.merged_groups(path, messages.HOURLY_KEYS, "window_start",
+                                 messages.hourly_parts, messages.added_parts)
+    return runner.each_batch(silver_rows, write, checkpoint, continuous=continuous)
 
 
 def hourly_table(spark: SparkSession, path: str) -> DataFrame:
-    return runner.newest(spark, path, messages.HOURLY_KEYS, messages.HOURLY_VALUES)
+    return messages.hourly_metrics(runner.newest(
+        spark, path, messages.HOURLY_KEYS, messages.HOURLY_PARTS))
+
+
+def compact_hourly(spark: SparkSession, path: str) -> None:
+    """Make one folder of all batches but the last; the table stays the same throughout."""
+    runner.compact(spark, path, messages.HOURLY_KEYS)
 
 
 def hourly_closed(silver_rows: DataFrame, path: str, checkpoint: str, watermark: str = CLOSING,

@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
+
+from strata.session import exists, remove
 
 
 def trigger(continuous: bool, interval: str = "1 minute") -> dict[str, object]:
@@ -50,9 +53,95 @@ def batch_folders(path: str, encode: Callable[[DataFrame], DataFrame] | None = N
     return write
 
 
+def earlier(spark: SparkSession, path: str, batch_id: int, like: DataFrame) -> DataFrame:
+    """The rows that batches before the given one have stored."""
+    stored = StructType([*like.schema.fields, StructField("batch_id", LongType())])
+    if not exists(spark, path):
+        return spark.createDataFrame([], stored)
+    return spark.read.schema(stored).parquet(path).where(F.col("batch_id") < batch_id)
+
+
+def within(rows: DataFrame, of: DataFrame, column: str) -> DataFrame:
+    """The rows whose column lies in the range it has in `of`. Both ends are literals, so files
+    without such rows are skipped by their statistics."""
+    low, high = of.agg(F.min(column), F.max(column)).first()
+    return rows.where(F.col(column).between(low, high))
+
+
+def new_rows(path: str, keys: list[str], encode: Callable[[DataFrame], DataFrame]
+             ) -> Callable[[DataFrame, int], None]:
+    """A batch writer that stores what encode() makes of the batch, without the rows whose key
+    an earlier batch has stored. No state is kept and no row is too late: repeats are looked up
+    in the stored rows, of which only those in the batch's range of the last key are read. A
+    batch that has been stored is left as it is, so readers never meet it twice."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, folder = batch.sparkSession, f"{path}/batch_id={batch_id}"
+        if exists(spark, f"{folder}/_SUCCESS"):
+            return
+        batch.persist()
+        try:
+            rows = encode(batch)
+            known = within(earlier(spark, path, batch_id, rows), batch, keys[-1])
+            rows.join(known.select(*keys), keys, "left_anti").select(*rows.columns).write.mode(
+                "overwrite").parquet(folder)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
+def merged_groups(path: str, keys: list[str], at: str,
+                  encode: Callable[[DataFrame], DataFrame],
+                  add: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """A batch writer for a table of groups: encode() sums up a batch, add() what the table has
+    of the same groups with it, and the batch's folder gets the new rows of the groups touched.
+    Read the table with newest(). Groups are compared null-safe; of the table only rows in the
+    batch's range of the column `at` are read."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, folder = batch.sparkSession, f"{path}/batch_id={batch_id}"
+        if exists(spark, f"{folder}/_SUCCESS"):
+            return
+        rows = encode(batch).persist()
+        try:
+            values = [c for c in rows.columns if c not in keys]
+            stored = within(earlier(spark, path, batch_id, rows), rows, at)
+            current = _picked(stored, keys, values)
+            touched = rows.select(*[F.col(k).alias(f"_{k}") for k in keys])
+            same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+            known = current.join(touched, same, "left_semi")
+            add(rows.unionByName(known)).write.mode("overwrite").parquet(folder)
+        finally:
+            rows.unpersist()
+
+    return write
+
+
+def compact(spark: SparkSession, path: str, keys: list[str]) -> None:
+    """Gather a table kept by merged_groups() in the folder of its last batch but one; the last
+    one may still be repeated. A reader sees the same rows at every moment: the gathered rows
+    join that folder first, equal to what it has, and only then the older folders go."""
+    ids = sorted(r[0] for r in spark.read.parquet(path).select("batch_id").distinct().collect())
+    if len(ids) < 3:
+        return
+    last = ids[-2]
+    old = spark.read.parquet(path).where(F.col("batch_id") <= last)
+    values = [c for c in old.columns if c not in [*keys, "batch_id"]]
+    current = old.groupBy(*keys).agg(
+        F.max_by(F.struct(*values), "batch_id").alias("_row"), F.max("batch_id").alias("_at"))
+    (current.where(F.col("_at") < last).select(*keys, "_row.*")
+     .write.mode("append").parquet(f"{path}/batch_id={last}"))
+    for batch_id in ids[:-2]:
+        remove(spark, f"{path}/batch_id={batch_id}")
+
+
+def _picked(changes: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    picked = changes.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_row"))
+    return picked.select(*keys, "_row.*")
+
+
 def newest(spark: SparkSession, path: str, keys: list[str], values: list[str]) -> DataFrame:
     """The current rows of a table kept by update-mode batches: per key, the values of the
     latest batch that touched it."""
-    changes = spark.read.parquet(path)
-    picked = changes.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_row"))
-    return picked.select(*keys, "_row.*")
+    return _picked(spark.read.parquet(path), keys, values)

@@ -110,8 +110,9 @@ def log_of(spark, *events):
 NO, YES = False, True
 CASES = {
     "first": ([(YES, ROWS, None)], ROWS, 0.0, "incremental recompute"),
-    "last_looked_at": ([(NO, FULL, None)] * 3 + [(YES, ROWS, None)], ROWS, 3.0, "incremental recompute"),
-    "beyond": ([(NO, FULL, None)] * 4 + [(YES, FULL, None)], None, None, "incremental recompute"),
+    "fourth": ([(NO, FULL, None)] * 3 + [(YES, ROWS, None)], ROWS, 3.0, "incremental recompute"),
+    "beyond": ([(NO, FULL, None)] * 4 + [(YES, FULL, None)], FULL, 4.0, "UNKNOWN_ISSUE"),
+    "issue_beyond": ([(NO, ROWS, None)] * 7 + [(YES, FULL, "OTHER")], FULL, 7.0, "OTHER"),
     "none_chosen": ([(NO, FULL, RULES)], None, None, "incremental recompute"),
     "no_entries": ([], None, None, "incremental recompute"),
     "two_chosen": ([(NO, FULL, None), (YES, ROWS, None), (YES, FULL, None)], ROWS, 1.0,
@@ -222,12 +223,35 @@ def test_run_writes_layers_and_counts_them(spark, placed, path):
     got = orders.compare_runs(metrics).select("run_id", "bronze_rows", "silver_rows", "gold_rows",
                                               "delta_bronze")
     assert rows(got) == [("r1", 7, 4, 1, None), ("r2", 4, 2, 1, -3)]
-    assert [r.run_id for r in orders.last_two(metrics).collect()] == ["r2", "r1"]
+    assert rows(orders.last_two(metrics).select("run_id")) == [("r1",), ("r2",)]
     assert metrics.schema.simpleString() == schemas.RUN_METRICS.simpleString()
     stored = lake.read("silver", "orders_clean")
     assert "_ingested_at" not in stored.columns and stored.count() == 2
 
 
+def test_last_two_runs_of_each_job(spark):
+    data = [(f"r{n}", job, datetime(2024, 1, n)) for job, days in (("a", 3), ("b", 1), ("c", 4))
+            for n in range(1, days + 1)]
+    metrics = spark.createDataFrame(data, "run_id STRING, job_id STRING, run_ts TIMESTAMP")
+    assert rows(orders.last_two(metrics).select("job_id", "run_id")) == [
+        ("a", "r2"), ("a", "r3"), ("b", "r1"), ("c", "r3"), ("c", "r4")]
+
+
+def test_run_metrics_hold_large_counts(spark):
+    many = {"bronze": 3 * 10 ** 9, "silver": 3 * 10 ** 9, "gold": 2 ** 40}
+    row = orders.run_metrics(spark, "r", "j", datetime(2024, 1, 1), many, 1.0).first()
+    assert (row.bronze_rows, row.gold_rows) == (3 * 10 ** 9, 2 ** 40)
+
+
+def test_refreshes_keep_one_row_per_update_by_default(spark):
+    log = log_of(spark, plan_event("u", (YES, ROWS, None)), plan_event("v"),
+                 *[("u", "flow_definition", json.dumps({"flow_definition": {
+                     "output_dataset": f"d{n % 2}", "explain_text": "q", "flow_type": "T"}}),
+                    "m", "o") for n in range(5)])
+    got = refresh_log.by_update(log).select("update_id", "matching_flows", "matching_datasets")
+    assert rows(got) == [("u", 5, 2), ("v", 0, 0)]
+
+
 # --- values, stocks, names ---------------------------------------------------------------------
 
 def test_values(spark):

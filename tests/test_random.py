@@ -16,13 +16,13 @@ from test_jobs import log_of, plan_event
 
 
 def reason_model(entries):
-    chosen = next((e for e in entries[:4] if e[0]), (None, None, None))
-    issues = [e[2] for e in entries[:4]] + [None] * 4
+    chosen = next((e for e in entries if e[0]), (None, None, None))
+    issues = [e[2] for e in entries]
     if chosen[1] != COMPLETE:
         return chosen[1], "incremental recompute"
     if NO_RULES in issues[1:3]:
         return chosen[1], NO_RULES
-    return chosen[1], next((i for i in issues[:4] if i), "UNKNOWN_ISSUE")
+    return chosen[1], next((i for i in issues if i), "UNKNOWN_ISSUE")
 
 
 def test_refresh_reasons(spark):
@@ -31,7 +31,7 @@ def test_refresh_reasons(spark):
     for i in range(400):
         cases[f"u{i}"] = [
             (dice.choice([True, False, None]), dice.choice([COMPLETE, "OTHER_TYPE", None]),
-             dice.choice([NO_RULES, "X", "Y", None])) for _ in range(dice.randrange(7))]
+             dice.choice([NO_RULES, "X", "Y", None])) for _ in range(dice.randrange(10))]
     log = log_of(spark, *[plan_event(u, *entries) for u, entries in cases.items()])
     got = {r.update_id: (r.chosen_maintenance_type, r.recompute_reason)
            for r in refresh_log.refreshes(log).collect()}

@@ -1,3 +1,4 @@
+import os
 from datetime import datetime
 
 import pytest
@@ -88,7 +89,9 @@ def test_scans_and_shuffles_grow_with_the_input(spark):
         assert sized(1 << 20) == [session._bytes(before[k]) for k in keys]
         assert sized(1 << 40) == [4096, 128 << 20]
         assert sized(100 << 40) == [40_000, 1 << 30]
-        assert sized(1 << 20) == [40_000, 1 << 30]  # never lowered
+        assert sized(1 << 20) == [session._bytes(before[k]) for k in keys]  # nothing stays
+        spark.conf.set(keys[0], "17")  # a choice of the user's
+        assert sized(1 << 40)[0] == 4096 and sized(1)[0] == 17
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
@@ -160,7 +163,35 @@ def test_snapshot_replaces_whole_copies(spark, path):
         with pytest.raises(ValueError, match="snapshot refused"):
             snapshot.sync_snapshot(spark, spark.createDataFrame(bad, "k INT, v STRING"),
                                    target, ["k"])
-        assert rows(spark.read.parquet(target)) == [(3, "c")]
+        assert rows(snapshot.serving(spark, target)) == [(3, "c")]
+
+
+def test_snapshot_that_fails_late_leaves_the_old_copy(spark, path, monkeypatch):
+    def fail(*_):
+        raise OSError("lost")
+
+    one = spark.createDataFrame([(1, "a")], "k INT, v STRING")
+    snapshot.sync_snapshot(spark, one, path("served"), ["k"])
+    with monkeypatch.context() as patched:
+        patched.setattr(snapshot, "publish", fail)
+        with pytest.raises(OSError):
+            snapshot.sync_snapshot(spark, one.union(one.selectExpr("k + 1", "v")),
+                                   path("served"), ["k"])
+    assert rows(snapshot.serving(spark, path("served"))) == [(1, "a")]
+    for n in range(4):
+        snapshot.sync_snapshot(spark, one.selectExpr(f"k + {n} AS k", "v"), path("served"), ["k"])
+    assert rows(snapshot.serving(spark, path("served"))) == [(4, "a")]
+    assert len(os.listdir(path("served") + "/copies")) == 2
+
+
+def test_buckets_of_keys(spark, path):
+    df = spark.range(1000).selectExpr("id % 300 AS k", "id")
+    stored = tables.overwrite_bucketed(df, path("buckets"), "k", 8)
+    assert len([x for x in os.listdir(path("buckets")) if x.startswith("_bucket=")]) <= 8
+    one = tables.bucket_of(stored, "k", 7, 8)
+    assert rows(one, "id") == [(7, 7), (7, 307), (7, 607), (7, 907)]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_bucket" in plan and "PushedFilters: [IsNotNull(k)" in plan
 
 
 def test_key_violations_count(spark):

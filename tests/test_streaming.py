@@ -22,20 +22,24 @@ def feed(spark, path):
     class Feed:
         folder = path("feed")
 
-        def add(self, *times, amount=1.0, offsets=None, **fields):
+        def add(self, *times, amount=1.0, offsets=None, sent=datetime(2024, 1, 1), **fields):
             data = []
             for i, t in enumerate(times):
                 text = json.dumps({"client_id": "c1", "client_name": "C", "timestamp": t,
                                    "event_type": "login", "amount": amount,
                                    "status": "active", **fields})
                 at = offsets[i] if offsets else next(offset)
-                data.append(("c1", text, "t", 0, at, datetime(2024, 1, 1)))
+                data.append(("c1", text, "t", 0, at, sent))
             (spark.createDataFrame(data, schemas.RAW_MESSAGE).coalesce(1)
              .write.mode("append").parquet(self.folder))
 
         def stream(self):
             return files.stream_files(spark, self.folder, schemas.RAW_MESSAGE)
 
+        def one_by_one(self):
+            rows_ = spark.readStream.schema(schemas.RAW_MESSAGE).option("maxFilesPerTrigger", 1)
+            return messages.accepted(messages.ingest(rows_.parquet(self.folder)))
+
         def bronze(self):
             return messages.accepted(messages.ingest(self.stream()))
 
@@ -77,6 +81,57 @@ def test_silver_knows_repeats_across_batches(spark, feed, path):
     assert go() == [(1,), (2,), (3,), (4,)]
 
 
+def test_silver_loses_no_lagging_partition(spark, feed, path):
+    """Three files, one per batch, each a month or days behind the one before."""
+    for n, day in enumerate((30, 28, 1)):
+        feed.add(*[f"2024-01-{day:02}T10:{m:02}:00Z" for m in range(10)],
+                 offsets=list(range(n * 10, n * 10 + 10)), sent=datetime(2024, 1, day))
+    feed.add("2024-01-30T10:00:00Z", offsets=[3], sent=datetime(2024, 1, 30))
+    run(streams.silver(feed.one_by_one(), path("silver"), path("log")))
+    stored = spark.read.parquet(path("silver"))
+    assert rows(stored.select("kafka_offset"), "kafka_offset") == [(n,) for n in range(30)]
+    assert rows(streams.late_arrivals(spark, path("silver")))[:3] == [(0, 10, 0), (1, 10, 10),
+                                                                      (2, 10, 10)]
+
+
+def test_a_stored_batch_is_not_stored_again(spark, feed, path):
+    feed.add("2024-01-01T10:00:00Z", offsets=[1])
+    write = runner.new_rows(path("out"), messages.MESSAGE_ID, messages.silver)
+    batch = messages.accepted(messages.ingest(
+        spark.read.schema(schemas.RAW_MESSAGE).parquet(feed.folder)))
+    write(batch, 0)
+    before = spark.read.parquet(path("out")).inputFiles()
+    write(batch, 0)
+    write(batch, 1)
+    stored = spark.read.parquet(path("out"))
+    assert stored.count() == 1 and set(before) <= set(stored.inputFiles())
+
+
+def test_a_dominant_client_has_several_writers(spark, path):
+    data = spark.range(200_000).selectExpr(
+        "if(id % 10 = 0, concat('c', id % 7), 'hot') AS client_id", "id", "uuid() AS pad")
+    settings = {"spark.sql.shuffle.partitions": "64",
+                "spark.sql.files.maxPartitionBytes": "512k",
+                "spark.sql.files.openCostInBytes": "512k",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512k"}
+    before = {k: spark.conf.get(k) for k in settings}
+    data.repartition(16).write.parquet(path("in"))
+    plain = messages.accepted
+    messages.accepted = lambda rows_: rows_
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        run(streams.client_layers(spark.readStream.schema(data.schema).parquet(path("in")),
+                                  path("out"), path("log")))
+    finally:
+        messages.accepted = plain
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    stored = spark.read.parquet(path("out"))
+    files_of = lambda c: len({f for f in stored.inputFiles() if f"client_id={c}/" in f})
+    assert stored.count() == 200_000 and files_of("hot") > 8 and files_of("c0") <= 2
+
+
 def hours(df):
     return rows(df.select(F.hour("window_start").alias("h"), "event_count", "total_amount"))
 
@@ -97,6 +152,30 @@ def test_hourly_table_is_current_and_equals_the_batch_twin(spark, feed, path):
     assert rows(got) == rows(batch.drop("gold_processed_timestamp"))
 
 
+def test_compaction_keeps_the_table(spark, feed, path):
+    def go():
+        rows_ = messages.enriched(feed.bronze())
+        run(streams.hourly(rows_, path("hourly"), path("log")))
+        return rows(streams.hourly_table(spark, path("hourly")))
+
+    for day in (5, 1, 3):  # late events and a client without a name
+        feed.add(f"2024-01-0{day}T10:00:00Z", "2024-01-01T10:30:00Z", amount=day + 0.1)
+        feed.add("2024-01-01T10:30:00Z", client_name=None)
+        go()
+    before = go()
+    for _ in range(2):
+        streams.compact_hourly(spark, path("hourly"))
+        assert rows(streams.hourly_table(spark, path("hourly"))) == before
+    folders = spark.read.parquet(path("hourly")).select("batch_id").distinct().count()
+    assert folders == 2
+    feed.add("2024-01-01T10:40:00Z", "2024-01-05T10:40:00Z")
+    after = go()
+    assert sum(r[6] for r in after) == sum(r[6] for r in before) + 2
+    batch = messages.hourly(messages.enriched(messages.accepted(messages.ingest(
+        spark.read.schema(schemas.RAW_MESSAGE).parquet(feed.folder)))))
+    assert after == rows(batch.drop("gold_processed_timestamp"))
+
+
 def test_repeated_batch_replaces_its_folder(spark, path):
     write = runner.batch_folders(path("out"))
     for _ in range(2):

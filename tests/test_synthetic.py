@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from strata import schemas
 from strata.plans import education
 from strata.sinks.lake import Lake
+from strata.sinks import snapshot
 from strata.sinks.snapshot import SERVED_KEYS
 from strata.sources import synthetic as s
 
@@ -96,5 +97,5 @@ def test_from_csv_files_to_served_copies(spark, made, path):
     for name in out:
         assert rows(out[name]) == rows(direct[name])
     education.serve(lake, path("served"))
-    served = spark.read.parquet(f"{path('served')}/school_performance_overview")
+    served = snapshot.serving(spark, f"{path('served')}/school_performance_overview")
     assert rows(served) == rows(out["school_performance_overview"])

@@ -301,9 +301,9 @@ def yearly_runs(t: Tables) -> DataFrame:
     """Run metrics with each order year taken as one run of one job per priority."""
     runs = t.orders.withColumn("_year", F.year("o_orderdate")).groupBy(
         F.col("o_orderpriority").alias("job_id"), "_year").agg(
-        F.count(F.lit(1)).cast("int").alias("bronze_rows"),
-        F.count_if(order_status() != "cancelled").cast("int").alias("silver_rows"),
-        F.count_distinct("o_orderdate").cast("int").alias("gold_rows"))
+        F.count(F.lit(1)).alias("bronze_rows"),
+        F.count_if(order_status() != "cancelled").alias("silver_rows"),
+        F.count_distinct("o_orderdate").alias("gold_rows"))
     return runs.select(
         F.col("_year").cast("string").alias("run_id"), "job_id",
         F.make_timestamp(F.col("_year"), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))

@@ -92,11 +92,13 @@ SQL["client_layers_stream"] = SQL["client_bronze"]
 
 SQL["client_silver"] = f"WITH {MSGS}, {ACCEPTED}, {SILVER} SELECT * FROM silver"
 SQL["client_silver_stream"] = SQL["client_silver"]
+SQL["client_silver_backlog"] = SQL["client_silver"]
 
 SQL["client_gold_hourly"] = f"""WITH {MSGS}, {ACCEPTED}, {SILVER}, {HOURLY}
 SELECT * REPLACE ({_round('total_amount')} AS total_amount, {_round('avg_amount', 6)} AS avg_amount)
 FROM hourly"""
 SQL["client_gold_hourly_stream"] = SQL["client_gold_hourly"]
+SQL["client_gold_hourly_compacted"] = SQL["client_gold_hourly"]
 
 SQL["message_layers_stream"] = SQL["client_gold_hourly"]
 SQL["client_gold_closed_stream"] = f"""{SQL['client_gold_hourly']}
@@ -232,10 +234,10 @@ REFRESHES = f"""planned AS (
   SELECT *, event_id % 6 AS n, (event_id // 6) % 6 AS c FROM events
   WHERE event_type NOT IN ('click', 'error', 'signup')),
 typed AS (
-  SELECT *, CASE WHEN c < n AND c < 4 THEN CASE WHEN (event_id + c) % 2 = 0
+  SELECT *, CASE WHEN c < n THEN CASE WHEN (event_id + c) % 2 = 0
            THEN 'MAINTENANCE_TYPE_COMPLETE_RECOMPUTE' ELSE 'MAINTENANCE_TYPE_ROW_BASED' END END
            AS chosen_maintenance_type,
-         CASE WHEN c < n AND c < 4 THEN value + c END AS cost
+         CASE WHEN c < n THEN value + c END AS cost
   FROM planned),
 refreshes AS (
   SELECT 'u' || (event_id // 8) AS update_id, 'org' || (user_id % 20) AS org_id,
@@ -248,7 +250,7 @@ refreshes AS (
                 THEN 'EXPECTATIONS_NOT_SUPPORTED' END,
            CASE WHEN {_issue(2)} = 'EXPECTATIONS_NOT_SUPPORTED'
                 THEN 'EXPECTATIONS_NOT_SUPPORTED' END,
-           {_issue(0)}, {_issue(1)}, {_issue(2)}, {_issue(3)}, 'UNKNOWN_ISSUE')
+           {', '.join(map(_issue, range(6)))}, 'UNKNOWN_ISSUE')
          ELSE 'incremental recompute' END AS recompute_reason,
          event_id AS num_rows
   FROM typed)"""
@@ -277,6 +279,11 @@ SELECT r.update_id, r.org_id, r.pipeline_id, r.timestamp, r.pipeline_name, r.ref
        f.output_dataset, f.query, f.table_type
 FROM refreshes r LEFT JOIN flows f ON r.update_id = f.update_id"""
 SQL["refresh_layers"] = SQL["refresh_with_flows"] + " AND r.pipeline_id = f.pipeline_id"
+SQL["refresh_by_update"] = f"""WITH {REFRESHES}, {FLOWS}, per_update AS (
+  SELECT update_id, count(*) AS flows_n, count(DISTINCT output_dataset) AS datasets_n
+  FROM flows GROUP BY 1)
+SELECT r.*, coalesce(flows_n, 0) AS matching_flows, coalesce(datasets_n, 0) AS matching_datasets
+FROM refreshes r LEFT JOIN per_update p ON r.update_id = p.update_id"""
 SQL["refresh_by_org"] = f"""WITH {REFRESHES}, {FLOWS}, per_org AS (
   SELECT org_id, count(*) AS flows_n, count(DISTINCT output_dataset) AS datasets_n
   FROM flows GROUP BY 1)
@@ -433,11 +440,7 @@ _AS_TEXT = SQL["edu_school_overview"].replace(
 SQL["edu_from_csv"] = f"SELECT * REPLACE (cast(school_id AS varchar) AS school_id) FROM ({_AS_TEXT})"
 SQL["season"] = f"SELECT {SEASON.format('o_orderdate')} AS season, count(*) AS n FROM orders GROUP BY 1"
 SQL["csv_ingest"] = "SELECT *, true AS has_source FROM customer"
-SQL["snapshot_sync"] = f"""WITH {ASSESSMENTS}, groups AS (
-  SELECT DISTINCT o_custkey, subject, assessment_period
-  FROM assessments JOIN orders ON o_orderkey = student_id
-  JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey)
-SELECT count(*) AS row_count, 0::bigint AS null_keys, 0::bigint AS duplicate_keys FROM groups"""
+SQL["snapshot_sync"] = SQL["edu_assessment_summary"]
 
 # --- orders and runs ---------------------------------------------------------------------------
 
@@ -459,21 +462,22 @@ FROM clean GROUP BY 1, 2, 3"""
 SQL["run_metrics"] = f"""WITH {ORDERS}
 SELECT 'run1' AS run_id, 'job1' AS job_id,
        cast((SELECT count(*) FROM orders JOIN customer ON c_custkey = o_custkey
-             JOIN nation ON n_nationkey = c_nationkey) AS int) AS bronze_rows,
-       cast((SELECT count(*) FROM clean) AS int) AS silver_rows,
+             JOIN nation ON n_nationkey = c_nationkey) AS bigint) AS bronze_rows,
+       cast((SELECT count(*) FROM clean) AS bigint) AS silver_rows,
        cast((SELECT count(*) FROM (SELECT DISTINCT category, state, order_date FROM clean))
-            AS int) AS gold_rows,
+            AS bigint) AS gold_rows,
        'success' AS status"""
 RUNS = f"""runs AS (
   SELECT o_orderpriority AS job_id, cast(year(o_orderdate) AS varchar) AS run_id,
          make_timestamp(year(o_orderdate), 1, 1, 0, 0, 0.0) AS run_ts,
-         cast(count(*) AS int) AS bronze_rows,
-         cast(count(*) FILTER ({STATUS} <> 'cancelled') AS int) AS silver_rows,
-         cast(count(DISTINCT o_orderdate) AS int) AS gold_rows,
+         cast(count(*) AS bigint) AS bronze_rows,
+         cast(count(*) FILTER ({STATUS} <> 'cancelled') AS bigint) AS silver_rows,
+         cast(count(DISTINCT o_orderdate) AS bigint) AS gold_rows,
          cast(count(*) / 8 AS float) AS total_duration_sec
   FROM orders GROUP BY 1, 2, 3)"""
 SQL["run_last_two"] = f"""WITH {RUNS}
-SELECT *, 'success' AS status FROM runs ORDER BY run_ts DESC, run_id DESC, job_id DESC LIMIT 2"""
+SELECT *, 'success' AS status FROM runs
+QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY run_ts DESC, run_id DESC) <= 2"""
 SQL["run_compare"] = f"""WITH {RUNS}
 SELECT *, bronze_rows - lag(bronze_rows) OVER w AS delta_bronze,
        total_duration_sec - lag(total_duration_sec) OVER w AS delta_duration_sec

@@ -15,7 +15,7 @@ from strata.operators import conform, quality
 from strata.operators.quality import Rule
 from strata.plans import (dashboards, education, emails, messages, monitoring, orders,
                           refresh_log, small_tables, stocks, values)
-from strata.session import configure, input_bytes, scratch_path
+from strata.session import configure, scratch_path
 from strata.sinks import snapshot, tables as sinks
 from strata.sinks.lake import Lake
 from strata.sources import files, kafka, synthetic
@@ -31,14 +31,9 @@ HISTORY = "30 DAYS"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-_sizes: dict[str, int] = {}
-
-
 def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        if sf_dir not in _sizes:
-            _sizes[sf_dir] = input_bytes(spark, sf_dir)
-        return build(Tables(configure(spark, _sizes[sf_dir]), sf_dir))
+        return build(Tables(configure(spark), sf_dir))
 
     QUERIES[build.__name__] = run
     return build
@@ -179,7 +174,50 @@ def client_silver_stream(t: Tables) -> DataFrame:
     bronze = messages.accepted(messages.ingest(_raw_stream(t)))
     streams.silver(bronze, f"{root}/rows", f"{root}/log").awaitTermination()
     rows = t.spark.read.parquet(f"{root}/rows")
-    return _flat_maps(rows.drop("silver_processed_timestamp"))
+    return _flat_maps(rows.drop("silver_processed_timestamp", "batch_id"))
+
+
+def _backlog(t: Tables) -> str:
+    """The event messages as files of a topic, written newest first: the last three tenths of
+    the offsets, then everything, so that the second delivery repeats the first, and later
+    batches bring far older messages."""
+    path = scratch_path(t.spark, "topic")
+    raw = mapping.raw_messages(t.events)
+    latest = t.events.agg((F.max("event_id") * 0.7).cast("long")).first()[0]
+    for part in (F.col("kafka_offset") > latest, F.col("kafka_offset") > latest // 2,
+                 F.lit(True)):
+        raw.where(part).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _backlog_stream(t: Tables, path: str) -> DataFrame:
+    return t.spark.readStream.schema(schemas.RAW_MESSAGE).option("maxFilesPerTrigger", 1).parquet(
+        path)
+
+
+@query
+def client_silver_backlog(t: Tables) -> DataFrame:
+    """A backlog read in three batches, from new to old, with every late message delivered up
+    to three times: each message is stored once, and none is lost."""
+    root = scratch_path(t.spark, "silver")
+    bronze = messages.accepted(messages.ingest(_backlog_stream(t, _backlog(t))))
+    streams.silver(bronze, f"{root}/rows", f"{root}/log").awaitTermination()
+    rows = t.spark.read.parquet(f"{root}/rows")
+    return _flat_maps(rows.drop("silver_processed_timestamp", "batch_id"))
+
+
+@query
+def client_gold_hourly_compacted(t: Tables) -> DataFrame:
+    """Hourly metrics of the same backlog, gathered after its last batch."""
+    root = scratch_path(t.spark, "hourly")
+    bronze = messages.accepted(messages.ingest(_backlog_stream(t, _backlog(t))))
+    streams.silver(bronze, f"{root}/silver", f"{root}/log1").awaitTermination()
+    silver = t.spark.read.parquet(f"{root}/silver")
+    rows = t.spark.readStream.schema(silver.schema).option("maxFilesPerTrigger", 3).parquet(
+        f"{root}/silver")
+    streams.hourly(rows, f"{root}/rows", f"{root}/log2").awaitTermination()
+    streams.compact_hourly(t.spark, f"{root}/rows")
+    return _rounded(streams.hourly_table(t.spark, f"{root}/rows"))
 
 
 @query
@@ -322,10 +360,10 @@ def pipeline_health(t: Tables) -> DataFrame:
 
 @query
 def events_of_one(t: Tables) -> DataFrame:
-    """The whole table is laid out by pipeline; reading one pipeline then opens one folder."""
+    """The whole table is laid out in buckets of pipelines; reading one pipeline opens one."""
     path = scratch_path(t.spark, "pipeline-events")
-    stored = sinks.overwrite_partitioned(mapping.pipeline_events(t.events), path, "pipeline_id")
-    rows = monitoring.events_of_pipeline(stored, 7)
+    stored = sinks.overwrite_bucketed(mapping.pipeline_events(t.events), path, "pipeline_id")
+    rows = monitoring.events_of_pipeline(sinks.bucket_of(stored, "pipeline_id", 7), 7)
     return rows.select("pipeline_id", "pipeline_name", "id", "event_timestamp", "event_message",
                        F.element_at("planning_details", "props").alias("props"))
 
@@ -377,6 +415,11 @@ def refresh_layers(t: Tables) -> DataFrame:
     return refresh_log.run(lake, log, ("update_id", "pipeline_id"))
 
 
+@query
+def refresh_by_update(t: Tables) -> DataFrame:
+    return refresh_log.by_update(mapping.refresh_log(t.events))
+
+
 @query
 def refresh_by_org(t: Tables) -> DataFrame:
     return refresh_log.by_organisation(mapping.refresh_log(t.events))
@@ -483,8 +526,10 @@ def csv_ingest(t: Tables) -> DataFrame:
 def snapshot_sync(t: Tables) -> DataFrame:
     gold = edu_assessment_summary(t)
     keys = snapshot.SERVED_KEYS["assessment_summary_by_classroom"]
-    copy = snapshot.sync_snapshot(t.spark, gold, scratch_path(t.spark, "served"), keys)
-    return snapshot.key_violations(copy, keys)
+    target = scratch_path(t.spark, "served")
+    for _ in range(2):
+        snapshot.sync_snapshot(t.spark, gold, target, keys)
+    return snapshot.serving(t.spark, target)
 
 
 # --- orders and runs ---------------------------------------------------------------------------

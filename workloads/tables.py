@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from strata.session import configure, input_bytes
+
 SCHEMAS = {
     "region": "r_regionkey INT, r_name STRING",
     "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
@@ -28,6 +30,13 @@ SCHEMAS = {
 class Tables:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
+        self.read: dict[str, int] = {}
+
+    def _sized(self, name: str) -> None:
+        """Size the session's scans and shuffles for the tables read so far."""
+        if name not in self.read:
+            self.read[name] = input_bytes(self.spark, self.path(name))
+            configure(self.spark, sum(self.read.values()))
 
     def schema(self, name: str) -> StructType:
         return StructType.fromDDL(SCHEMAS[name])
@@ -38,9 +47,11 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in SCHEMAS:
             raise AttributeError(name)
+        self._sized(name)
         return self.spark.read.schema(self.schema(name)).parquet(self.path(name))
 
     def stream(self, name: str, **options: str) -> DataFrame:
         """The table as a stream; the wildcard lets a single file stand for a folder."""
+        self._sized(name)
         return (self.spark.readStream.schema(self.schema(name)).options(**options)
                 .parquet(f"{self.root}/{name}*.parquet"))
