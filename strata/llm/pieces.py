@@ -26,7 +26,7 @@ MARK = "▁"
 PLAIN_MARK = "\ud800"  # stands for the mark's own character in a text; no text holds it
 ALPHA = 0.001
 DRAW = 24  # bits of a draw: chances are whole numbers, so they do not depend on the place
-WORDS, TEXTS = 120_000, 250
+WORDS, TEXTS = 240_000, 250
 LONGEST = 200
 
 
@@ -80,9 +80,11 @@ class Lattices:
     def clear(self) -> None:
         self.words: dict[str, int] = {}
         self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.total = np.zeros(0, np.int64)  # node and cumulated chance: never decreasing
-        self.back, self.piece = np.zeros(0, np.int32), np.zeros(0, np.int32)  # -1: a character's bytes
-        self.nodes = 0
+        # By edge: the node and the cumulated chance (never decreasing), how many nodes it goes
+        # back, and the piece (-1 for a character's bytes).
+        self.total = np.zeros(1 << 20, np.int64)
+        self.back, self.piece = np.zeros(1 << 20, np.int16), np.zeros(1 << 20, np.int32)
+        self.nodes = self.edges = 0
 
     def _matches(self, codes: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, ...]:
         """(end, length, piece) of every piece in the words; `room` tells how many characters
@@ -140,8 +142,15 @@ class Lattices:
         order = np.lexsort((back, node))
         node, back, piece, steps = (x[order] for x in (node, back, piece, steps))
         steps[np.diff(node, append=-1) != 0] = unit
-        self.total = np.concatenate([self.total, (node + self.nodes << DRAW) + steps])
-        self.back, self.piece = (np.concatenate(x) for x in ((self.back, back), (self.piece, piece)))
+        first, last = self.edges, self.edges + len(node)
+        if last > len(self.total):
+            more = max(last, len(self.total) * 3 // 2) - len(self.total)
+            self.total, self.back, self.piece = (
+                np.concatenate([x, np.zeros(more, x.dtype)])
+                for x in (self.total, self.back, self.piece))
+        self.total[first:last] = (node + self.nodes << DRAW) + steps
+        self.back[first:last], self.piece[first:last] = back, piece
+        self.edges = last
         starts = self.nodes + np.cumsum(sizes + 1) - (sizes + 1)
         self.start, self.length = (np.concatenate(x) for x in (
             (self.start, starts), (self.length, sizes)))
@@ -153,12 +162,12 @@ class Lattices:
         words and places. Edges that end at a node stand together, so a draw is one search."""
         starts, at = self.start[ids], self.start[ids] + self.length[ids]
         live = np.flatnonzero(at > starts)
-        steps = []
+        steps, total = [], self.total[:self.edges]
         while len(live):
             here = at[live]
             draw = _mixed(seeds[live] ^ (here - starts[live]).astype(np.uint64))
             edge = np.searchsorted(
-                self.total, (here << DRAW) + (draw >> np.uint64(64 - DRAW)).astype(np.int64),
+                total, (here << DRAW) + (draw >> np.uint64(64 - DRAW)).astype(np.int64),
                 "right")
             to = here - self.back[edge]
             steps.append((live, to - starts[live], self.piece[edge]))

@@ -6,6 +6,7 @@ import functools
 import json
 import os
 import re
+import string
 from array import array
 from collections.abc import Iterator
 
@@ -21,6 +22,7 @@ APART = re.compile(f"[{SPACE}][ \n]")
 CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 SPACES = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{SPACE}]", c))
 ENDS = ".,"
+MARKS = string.punctuation.replace("'", "")
 CACHED, TEXTS = 300_000, 500
 
 
@@ -71,10 +73,16 @@ class Encoder:
         self.older: dict = {}
 
     def _letters(self, piece: str) -> list[str]:
-        """The pre-tokens of a piece, in letters that stand for bytes."""
-        if piece[:1] == " " and piece[1:].isalpha() and max(piece) < "ɐ":
-            return ["Ġ" + piece[1:] if piece.isascii() else
-                    piece.encode().decode("latin-1").translate(LETTERS)]
+        """The pre-tokens of a piece, in letters that stand for bytes. Of a word with marks
+        behind it, as most are, they are plain: the word with its space, and the marks."""
+        word = piece.rstrip(MARKS)
+        before = word[:1] if word[:1] in (" ", "\n") else ""
+        body = word[len(before):]
+        if body.isalpha() and (body.isascii() or max(body) < "ɐ"):
+            if not body.isascii():
+                body = body.encode().decode("latin-1").translate(LETTERS)
+            parts = ["Ġ" + body] if before == " " else ["Ċ", body] if before else [body]
+            return [*parts, piece[len(word):]] if len(word) < len(piece) else parts
         return [part for part, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(piece)]
 
     def _ids(self, parts: list[str]) -> bytes:
