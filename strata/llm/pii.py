@@ -440,7 +440,7 @@ def spotted(model: Field, text: str | Column) -> Column:
                          joined(base + more), len(more)))
         return pd.DataFrame(rows, columns=[c.split()[0] for c in COLUMNS.split(", ")])
 
-    return of(text)
+    return of.asNondeterministic()(text)  # else a filter on it would have it run twice
 
 
 def find_personal(docs: DataFrame, id: str = "doc_id", text: str = "text",
