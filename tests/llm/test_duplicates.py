@@ -268,6 +268,43 @@ def test_fuzzy_lines(spark, monkeypatch, hot):
     assert any(len({r.line_no for r in g}) > 1 for g in groups.values())
 
 
+def test_one_changed_stretch_always_shares_a_bucket():
+    for n in range(5, 700):
+        for few in range(n - int(0.2 * n + 1e-9), n + 1):
+            both = set(fuzzy_lines.ends(n, 0.8)) & set(fuzzy_lines.ends(few, 0.8))
+            assert any(k <= fuzzy_lines._half(n, 0.8) for k in both)
+
+
+def changed_lines(seed, n):
+    rng = random.Random(seed)
+    made = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(2, 9)))
+            for _ in range(500)]
+    lines = []
+    for _ in range(n):
+        line = rng.choices(made, k=rng.choice([4, 6, 10, 20, 50]))
+        lines.append(" ".join(line))
+        for _ in range(rng.randrange(3)):
+            other = list(line)
+            for at in rng.sample(range(len(line)), max(1, len(line) // 12)):
+                other[at] = rng.choice(made)
+            lines.append(" ".join(other))
+    return lines
+
+
+def test_lines_are_linked_by_edit_similarity_alone(spark):
+    lines = changed_lines(8, 120)
+    plain, first = Union(), {}
+    for k, a in enumerate(lines):
+        for b in lines[k + 1:]:
+            if fuzzy_lines.similar(a, b):
+                plain.join(a, b)
+    for k, a in enumerate(lines):
+        first.setdefault(plain.root(a), k)
+    found = fuzzy_lines.fuzzy_lines(documents(spark, list(enumerate(lines)))).collect()
+    assert {r.doc_id: r.keep_doc_id for r in found} == {
+        k: first[plain.root(a)] for k, a in enumerate(lines)}
+
+
 def test_dropped_lines_leave_the_rest_as_it_is(spark):
     rows = [(1, "One line here\n\n  two  \nONE line, here!"), (2, None), (3, ""),
             (4, "two\nthree\n"), (4, "three"), (None, "three\nfour")]
