@@ -13,6 +13,7 @@ the text back to the last character."""
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,8 @@ PLAIN_MARK = "\ud800"  # stands for the mark's own character in a text; no text
 ALPHA = 0.001
 DRAW = 24  # bits of a draw: chances are whole numbers, so they do not depend on the place
 WORDS, TEXTS = 240_000, 250
-LONGEST = 200
+EDGES = 12_000_000  # of lattices kept; long stretches reach it before WORDS
+STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -186,13 +188,9 @@ class Lattices:
 
 
 def words(text: str) -> list[str]:
-    """The stretches that no piece crosses: each begins at a mark (a space) or is the first.
-    Stretches of over 200 characters are cut, as no piece is near as long."""
-    first, *rest = text.replace(MARK, PLAIN_MARK).split(" ")
-    found = [first, *(MARK + p for p in rest)] if first else [MARK + p for p in rest]
-    if max(map(len, found), default=0) > LONGEST:
-        return [w[k:k + LONGEST] for w in found for k in range(0, len(w), LONGEST)]
-    return found
+    """The stretches that no piece crosses: a run of marks (spaces) with what follows up to the
+    next run, of any length."""
+    return STRETCH.findall(text.replace(MARK, PLAIN_MARK).replace(" ", MARK))
 
 
 @functools.lru_cache(maxsize=2)
@@ -203,7 +201,7 @@ def lattices(model: str, alpha: float) -> Lattices:
 
 def segment(known: Lattices, texts: list[str], seeds: np.ndarray) -> list[np.ndarray]:
     """The sampled pieces of each text."""
-    if len(known.words) > WORDS:
+    if len(known.words) > WORDS or known.edges > EDGES:
         known.clear()
     split = [words(t) if t else [] for t in texts]
     flat = [w for x in split for w in x]

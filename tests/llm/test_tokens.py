@@ -248,6 +248,26 @@ def test_paths_are_drawn_by_their_weight():
         assert abs(drawn[p] / n - share) < 5 * np.sqrt(share * (1 - share) / n) + 1e-4
 
 
+def test_paths_run_through_spaces_and_long_stretches():
+    known = pieces.lattices(MODEL, pieces.ALPHA)
+    names = {k: n for n, k in known.pieces.items()}
+    assert all(pieces.MARK not in n.lstrip(pieces.MARK) for n in known.pieces)
+    for text in ["a  b", "    if x:\n        y", "end   ", " " * 40 + "z", "語言処理" * 120,
+                 "aGVsbG8" * 90]:
+        # Every piece that matches the whole text is an edge of the stretches' lattices.
+        whole = text.replace(" ", pieces.MARK)
+        want = {(at, at + n) for at in range(len(whole)) for n in range(1, known.longest + 1)
+                if whole[at:at + n] in known.pieces and at + n <= len(whole)}
+        found, at = set(), 0
+        for word in pieces.words(text):
+            end, back, _ = known._matches(pieces._codes(word), len(word) - np.arange(len(word)))
+            found |= set(zip((at + end - back).tolist(), (at + end).tolist(), strict=True))
+            at += len(word)
+        assert found == want
+    drawn = pieces.segment(known, ["x" + " " * 8 + "y"] * 4000, np.arange(4000, dtype=np.uint64))
+    assert any(len(names.get(int(k), "").strip("x")) > 1 for x in drawn for k in x)
+
+
 def test_clearing_the_lattices_changes_nothing(monkeypatch):
     monkeypatch.setattr(pieces, "WORDS", 5)
     known, fresh = pieces.Lattices(MODEL, 0.001), pieces.Lattices(MODEL, 0.001)
