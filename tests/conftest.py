@@ -7,8 +7,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from strata.session import local_session  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -24,12 +22,3 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def path(tmp_path):
     return lambda name: str(tmp_path / name)
-
-
-def rows(df, *order):
-    """Rows as tuples, sorted by the given columns or by text."""
-    got = [tuple(r) for r in df.collect()]
-    if order:
-        at = [df.columns.index(c) for c in order]
-        return sorted(got, key=lambda r: [r[i] for i in at])
-    return sorted(got, key=repr)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from strata.plans import education
 from strata.sinks import snapshot
 
-from conftest import rows
+from support import rows
 
 SCHOOLS = [("s1", "North", "D", "CA", "public", "K-6", "40"), ("s2", "South", "D", "NY", "charter", "K-6", "x"),
            ("s3", "Empty", "D", "TX", "private", "K-6", None)]

@@ -7,7 +7,7 @@ from strata.functions import json_text, labels, masking
 from strata.plans.messages import parsed
 from strata.plans.small_tables import EMAIL_POLICY
 
-from conftest import rows
+from support import rows
 
 
 @pytest.mark.parametrize("size, text", [

@@ -8,7 +8,7 @@ from strata import schemas
 from strata.plans import (dashboards, emails, orders, refresh_log, small_tables, stocks, values)
 from strata.sinks.lake import Lake
 
-from conftest import rows
+from support import rows
 
 # --- e-mails ---------------------------------------------------------------------------------
 

@@ -8,7 +8,7 @@ from strata.operators import quality
 from strata.plans import messages, monitoring
 from strata.sources import kafka, synthetic
 
-from conftest import rows
+from support import rows
 
 NOW = "2024-01-10 12:00:00"
 

@@ -5,7 +5,7 @@ from pyspark.sql.types import StructType
 from strata.operators import conform, dedup, quality
 from strata.operators.quality import Rule
 
-from conftest import rows
+from support import rows
 
 RULES = [Rule("known", "s IN ('a', 'b')"), Rule("positive", "v >= 0"),
          Rule("tagged", "t IS NOT NULL", action="warn")]

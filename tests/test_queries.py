@@ -8,7 +8,7 @@ from strata import session
 from workloads import oracle
 from workloads.queries import QUERIES
 
-from conftest import SF
+from support import SF
 
 STREAMS = [n for n in QUERIES if n.endswith("_stream")]
 

@@ -11,7 +11,7 @@ from strata.operators.quality import Rule
 from strata.plans import education, emails, refresh_log
 from strata.plans.refresh_log import COMPLETE, NO_RULES
 
-from conftest import rows
+from support import rows
 from test_jobs import log_of, plan_event
 
 

@@ -9,7 +9,7 @@ from strata.operators import dedup
 from strata.plans import education, emails
 from strata.sinks import tables
 
-from conftest import rows
+from support import rows
 
 N = 30_000
 

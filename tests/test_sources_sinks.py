@@ -9,7 +9,7 @@ from strata import schemas, session
 from strata.sinks import snapshot, tables
 from strata.sources import files, jdbc, kafka
 
-from conftest import rows
+from support import rows
 
 
 def test_csv_has_provenance(spark, path):

@@ -11,7 +11,7 @@ from strata.sources import files, kafka, synthetic
 from strata.streaming import messages as streams
 from strata.streaming import runner
 
-from conftest import rows
+from support import rows
 
 
 @pytest.fixture

@@ -8,7 +8,7 @@ from strata.sinks import snapshot
 from strata.sinks.snapshot import SERVED_KEYS
 from strata.sources import synthetic as s
 
-from conftest import rows
+from support import rows
 
 DAY, SIZES = "2024-01-31", {"schools": 50, "educators": 200, "classrooms": 150,
                             "students": 1500, "objectives": 100, "assessments": 5000}
