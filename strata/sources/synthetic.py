@@ -10,20 +10,22 @@ from pyspark.sql import functions as F
 
 from strata.functions import labels
 
-# The vocabularies of the generated columns; lead_teacher is the role that classrooms ask for.
-GRADES = ["Nursery", "Intro", "Year 1", "Year 2", "Year 3", "Year 4", "Year 5", "Year 6"]
-GRADE_RANGES = ["Nursery-Intro", "Intro-Year 3", "Nursery-Year 6"]
-SCHOOL_TYPES = ["municipal", "independent", "cooperative", "laboratory"]
-ROLES = ["lead_teacher", "co_teacher", "tutor", "principal"]
-CERTIFICATIONS = ["infant_care", "primary_stage", "inclusive_teaching", "second_language"]
-PROGRAMS = ["standard", "forest", "two_language", "workshop"]
-SUBJECT_DOMAINS = {
-    "language": ["stories", "spelling", "sounds", "word_stock", "retelling"],
-    "numbers": ["quantities", "shapes", "lengths", "sequences", "sums"],
-    "together": ["patience", "friendship", "kindness", "teamwork", "settling_quarrels"],
-    "nature": ["watching", "asking", "plants_and_animals", "materials", "weather_and_soil"],
-    "movement": ["running", "crafts", "poise", "rhythm", "hygiene"],
-}
+
+def _numbered(prefix: str, n: int) -> list[str]:
+    return [f"{prefix}{k}" for k in range(1, n + 1)]
+
+
+# Labels without a meaning of their own are numbered.
+LEVELS = _numbered("level ", 6)
+SPANS = [f"{low} to {high}" for low, high in zip(LEVELS, LEVELS[2:])]
+SCHOOL_KINDS = _numbered("kind ", 3)
+CERTIFICATES = _numbered("certificate ", 5)
+COURSES = _numbered("course ", 7)
+SUBJECTS = _numbered("subject ", 4)
+TOPICS = 3  # a subject's, numbered
+# Fixed value: classrooms ask for this role; the others only fill up.
+LEAD = "lead_teacher"
+ROLES = [LEAD, *_numbered("staff ", 3)]
 EDUCATOR_STATUSES = ["active", "on_leave", "retired"]
 STUDENT_STATUSES = ["active", "inactive", "transferred"]
 ORDER_CATEGORIES = ["electronics", "clothing", "food", "books", "sports"]
@@ -91,8 +93,8 @@ def schools(ids: DataFrame) -> DataFrame:
                     one_of(i, "sx", ["Academy", "Elementary", "School"])).alias("name"),
         F.concat(one_of(i, "town", TOWNS), F.lit(" School District")).alias("district"),
         one_of(i, "state", STATES).alias("state"),
-        one_of(i, "stype", SCHOOL_TYPES).alias("school_type"),
-        one_of(i, "range", GRADE_RANGES).alias("grade_range"),
+        one_of(i, "stype", SCHOOL_KINDS).alias("school_type"),
+        one_of(i, "range", SPANS).alias("grade_range"),
         between(i, "cap", 50, 500).cast("int").alias("student_capacity"),
     )
 
@@ -107,7 +109,7 @@ def educators(ids: DataFrame, n_schools: int, today: str) -> DataFrame:
         first.alias("first_name"), last.alias("last_name"),
         labels.email_address(first, last, i, one_of(i, "mail", MAIL_DOMAINS)).alias("email"),
         role.alias("role"),
-        one_of(i, "cert", CERTIFICATIONS).alias("certification"),
+        one_of(i, "cert", CERTIFICATES).alias("certification"),
         _key("school", draw(i, "eschool", n_schools)).alias("school_id"),
         days_back(i, "hired", 3650, today).alias("hire_date"),
         weighted(i, "estat", EDUCATOR_STATUSES, (85, 10, 5)).alias("status"),
@@ -115,7 +117,7 @@ def educators(ids: DataFrame, n_schools: int, today: str) -> DataFrame:
 
 
 def _room_grade(room: Column) -> Column:
-    return one_of(room, "grade", GRADES)
+    return one_of(room, "grade", LEVELS)
 
 
 def _room_school(room: Column, n_schools: int) -> Column:
@@ -134,7 +136,7 @@ def classrooms(ids: DataFrame, n_schools: int, n_educators: int) -> DataFrame:
         _room_school(i, n_schools).alias("school_id"),
         _key("educator", draw(i, "lead", leads) * 4).alias("educator_id"),
         between(i, "seats", 8, 30).cast("int").alias("capacity"),
-        one_of(i, "program", PROGRAMS).alias("program_type"),
+        one_of(i, "program", COURSES).alias("program_type"),
     )
 
 
@@ -157,25 +159,21 @@ def students(ids: DataFrame, n_schools: int, n_classrooms: int, today: str) -> D
 
 
 def _objective_subject(objective: Column) -> Column:
-    return one_of(objective, "subject", list(SUBJECT_DOMAINS))
+    return one_of(objective, "subject", SUBJECTS)
 
 
 def _objective_domain(objective: Column) -> Column:
-    subject = _objective_subject(objective)
-    chain = F.lit(None).cast("string")
-    for name, domains in SUBJECT_DOMAINS.items():
-        chain = F.when(subject == name, one_of(objective, "domain", domains)).otherwise(chain)
-    return chain
+    return F.concat_ws(", topic ", _objective_subject(objective),
+                       between(objective, "domain", 1, TOPICS).cast("string"))
 
 
 def learning_objectives(ids: DataFrame) -> DataFrame:
     i = F.col("id")
-    subject, domain, grade = _objective_subject(i), _objective_domain(i), one_of(i, "og", GRADES)
+    subject, domain, grade = _objective_subject(i), _objective_domain(i), one_of(i, "og", LEVELS)
     return ids.select(
         _key("objective", i).alias("objective_id"),
         subject.alias("subject"), domain.alias("domain"),
-        F.concat(F.lit("Shows proficiency in "), domain, F.lit(" within "), subject,
-                 F.lit(" for grade "), grade).alias("description"),
+        F.concat_ws(": ", grade, domain).alias("description"),
         grade.alias("grade_level"),
         labels.standard_code(subject, between(i, "major", 1, 9).cast("string"),
                              between(i, "minor", 1, 9).cast("string")).alias("standard_code"),
