@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import exact, fuzzy_lines, packing, pieces, pii, quality, simhash, token_files, url_classes, warc
+from strata.llm import (byte_bpe, exact, fuzzy_lines, hard_negatives, packing, pieces, pii, quality,
+                        simhash, token_files, url_classes, vector_codes, warc)
 from strata.session import scratch_path
 
 
@@ -79,6 +80,26 @@ def op10_url_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_classes.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    kind = vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), *kind)
+    decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
+    rows = byte_bpe.decode(encoded.withColumn("ids_sha256", F.sha2(decimal, 256)), *kind)
+    return rows.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"),
+                                         F.col("vec_id") % 100 == 0, label=moved)
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_simhash": op2_simhash,
@@ -90,4 +111,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_personal_data": op9_personal_data,
     "op10_url_classes": op10_url_classes,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_hard_negatives": op13_hard_negatives,
 }
