@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import discard, stage
+from strata.llm.common import discard, join_hot, stage
 
 
 def _around(edges: DataFrame) -> DataFrame:
@@ -14,26 +14,24 @@ def _around(edges: DataFrame) -> DataFrame:
     return edges.unionAll(back)
 
 
-def _towards_least(pairs: DataFrame, keep) -> DataFrame:
-    """Every neighbour b of a that `keep` admits, linked to the least node around a."""
-    least = pairs.groupBy("a").agg(F.min("b").alias("m")).select(
-        F.col("a").alias("at"), F.least("a", "m").alias("m"))
-    joined = pairs.join(least, F.col("a") == F.col("at"))
-    return joined.where(keep).select(F.col("b").alias("a"), F.col("m").alias("b"))
+def _least(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    return _towards_least(_around(edges), F.col("b") > F.col("a"))
+def _large_star(edges: DataFrame, total: int) -> DataFrame:
+    """Every neighbour of a node above it, linked to the least of the node and its neighbours."""
+    pairs = _around(edges)
+    return join_hot(pairs, _least(pairs), ["a"], 2 * total).where("b > a").select(
+        F.col("b").alias("a"), F.least("a", "m").alias("b"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
+    """Every neighbour of a node below it, and the node itself, linked to the least of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    tops = least.select("a", F.col("m").alias("b"))
-    others = (down.join(least.withColumnRenamed("a", "at"), F.col("a") == F.col("at"))
-              .where(F.col("b") > F.col("m"))
-              .select(F.col("b").alias("a"), F.col("m").alias("b")))
-    return tops.unionAll(others)
+    least = _least(down)
+    others = join_hot(down, least, ["a"], total).where("b > m").select(
+        F.col("b").alias("a"), F.col("m").alias("b"))
+    return least.select("a", F.col("m").alias("b")).unionAll(others)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -42,7 +40,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Each round is written to the shared folder and the one before it removed. Rounds grow with
     the logarithm of the longest path, not with its length. A node with many edges is summed
-    on the map side, and the join that follows splits it."""
+    on the map side; one with over a thousandth of all is broadcast to its edges."""
     now = stage(edges.select(F.col(a).alias("a"), F.col(b).alias("b"))
                 .where(F.col("a") != F.col("b"))
                 .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -54,6 +52,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(
                 now.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
         seen = tuple(print_)
-        after = stage(_small_star(_large_star(now)).distinct(), "edges")
+        total = print_[0]
+        wide = stage(_large_star(now, total).distinct(), "edges")
+        after = stage(_small_star(wide, total).distinct(), "edges")
+        discard(wide)
         discard(now)
         now = after

@@ -10,11 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import discard, in_batches, stage
+from strata.llm.common import (discard, discard_all, in_batches, join_hot, left_in_place, noted,
+                               stage, stage_in_place)
 from strata.llm.components import components
 
 WORDS, RADIUS, SEED = 3, 2, 42
 CELLS = 1 << 20  # comparisons at a time
+FULL = 200_000  # fingerprints of a tile that one task holds
 PART = 1 << 15  # shingles at a time
 
 
@@ -111,19 +113,21 @@ def _links(home: np.ndarray, others: np.ndarray, radius: int, same: bool
 
 
 def _compare(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    """Rows come by tile, a tile's own fingerprints first, then those of the tiles around it.
-    Only a tile's own are held; of the links found the ones that join something are returned."""
+    """Rows (tile, share, guest, print) come by tile and share, the share's own fingerprints
+    first, then those of the tile's other shares and of the tiles around it. Only its own are
+    held; of the links found the ones that join something are returned."""
     tile, home, forest = None, np.zeros(0, np.uint64), Forest()
     for batch in batches:
-        tiles, guest, prints = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+        tiles, shares, guest, prints = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
         prints = prints.view(np.uint64)
-        cuts = np.flatnonzero((np.diff(tiles) != 0) | (np.diff(guest) != 0)) + 1
+        cuts = np.flatnonzero((np.diff(tiles) != 0) | (np.diff(shares) != 0)
+                              | (np.diff(guest) != 0)) + 1
         found: list[tuple[int, int]] = []
         for a, b in zip([0, *cuts], [*cuts, len(tiles)], strict=True):
             if a == b:
                 continue
-            if tiles[a] != tile:
-                tile, home, forest = tiles[a], np.zeros(0, np.uint64), Forest()
+            if (tiles[a], shares[a]) != tile:
+                tile, home, forest = (tiles[a], shares[a]), np.zeros(0, np.uint64), Forest()
             part = prints[a:b]
             if guest[a]:
                 pairs = _links(home, part, radius, False) if len(home) else ()
@@ -139,34 +143,65 @@ def _compare(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Reco
                                              ["a", "b"])
 
 
-def links(prints: DataFrame, radius: int = RADIUS, parts: int = 4) -> DataFrame:
+def parts_for(prints: int) -> int:
+    """Into how many parts fingerprints are cut for so many of them: more parts make more and
+    smaller tiles, and more copies of each fingerprint."""
+    return 4 if prints <= 10_000_000 else 8 if prints <= 10_000_000_000 else 16
+
+
+def links(prints: DataFrame, radius: int = RADIUS, parts: int | None = None) -> DataFrame:
     """Links (a, b) between distinct fingerprints at most `radius` bits apart, enough of them to
     connect all that are; `prints` has one row per distinct fingerprint in column print.
 
     A tile holds the fingerprints whose `parts` equal parts have the same population counts.
     Two fingerprints within the radius have counts that differ by no more than it, all parts
     added; tiles further apart are never compared, the others exactly, by exclusive-or and bit
-    counts. More parts make more and smaller tiles: 4 suit up to some ten million fingerprints,
-    8 some billions, 16 more; the result is the same."""
+    counts. parts (4, 8 or 16) follows from the number of fingerprints if it is None; the result
+    is the same. A tile of more than FULL fingerprints is dealt to several tasks: each holds a
+    share of them and sees all others as guests."""
+    prints = prints.select("print")
+    total = prints.count()
+    parts = parts or parts_for(total)
     bits, size = 64 // parts, 64 // parts + 1
     counts = [F.bit_count(F.shiftrightunsigned("print", bits * k).bitwiseAND(
         F.lit((1 << bits) - 1 if bits < 64 else -1))).cast("long") for k in range(parts)]
     number = lambda c: sum((x * size ** k for k, x in enumerate(c)), F.lit(0).cast("long"))
-    homes = [F.struct(number(counts).alias("tile"), F.lit(0).alias("guest"))]
+    tiled = prints.withColumn("home", number(counts))
+    # Fewer than total / FULL tiles are full.
+    full = F.broadcast(tiled.groupBy("home").agg(F.count("*").alias("n")).where(
+        F.col("n") > FULL).select(F.col("home").alias("tile"),
+                                  F.ceil(F.col("n") / FULL).cast("int").alias("shares")))
     around = [F.struct(F.when(
         F.array_min(F.array(*to, F.lit(0).cast("long"))).eqNullSafe(0)
         & (F.array_max(F.array(*to, F.lit(0).cast("long"))) <= bits),
         number(to)).alias("tile"), F.lit(1).alias("guest"))
         for step in _steps(parts, radius)
         for to in [[c + d for c, d in zip(counts, step, strict=True)]]]
-    spread = prints.select("print", F.explode(F.array(*homes, *around)).alias("at")).where(
-        "at.tile IS NOT NULL").select("at.tile", "at.guest", "print")
-    return spread.repartition("tile").sortWithinPartitions("tile", "guest").mapInArrow(
-        lambda batches: _compare(batches, radius), "a long, b long")
+    home = F.struct(F.col("home").alias("tile"), F.lit(0).alias("guest"))
+    # Fingerprints are few bytes and become many rows, so they are dealt out before.
+    spread = (prints.repartition(_tasks(prints), "print").withColumn("home", number(counts))
+              .select("print", F.explode(F.array(home, *around)).alias("at"))
+              .where("at.tile IS NOT NULL").select("at.tile", "at.guest", "print"))
+    share = F.pmod(F.xxhash64("print"), F.col("shares")).cast("int")
+    # A full tile's own fingerprints are at home in one share and guests in those after it.
+    dealt = (spread.join(full, "tile", "left")
+        .withColumn("shares", F.coalesce("shares", F.lit(1)))
+        .withColumn("own", F.when(F.col("guest") == 0, share))
+        .withColumn("share", F.explode(F.sequence(
+            F.coalesce("own", F.lit(0)), F.col("shares") - 1)))
+        .select("tile", "share", "print", F.when(F.col("guest") == 1, 1).otherwise(
+            (F.col("share") != F.col("own")).cast("int")).alias("guest")))
+    return (dealt.select("tile", "share", "guest", "print").repartition("tile", "share")
+            .sortWithinPartitions("tile", "share", "guest").mapInArrow(
+                lambda batches: _compare(batches, radius), "a long, b long"))
+
+
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def simhash_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = WORDS,
-                   radius: int = RADIUS, parts: int = 4) -> DataFrame:
+                   radius: int = RADIUS, parts: int | None = None) -> DataFrame:
     """One row (doc_id, print, component_id) per row of docs. Fingerprints at most `radius` bits
     apart are linked; component_id is the least id reachable over links, the row's own included.
 
@@ -177,29 +212,33 @@ def simhash_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", word
     Equal fingerprints are one before any comparison, so a group of exact copies costs a row per
     task. Links, components and fingerprints stay in tables."""
     seen = stage(fingerprints(docs, id, text, words), "prints")
-    distinct = seen.groupBy("print").agg(F.min("doc_id").alias("first"))
+    distinct = stage(seen.groupBy("print").agg(F.min("doc_id").alias("first"),
+                                               F.count("*").alias("n")), "prints-distinct")
     near = stage(links(distinct, radius, parts), "links")
     roots = stage(components(near), "roots")
     discard(near)
     named = distinct.join(roots, distinct["print"] == roots["node"], "left").select(
-        "print", F.coalesce("root", "print").alias("root"), "first")
+        "print", F.coalesce("root", "print").alias("root"), "first", "n")
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = named.join(least, "root").select(F.col("print").alias("p"), "component_id")
-    return seen.join(classes, seen["print"] == classes["p"]).select(
+    classes = named.join(least, "root").select("print", "component_id", "n")
+    return join_hot(seen, stage(classes, "print-classes"), ["print"], seen.count()).select(
         "doc_id", "print", "component_id")
 
 
 def simhash_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = WORDS,
-                  radius: int = RADIUS, parts: int = 4) -> DataFrame:
+                  radius: int = RADIUS, parts: int | None = None) -> DataFrame:
     """The rows of docs, all columns kept, without those whose group has one that stays: of each
-    group the row with the least id. Rows without an id form no group and stay. Of rows that
-    repeat the least id one stays."""
-    rows = stage(docs.select(
-        F.monotonically_increasing_id().alias("tag"), F.col(id).alias("doc_id"),
-        F.col(text).alias("text"), F.struct(*[docs[c] for c in docs.columns]).alias("row")),
-        "simhash-rows")
-    tagged = rows.select(F.struct("doc_id", "tag").alias("key"), "text").where(
-        F.col("key.doc_id").isNotNull())
-    gone = simhash_groups(tagged, "key", "text", words, radius, parts).where(
-        F.col("doc_id") != F.col("component_id")).select("doc_id.tag")
-    return rows.join(gone, "tag", "left_anti").select("row.*")
+    group the row with the least id, null ids last. Of rows that repeat the least id one stays.
+    Null and empty texts are alike; an empty table gives an empty one. Texts are read where they
+    lie and not shuffled; what was stored on the way is removed."""
+    with noted() as folders:
+        rows = stage_in_place(docs.select(F.col(id).alias("doc_id"), F.struct(
+            *[docs[c] for c in docs.columns]).alias("row")), "simhash-rows")
+        key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "part", "tag")
+        tagged = rows.select(key.alias("key"), F.col("row").getField(text).alias("text"))
+        gone = stage(simhash_groups(tagged, "key", "text", words, radius, parts).where(
+            F.col("doc_id.tag") != F.col("component_id.tag")).select(
+                "doc_id.part", "doc_id.tag"), "simhash-gone")
+    kept = left_in_place(rows, gone, "left_anti", ["row"], "simhash-kept")
+    discard_all(docs.sparkSession, folders)
+    return kept.select("row.*")

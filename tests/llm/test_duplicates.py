@@ -10,8 +10,9 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from strata.llm import exact, fuzzy_lines, simhash
+from strata.llm import common, exact, fuzzy_lines, simhash
 from strata.llm.components import components
+from strata.session import exists
 
 from helpers import Union, awkward, documents, rows_of
 
@@ -174,8 +175,55 @@ def test_simhash_groups_and_dedup(spark):
     kept = simhash.simhash_dedup(docs)
     assert kept.columns == docs.columns
     ids = [r.doc_id for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == sorted(least.values())
-    assert ids.count(None) == sum(i is None for i, _ in rows)
+    groups = {plain.root(prints[t]) for _, t in rows}
+    assert rows_of_list((i,) for i in ids) == rows_of_list((least.get(r),) for r in groups)
+
+
+def test_full_tiles_are_dealt_to_several_tasks(spark, monkeypatch):
+    """All in few tiles, and those cut into shares of three fingerprints."""
+    prints = near_prints(3, 200)
+    signed = [(x - (1 << 64) if x >> 63 else x,) for x in prints]
+    whole = spark.createDataFrame(signed, "print long")
+    monkeypatch.setattr(simhash, "FULL", 3)
+    plain, found = linked(prints, 2), Union()
+    for a, b in simhash.links(whole, 2, 1).collect():
+        assert ((a ^ b) % (1 << 64)).bit_count() <= 2
+        found.join(a % (1 << 64), b % (1 << 64))
+    classes = lambda u: {frozenset(x for x in prints if u.root(x) == r)
+                         for r in map(u.root, prints)}
+    assert classes(found) == classes(plain)
+
+
+def test_one_group_of_half_the_rows(spark):
+    """No task of a join by key reads the whole group: it is decided by a broadcast."""
+    rows = [(k, "the same text" if k % 2 else f"text {k} of its own {k * k}") for k in range(3000)]
+    docs = documents(spark, rows, clash=False).repartition(8)
+    found = {r.doc_id: (r.keep_id, r.group_size) for r in exact.exact_groups(docs).collect()}
+    assert found == {k: (2999, 1500) if k % 2 else (k, 1) for k, _ in rows}
+    assert exact.exact_dedup(docs).count() == 1501
+    assert simhash.simhash_dedup(docs).where("text = 'the same text'").count() == 1
+    edges = spark.createDataFrame([(0, k) for k in range(1, 2000)] + [(5000, 5001)],
+                                  "a long, b long")
+    assert {tuple(r) for r in components(edges).collect()} == {
+        (k, 0) for k in range(2000)} | {(5000, 5000), (5001, 5000)}
+
+
+def test_rows_stay_where_they_are(spark):
+    """A join by part and tag moves the decisions, not the rows."""
+    docs = documents(spark, [(k, f"text {k}") for k in range(500)], clash=False).repartition(5)
+    with common.noted() as folders:
+        rows = common.stage_in_place(docs, "rows")
+        gone = common.stage(rows.where("doc_id % 3 = 0").select("part", "tag"), "gone")
+    spark.conf.set(common.IN_PLACE, "false")
+    plan = rows.join(gone.hint("shuffle_hash"), ["part", "tag"], "left_anti")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset(common.IN_PLACE)
+    assert text.count("Exchange") == 1 and "Bucketed: true" in text
+    kept = common.left_in_place(rows, gone, "left_anti", ["doc_id"], "kept")
+    assert rows_of(kept) == sorted([(k,) for k in range(500) if k % 3], key=repr)
+    paths = list(folders)
+    common.discard_all(spark, folders)
+    assert folders == [] and not any(exists(spark, p) for p in paths)
 
 
 def test_simhash_of_an_empty_table(spark):
