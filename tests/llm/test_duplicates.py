@@ -10,7 +10,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from strata.llm import common, exact, fuzzy_lines, simhash
+from strata.llm import common, edits, exact, fuzzy_lines, simhash
 from strata.llm.components import components
 from strata.session import exists
 
@@ -263,45 +263,92 @@ def test_edit_distance_of_long_near_texts():
         assert found == want if want <= most else found > most
 
 
-def lines_plain(rows):
-    """Occurrences, and for each the place that its group keeps."""
-    found = [((i is None, i or 0), n, fuzzy_lines.normalised(x)) for i, t in rows
-             for n, x in enumerate((t or "").split("\n")) if x and not x.isspace()]
-    texts = sorted({x for _, _, x in found})
-    values = fuzzy_lines.prints([x.encode() for x in texts])
-    plain = Union()
-    for k, value in enumerate(values):
-        for j in np.flatnonzero(np.bitwise_count(values[k + 1:] ^ value) <= 3) + k + 1:
-            a, b = texts[k], texts[int(j)]
-            if max(len(a), len(b)) < 2000 and 1 - edit(a, b) / max(len(a), len(b)) >= 0.8:
-                plain.join(a, b)
-    first = {}
-    for i, n, x in found:
-        first[plain.root(x)] = min((i, n), first.get(plain.root(x), (i, n)))
-    return [(i, n, *first[plain.root(x)]) for i, n, x in found]
+@settings(max_examples=150, deadline=None)
+@given(st.integers(0, 2 ** 32), st.sampled_from([1, 3, 63, 64, 65, 130, 400, 700]))
+def test_many_edit_distances_at_a_time(seed, n):
+    rng, pairs = random.Random(seed), []
+    for _ in range(40):
+        a = "".join(rng.choice("abc é") for _ in range(n))
+        b = list(a)
+        for _ in range(int(n * rng.choice([0, 0.02, 0.1, 0.19, 0.21, 0.3, 1]))):
+            at = rng.randrange(len(b) + 1)
+            b[at:at + rng.randrange(2)] = rng.choice(["", "x", "yz", "語"])
+        pairs.append((a, "".join(b)))
+    pairs += [(pairs[0][0], ""), ("", "")]
+    assert edits.near_pairs(pairs, 0.8) == [fuzzy_lines.similar(*x) for x in pairs]
+
+
+def test_distances_of_very_long_texts():
+    rng = random.Random(2)
+    a = "".join(rng.choice("abcd ") for _ in range(6000))
+    near = a[:3000] + "zzz" + a[3001:]
+    assert edits.near_pairs([(a, near), (a, a[::-1]), (a, a[:4000])], 0.8) == [True, False, False]
+
+
+def print_of(line, usual=None):
+    """Bit by bit, from the hashes of the line's grams."""
+    text = f" {line} "
+    hashes = [int(fuzzy_lines._gram_hashes(np.array([ord(c) for c in text[k:k + 4]], np.uint64), 4)[0])
+              % fuzzy_lines.BINS for k in range(len(text) - 3)]
+    middle = 0 if usual is None else len(hashes) * (usual.astype(float) @ fuzzy_lines.SIGNS)
+    return fuzzy_lines.SIGNS[hashes].astype(float).sum(0) - middle > 0
+
+
+def test_line_fingerprints_bit_by_bit(monkeypatch):
+    lines = ["a", "ab", "", "the same line", "the same line", "語学 é " * 20, "x" * 5000]
+    usual = np.random.default_rng(1).dirichlet(np.ones(fuzzy_lines.BINS)).astype(np.float32)
+    for part in (1 << 16, 40):
+        monkeypatch.setattr(fuzzy_lines, "PART", part)
+        for middle in (None, usual):
+            bits = np.unpackbits(fuzzy_lines.fingerprints(lines, middle).view(np.uint8), axis=1,
+                                 bitorder="little")
+            for line, found in zip(lines, bits):
+                assert (found != print_of(line, middle)).mean() < 0.005  # sums near zero
+        few = fuzzy_lines.fingerprints(lines, usual, 64)
+        assert np.array_equal(few, fuzzy_lines.fingerprints(lines, usual)[:, :1])
+
+
+MADE = random.Random(0)
+MADE = ["".join(MADE.choices("abcdefghijklmnopqrstuvwxyz", k=MADE.randrange(2, 9)))
+        for _ in range(500)]
 
 
 def variants(seed):
-    rng = random.Random(seed)
-    words = [f"w{k}" for k in range(400)]
-    rows = []
+    """Documents of lines of which many are others with a few words changed, one after another."""
+    rng, rows = random.Random(seed), []
     for i in range(40):
         lines = []
         for _ in range(rng.randrange(5)):
-            line = rng.choices(words, k=40)
+            line = rng.choices(MADE, k=rng.choice([5, 12, 40]))
             lines.append(" ".join(line))
             for _ in range(rng.randrange(4)):
-                line[rng.randrange(40)] += rng.choice(["", "s", "!", "é"])
-                lines.append(" ".join(line).replace("w1", "W1"))
+                line[rng.randrange(len(line))] += rng.choice(["", "s", "!", "é"])
+                lines.append(" ".join(line).title())
         rng.shuffle(lines)
         rows.append((i, "\n".join(lines)))
     return rows
 
 
-@pytest.mark.parametrize("hot", [2000, 2])
-def test_fuzzy_lines(spark, monkeypatch, hot):
+def lines_plain(rows):
+    """Occurrences, and for each the place that its group keeps, by edit similarity alone."""
+    found = [((i is None, i or 0), n, fuzzy_lines.normalised(x)) for i, t in rows
+             for n, x in enumerate((t or "").split("\n")) if x and not x.isspace()]
+    texts, plain, first = sorted({x for _, _, x in found}), Union(), {}
+    pairs = [(a, b) for k, a in enumerate(texts) for b in texts[k + 1:]]
+    for (a, b), near in zip(pairs, edits.near_pairs(pairs, 0.8)):
+        if near:
+            plain.join(a, b)
+    for i, n, x in found:
+        first[plain.root(x)] = min((i, n), first.get(plain.root(x), (i, n)))
+    return [(i, n, *first[plain.root(x)]) for i, n, x in found]
+
+
+@pytest.mark.parametrize("hot, split", [(1000, 20_000), (2, 20_000), (3, 2)])
+def test_fuzzy_lines(spark, monkeypatch, hot, split):
+    """Also where clusters are dealt to tasks of two lines, and blocks are not looked into."""
     monkeypatch.setattr(fuzzy_lines, "HOT", hot)
-    rows = variants(5) + awkward()
+    monkeypatch.setattr(fuzzy_lines, "SPLIT", split)
+    rows = variants(5) + [(1000 + (i or 0) if i is not None else None, t) for i, t in awkward()]
     unseen = lambda place: (place is None, place or 0)
     want = lines_plain(rows)
     found = fuzzy_lines.fuzzy_lines(documents(spark, rows)).collect()
@@ -316,6 +363,60 @@ def test_fuzzy_lines(spark, monkeypatch, hot):
     assert any(len({r.line_no for r in g}) > 1 for g in groups.values())
 
 
+def changed(rng, line, kind):
+    words, letters = line.split(" "), list(line)
+    if kind == "a word replaced":
+        words[rng.randrange(len(words))] = rng.choice(MADE)
+        return " ".join(words)
+    if kind == "a word left out":
+        words.pop(rng.randrange(len(words)))
+        return " ".join(words)
+    if kind == "an eighth of the words":
+        for at in rng.sample(range(len(words)), max(1, len(words) // 8)):
+            words[at] = rng.choice(MADE)
+        return " ".join(words)
+    for at in rng.sample(range(len(letters)), max(1, len(letters) // 10)):  # strewn characters
+        letters[at] = rng.choice("abcdefghijklmnopqrstuvwxyz")
+    return "".join(letters)
+
+
+KINDS = ["a word replaced", "a word left out", "an eighth of the words", "a tenth of the characters"]
+
+
+@pytest.mark.parametrize("kind", KINDS)
+@pytest.mark.parametrize("low, high", [(8, 32), (32, 64), (64, 200), (200, 10_000)])
+def test_recall_over_lines_of_documents(low, high, kind):
+    """Of changed lines that edit similarity alone would link, nine of ten at least share a block
+    and pass both looks at the fingerprints."""
+    import pyarrow.parquet as pq
+
+    lines = sorted({fuzzy_lines.normalised(x) for t in pq.read_table(
+        "/root/testdata/sf0.01/documents.parquet")["text"].to_pylist()
+        for x in (t or "").split("\n") if x and not x.isspace()})
+    total = sum(c.sum(0) for _, _, c in fuzzy_lines._counts(lines))
+    usual = (total / total.sum()).astype(np.float32)
+    rng, pairs = random.Random(low), []
+    pool = [x for x in lines if low <= len(x) < high]
+    for _ in range(20_000):
+        if len(pairs) < 300:
+            a = rng.choice(pool)
+            b = changed(rng, a, kind)
+            if b and a != b and fuzzy_lines.similar(a, b):
+                pairs.append((a, b))
+    assert len(pairs) > 100
+    sides = [list(x) for x in zip(*pairs)]
+    prints = [fuzzy_lines.fingerprints(x, usual) for x in sides]
+    shared = []
+    for lines, found in zip(sides, prints):
+        owner, value = fuzzy_lines.blocks(lines, found)
+        shared.append([set(value[owner == k].tolist()) for k in range(len(lines))])
+    longer = np.array([max(map(len, x)) for x in pairs])
+    near = np.bitwise_count(prints[0] ^ prints[1]).sum(1) <= fuzzy_lines.radius(longer)
+    early = np.bitwise_count(prints[0][:, 0] ^ prints[1][:, 0]) <= fuzzy_lines.EARLIER
+    both = np.array([bool(a & b) for a, b in zip(*shared)])
+    assert (near & early & both).mean() >= 0.9
+
+
 def test_one_changed_stretch_always_shares_a_bucket():
     for n in range(5, 700):
         for few in range(n - int(0.2 * n + 1e-9), n + 1):
