@@ -47,7 +47,8 @@ def client_layers(bronze_rows: DataFrame, path: str, checkpoint: str,
 def silver(bronze_rows: DataFrame, path: str, checkpoint: str,
            continuous: bool = False) -> StreamingQuery:
     """Valid, enriched messages, each once, however late they come and in whatever batches: a
-    repeat is told by the message's identity among the rows stored, not by a watermark."""
+    repeat is told by the message's identity in the index of the rows stored, not by a
+    watermark."""
     write = runner.new_rows(path, messages.MESSAGE_ID, messages.silver)
     return runner.each_batch(bronze_rows, write, checkpoint, continuous=continuous)
 
@@ -66,22 +67,22 @@ def late_arrivals(spark: SparkSession, path: str) -> DataFrame:
 
 def hourly(silver_rows: DataFrame, path: str, checkpoint: str,
            continuous: bool = False) -> StreamingQuery:
-    """Hourly metrics kept current: a batch adds its rows to what the table has of the groups
-    it touches and stores these groups. No state is kept, and no row is late. Read the table
-    with hourly_table(), and gather its batches now and then with compact_hourly()."""
+    """Hourly metrics kept current: a batch adds its rows to what the table has of the hours it
+    touches and stores these hours anew. No state is kept, and no row is late. Read the table
+    with hourly_table()."""
     write = runner.merged_groups(path, messages.HOURLY_KEYS, "window_start",
                                  messages.hourly_parts, messages.added_parts)
     return runner.each_batch(silver_rows, write, checkpoint, continuous=continuous)
 
 
 def hourly_table(spark: SparkSession, path: str) -> DataFrame:
-    return messages.hourly_metrics(runner.newest(
-        spark, path, messages.HOURLY_KEYS, messages.HOURLY_PARTS))
+    return messages.hourly_metrics(runner.newest(spark, path).select(
+        *messages.HOURLY_KEYS, *messages.HOURLY_PARTS))
 
 
 def compact_hourly(spark: SparkSession, path: str) -> None:
-    """Make one folder of all batches but the last; the table stays the same throughout."""
-    runner.compact(spark, path, messages.HOURLY_KEYS)
+    """Leave one version of each hour; the table stays the same."""
+    runner.compact(spark, path)
 
 
 def hourly_closed(silver_rows: DataFrame, path: str, checkpoint: str, watermark: str = CLOSING,

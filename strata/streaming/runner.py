@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
 
 from strata.session import exists, remove
 
@@ -53,95 +52,141 @@ def batch_folders(path: str, encode: Callable[[DataFrame], DataFrame] | None = N
     return write
 
 
-def earlier(spark: SparkSession, path: str, batch_id: int, like: DataFrame) -> DataFrame:
-    """The rows that batches before the given one have stored."""
-    stored = StructType([*like.schema.fields, StructField("batch_id", LongType())])
-    if not exists(spark, path):
-        return spark.createDataFrame([], stored)
-    return spark.read.schema(stored).parquet(path).where(F.col("batch_id") < batch_id)
+def _folders(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a pattern stands for, and none else listed."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [str(status.getPath()) for status in system.globStatus(place) or ()]
 
 
-def within(rows: DataFrame, of: DataFrame, column: str) -> DataFrame:
-    """The rows whose column lies in the range it has in `of`. Both ends are literals, so files
-    without such rows are skipped by their statistics."""
-    low, high = of.agg(F.min(column), F.max(column)).first()
-    return rows.where(F.col(column).between(low, high))
+def _below(path: str) -> int:
+    """The batch a folder batch_id=N belongs to."""
+    return int(path.rsplit("=", 1)[1])
 
 
-def new_rows(path: str, keys: list[str], encode: Callable[[DataFrame], DataFrame]
-             ) -> Callable[[DataFrame, int], None]:
+SPAN = 1 << 20  # offsets of a partition that one slot of the identity index holds
+
+
+def _slot(keys: list[str], span: int) -> Column:
+    """The slot of a message: a hash of its topic and partition, and the range of its offset. Its
+    name has no character that a folder's name could not have."""
+    *stream, offset = keys
+    return F.concat_ws("-", F.hex(F.xxhash64(*stream)),
+                       F.coalesce(F.floor(F.col(offset) / span).cast("string"), F.lit("none")))
+
+
+def known_rows(spark: SparkSession, path: str, slots: list[str], batch_id: int,
+               like: DataFrame) -> DataFrame:
+    """The identities that batches before the given one have stored in these slots. Only the
+    slots' folders are listed and read, however many batches and slots there are."""
+    found = [f for slot in slots for f in _folders(spark, f"{path}/_identity/slot={slot}/batch_id=*")
+             if _below(f) < batch_id]
+    if not found:
+        return spark.createDataFrame([], like.schema)
+    return spark.read.schema(like.schema).parquet(*found)
+
+
+def new_rows(path: str, keys: list[str], encode: Callable[[DataFrame], DataFrame],
+             span: int = SPAN) -> Callable[[DataFrame, int], None]:
     """A batch writer that stores what encode() makes of the batch, without the rows whose key
-    an earlier batch has stored. No state is kept and no row is too late: repeats are looked up
-    in the stored rows, of which only those in the batch's range of the last key are read. A
-    batch that has been stored is left as it is, so readers never meet it twice."""
+    an earlier batch has stored. No state is kept and no row is too late: beside the rows lies an
+    index of their keys, by slots of topic, partition and offset range, and a batch reads the
+    slots that it touches. A batch that has been stored is left as it is, so readers never meet
+    it twice; one that stopped before its keys were in the index has them entered again."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, folder = batch.sparkSession, f"{path}/batch_id={batch_id}"
-        if exists(spark, f"{folder}/_SUCCESS"):
+        if not exists(spark, f"{folder}/_SUCCESS"):
+            batch.persist()
+            try:
+                rows = encode(batch)
+                slots = [r[0] for r in rows.select(_slot(keys, span)).distinct().collect()]
+                known = known_rows(spark, path, slots, batch_id, rows.select(*keys))
+                rows.join(known, keys, "left_anti").select(*rows.columns).write.mode(
+                    "overwrite").parquet(folder)
+            finally:
+                batch.unpersist()
+        elif exists(spark, f"{path}/_identity/_done/{batch_id}"):
             return
-        batch.persist()
-        try:
-            rows = encode(batch)
-            known = within(earlier(spark, path, batch_id, rows), batch, keys[-1])
-            rows.join(known.select(*keys), keys, "left_anti").select(*rows.columns).write.mode(
-                "overwrite").parquet(folder)
-        finally:
-            batch.unpersist()
+        stored = spark.read.parquet(folder).select(
+            *keys, _slot(keys, span).alias("slot"), F.lit(batch_id).alias("batch_id"))
+        (stored.hint("rebalance", "slot").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("slot", "batch_id")
+         .parquet(f"{path}/_identity"))
+        _mark(spark, f"{path}/_identity/_done/{batch_id}")
 
     return write
 
 
+def _mark(spark: SparkSession, path: str) -> None:
+    """An empty file, there at once or not at all."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(place, True).close()
+
+
+def published(spark: SparkSession, path: str) -> int:
+    """The last batch of a table of groups that its readers may see, -1 for none."""
+    return max((int(f.rsplit("/", 1)[1]) for f in _folders(spark, f"{path}/_published/*")),
+               default=-1)
+
+
 def merged_groups(path: str, keys: list[str], at: str,
                   encode: Callable[[DataFrame], DataFrame],
                   add: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """A batch writer for a table of groups: encode() sums up a batch, add() what the table has
-    of the same groups with it, and the batch's folder gets the new rows of the groups touched.
-    Read the table with newest(). Groups are compared null-safe; of the table only rows in the
-    batch's range of the column `at` are read."""
+    """A batch writer for a table of groups, laid out by the hour of the column `at`: encode()
+    sums up a batch, add() what the table has of the same hours with it, and these hours get a
+    new version; no other hour is listed, read or written. When the versions are whole the batch
+    is published, and only then do readers (newest()) see them. Of an hour the version before
+    stays, for readers at work and for a batch that is repeated; older ones go."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark, folder = batch.sparkSession, f"{path}/batch_id={batch_id}"
-        if exists(spark, f"{folder}/_SUCCESS"):
+        spark = batch.sparkSession
+        if published(spark, path) >= batch_id:
             return
+        hour = F.coalesce(F.date_format(at, "yyyyMMddHH"), F.lit("none"))
         rows = encode(batch).persist()
         try:
-            values = [c for c in rows.columns if c not in keys]
-            stored = within(earlier(spark, path, batch_id, rows), rows, at)
-            current = _picked(stored, keys, values)
-            touched = rows.select(*[F.col(k).alias(f"_{k}") for k in keys])
-            same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-            known = current.join(touched, same, "left_semi")
-            add(rows.unionByName(known)).write.mode("overwrite").parquet(folder)
+            touched = [r[0] for r in rows.select(hour).distinct().collect()]
+            before = {h: sorted((_below(f), f) for f in _folders(
+                spark, f"{path}/slot={h}/batch_id=*") if _below(f) < batch_id) for h in touched}
+            known = [found[-1][1] for found in before.values() if found]
+            if known:
+                rows = rows.unionByName(spark.read.schema(rows.schema).parquet(*known))
+            (add(rows).withColumns({"slot": hour, "batch_id": F.lit(batch_id)})
+             .hint("rebalance", "slot").write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("slot", "batch_id")
+             .parquet(path))
         finally:
             rows.unpersist()
+        _mark(spark, f"{path}/_published/{batch_id}")
+        for old in [f for found in before.values() for _, f in found[:-1]]:
+            remove(spark, old)
+        for mark in _folders(spark, f"{path}/_published/*"):
+            if int(mark.rsplit("/", 1)[1]) < batch_id:
+                remove(spark, mark)
 
     return write
 
 
-def compact(spark: SparkSession, path: str, keys: list[str]) -> None:
-    """Gather a table kept by merged_groups() in the folder of its last batch but one; the last
-    one may still be repeated. A reader sees the same rows at every moment: the gathered rows
-    join that folder first, equal to what it has, and only then the older folders go."""
-    ids = sorted(r[0] for r in spark.read.parquet(path).select("batch_id").distinct().collect())
-    if len(ids) < 3:
-        return
-    last = ids[-2]
-    old = spark.read.parquet(path).where(F.col("batch_id") <= last)
-    values = [c for c in old.columns if c not in [*keys, "batch_id"]]
-    current = old.groupBy(*keys).agg(
-        F.max_by(F.struct(*values), "batch_id").alias("_row"), F.max("batch_id").alias("_at"))
-    (current.where(F.col("_at") < last).select(*keys, "_row.*")
-     .write.mode("append").parquet(f"{path}/batch_id={last}"))
-    for batch_id in ids[:-2]:
-        remove(spark, f"{path}/batch_id={batch_id}")
-
-
-def _picked(changes: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    picked = changes.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_row"))
-    return picked.select(*keys, "_row.*")
-
-
-def newest(spark: SparkSession, path: str, keys: list[str], values: list[str]) -> DataFrame:
-    """The current rows of a table kept by update-mode batches: per key, the values of the
-    latest batch that touched it."""
-    return _picked(spark.read.parquet(path), keys, values)
+def _versions(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Per hour the folders of its published versions, oldest first."""
+    last, hours = published(spark, path), {}
+    for folder in sorted(_folders(spark, f"{path}/slot=*/batch_id=*"), key=_below):
+        if _below(folder) <= last:
+            hours.setdefault(folder.rsplit("/", 2)[1], []).append(folder)
+    return hours
+
+
+def compact(spark: SparkSession, path: str) -> None:
+    """Remove the versions that merged_groups() has kept beside the current one of each hour. No
+    reader may be at work on an older state of the table, and no batch under way."""
+    for found in _versions(spark, path).values():
+        for old in found[:-1]:
+            remove(spark, old)
+
+
+def newest(spark: SparkSession, path: str) -> DataFrame:
+    """The current rows of a table kept by merged_groups(): of each hour the last published
+    version."""
+    found = [folders[-1] for folders in _versions(spark, path).values()]
+    return spark.read.parquet(*(found or [path]))

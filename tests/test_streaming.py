@@ -166,8 +166,8 @@ def test_compaction_keeps_the_table(spark, feed, path):
     for _ in range(2):
         streams.compact_hourly(spark, path("hourly"))
         assert rows(streams.hourly_table(spark, path("hourly"))) == before
-    folders = spark.read.parquet(path("hourly")).select("batch_id").distinct().count()
-    assert folders == 2
+    versions = spark.read.parquet(path("hourly")).select("slot", "batch_id").distinct()
+    assert versions.count() == versions.select("slot").distinct().count() == 3
     feed.add("2024-01-01T10:40:00Z", "2024-01-05T10:40:00Z")
     after = go()
     assert sum(r[6] for r in after) == sum(r[6] for r in before) + 2
@@ -176,6 +176,75 @@ def test_compaction_keeps_the_table(spark, feed, path):
     assert after == rows(batch.drop("gold_processed_timestamp"))
 
 
+def test_a_batch_reads_the_slots_it_touches(spark, path, monkeypatch):
+    """Fifty batches of ten offsets, slots of ten: the files read do not grow with the batches."""
+    keys, seen = ["topic", "part", "at"], []
+    plain = runner.known_rows
+
+    def looked(*args):
+        found = plain(*args)
+        seen.append(len(found.inputFiles()))
+        return found
+
+    monkeypatch.setattr(runner, "known_rows", looked)
+    write = runner.new_rows(path("out"), keys, lambda rows_: rows_, span=10)
+    batch = lambda low: spark.range(low, low + 10).selectExpr("'a/b=c' topic", "1 part", "id at")
+    for n in range(50):
+        write(batch(10 * n), n)
+    assert max(seen) == 0
+    write(batch(95).unionByName(spark.range(500, 501).selectExpr("'a/b=c' topic", "1 part", "id at")),
+          50)
+    assert 0 < seen[-1] <= 2 * 4
+    stored = spark.read.parquet(path("out"))
+    assert sorted(r.at for r in stored.collect()) == list(range(501))
+
+
+def test_a_batch_that_stopped_before_its_index_is_entered(spark, path, monkeypatch):
+    """The rows were stored, the index was not: the batch that is repeated enters it, and the
+    next one knows the repeats."""
+    write = runner.new_rows(path("out"), ["topic", "part", "at"], lambda rows_: rows_)
+    batch = spark.range(3).selectExpr("'t' topic", "0 part", "id at")
+
+    def broken(*_):
+        raise OSError("lost")
+
+    plain = runner._mark
+    monkeypatch.setattr(runner, "_mark", broken)
+    with pytest.raises(OSError):
+        write(batch, 0)
+    monkeypatch.setattr(runner, "_mark", plain)
+    files_before = spark.read.parquet(path("out")).inputFiles()
+    write(batch, 0)
+    write(batch.unionByName(spark.range(9, 10).selectExpr("'t' topic", "0 part", "id at")), 1)
+    stored = spark.read.parquet(path("out"))
+    assert set(files_before) <= set(stored.inputFiles())
+    assert sorted(r.at for r in stored.collect()) == [0, 1, 2, 9]
+
+
+def test_only_touched_hours_are_written_and_seen_when_whole(spark, path, monkeypatch):
+    add = lambda rows_: rows_.groupBy("k", "at").agg(F.sum("n").alias("n"))
+    write = runner.merged_groups(path("out"), ["k", "at"], "at", add, add)
+    batch = lambda *hours_: spark.createDataFrame(
+        [("k", datetime(2024, 1, 1, h), 1) for h in hours_], "k string, at timestamp, n long")
+    for n in range(12):
+        write(batch(n % 3, 3 + n), n)
+    at = lambda: sorted((r["at"].hour, r["n"]) for r in runner.newest(spark, path("out")).collect())
+    whole = at()
+    assert sum(n for _, n in whole) == 24 and (0, 4) in whole
+    folders = runner._folders(spark, path("out") + "/slot=*/batch_id=*")
+    assert len([f for f in folders if "slot=2024010100" in f]) == 2  # and none older
+
+    plain = runner._mark
+    monkeypatch.setattr(runner, "_mark", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        write(batch(0, 1), 12)
+    assert at() == whole  # written, not published
+    monkeypatch.setattr(runner, "_mark", plain)
+    write(batch(0, 1), 12)
+    write(batch(0, 1), 12)
+    assert dict(at())[0] == dict(whole)[0] + 1 and sum(n for _, n in at()) == 26
+
+
 def test_repeated_batch_replaces_its_folder(spark, path):
     write = runner.batch_folders(path("out"))
     for _ in range(2):

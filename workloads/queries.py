@@ -178,21 +178,21 @@ def client_silver_stream(t: Tables) -> DataFrame:
 
 
 def _backlog(t: Tables) -> str:
-    """The event messages as files of a topic, written newest first: the last three tenths of
-    the offsets, then everything, so that the second delivery repeats the first, and later
-    batches bring far older messages."""
+    """The event messages as files of a topic in three folders, from new to old: the last three
+    tenths of the offsets, then more, then everything, so that later deliveries repeat earlier
+    ones and bring far older messages. Each folder has as many files as Spark writes."""
     path = scratch_path(t.spark, "topic")
     raw = mapping.raw_messages(t.events)
     latest = t.events.agg((F.max("event_id") * 0.7).cast("long")).first()[0]
-    for part in (F.col("kafka_offset") > latest, F.col("kafka_offset") > latest // 2,
-                 F.lit(True)):
-        raw.where(part).coalesce(1).write.mode("append").parquet(path)
+    for n, part in enumerate((F.col("kafka_offset") > latest, F.col("kafka_offset") > latest // 2,
+                              F.lit(True))):
+        raw.where(part).repartition(4).write.parquet(f"{path}/delivery={n}")
     return path
 
 
 def _backlog_stream(t: Tables, path: str) -> DataFrame:
-    return t.spark.readStream.schema(schemas.RAW_MESSAGE).option("maxFilesPerTrigger", 1).parquet(
-        path)
+    return t.spark.readStream.schema(schemas.RAW_MESSAGE).option("maxFilesPerTrigger", 4).parquet(
+        f"{path}/*")
 
 
 @query
@@ -213,7 +213,7 @@ def client_gold_hourly_compacted(t: Tables) -> DataFrame:
     bronze = messages.accepted(messages.ingest(_backlog_stream(t, _backlog(t))))
     streams.silver(bronze, f"{root}/silver", f"{root}/log1").awaitTermination()
     silver = t.spark.read.parquet(f"{root}/silver")
-    rows = t.spark.readStream.schema(silver.schema).option("maxFilesPerTrigger", 3).parquet(
+    rows = t.spark.readStream.schema(silver.schema).option("maxFilesPerTrigger", 8).parquet(
         f"{root}/silver")
     streams.hourly(rows, f"{root}/rows", f"{root}/log2").awaitTermination()
     streams.compact_hourly(t.spark, f"{root}/rows")
