@@ -67,11 +67,11 @@ def late_arrivals(spark: SparkSession, path: str) -> DataFrame:
 
 def hourly(silver_rows: DataFrame, path: str, checkpoint: str,
            continuous: bool = False) -> StreamingQuery:
-    """Hourly metrics kept current: a batch adds its rows to what the table has of the hours it
-    touches and stores these hours anew. No state is kept, and no row is late. Read the table
+    """Hourly metrics kept current: a batch adds its rows to what the table has of the days it
+    touches and stores these days anew. No state is kept, and no row is late. Read the table
     with hourly_table()."""
-    write = runner.merged_groups(path, messages.HOURLY_KEYS, "window_start",
-                                 messages.hourly_parts, messages.added_parts)
+    write = runner.merged_groups(path, "window_start", messages.hourly_parts,
+                                 messages.added_parts)
     return runner.each_batch(silver_rows, write, checkpoint, continuous=continuous)
 
 
@@ -81,7 +81,7 @@ def hourly_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compact_hourly(spark: SparkSession, path: str) -> None:
-    """Leave one version of each hour; the table stays the same."""
+    """Leave one version of each day; the table stays the same."""
     runner.compact(spark, path)
 
 

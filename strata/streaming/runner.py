@@ -130,29 +130,32 @@ def published(spark: SparkSession, path: str) -> int:
                default=-1)
 
 
-def merged_groups(path: str, keys: list[str], at: str,
-                  encode: Callable[[DataFrame], DataFrame],
-                  add: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """A batch writer for a table of groups, laid out by the hour of the column `at`: encode()
-    sums up a batch, add() what the table has of the same hours with it, and these hours get a
-    new version; no other hour is listed, read or written. When the versions are whole the batch
-    is published, and only then do readers (newest()) see them. Of an hour the version before
-    stays, for readers at work and for a batch that is repeated; older ones go."""
+DAY = "yyyyMMdd"
+
+
+def merged_groups(path: str, at: str, encode: Callable[[DataFrame], DataFrame],
+                  add: Callable[[DataFrame], DataFrame], period: str = DAY
+                  ) -> Callable[[DataFrame, int], None]:
+    """A batch writer for a table of groups, laid out by the period (a date pattern) of the column
+    `at`: encode() sums up a batch, add() what the table has of the same periods with it, and
+    these get a new version; no other period is listed, read or written. When the versions are
+    whole the batch is published, and only then do readers (newest()) see them. Of a period the
+    version before stays, for readers at work and for a batch that is repeated; older ones go."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if published(spark, path) >= batch_id:
             return
-        hour = F.coalesce(F.date_format(at, "yyyyMMddHH"), F.lit("none"))
+        slot = F.coalesce(F.date_format(at, period), F.lit("none"))
         rows = encode(batch).persist()
         try:
-            touched = [r[0] for r in rows.select(hour).distinct().collect()]
-            before = {h: sorted((_below(f), f) for f in _folders(
-                spark, f"{path}/slot={h}/batch_id=*") if _below(f) < batch_id) for h in touched}
+            touched = [r[0] for r in rows.select(slot).distinct().collect()]
+            before = {x: sorted((_below(f), f) for f in _folders(
+                spark, f"{path}/slot={x}/batch_id=*") if _below(f) < batch_id) for x in touched}
             known = [found[-1][1] for found in before.values() if found]
             if known:
                 rows = rows.unionByName(spark.read.schema(rows.schema).parquet(*known))
-            (add(rows).withColumns({"slot": hour, "batch_id": F.lit(batch_id)})
+            (add(rows).withColumns({"slot": slot, "batch_id": F.lit(batch_id)})
              .hint("rebalance", "slot").write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy("slot", "batch_id")
              .parquet(path))
@@ -169,16 +172,16 @@ def merged_groups(path: str, keys: list[str], at: str,
 
 
 def _versions(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Per hour the folders of its published versions, oldest first."""
-    last, hours = published(spark, path), {}
+    """Per period the folders of its published versions, oldest first."""
+    last, periods = published(spark, path), {}
     for folder in sorted(_folders(spark, f"{path}/slot=*/batch_id=*"), key=_below):
         if _below(folder) <= last:
-            hours.setdefault(folder.rsplit("/", 2)[1], []).append(folder)
-    return hours
+            periods.setdefault(folder.rsplit("/", 2)[1], []).append(folder)
+    return periods
 
 
 def compact(spark: SparkSession, path: str) -> None:
-    """Remove the versions that merged_groups() has kept beside the current one of each hour. No
+    """Remove the versions that merged_groups() has kept beside the current one of each period. No
     reader may be at work on an older state of the table, and no batch under way."""
     for found in _versions(spark, path).values():
         for old in found[:-1]:
@@ -186,7 +189,7 @@ def compact(spark: SparkSession, path: str) -> None:
 
 
 def newest(spark: SparkSession, path: str) -> DataFrame:
-    """The current rows of a table kept by merged_groups(): of each hour the last published
+    """The current rows of a table kept by merged_groups(): of each period the last published
     version."""
     found = [folders[-1] for folders in _versions(spark, path).values()]
     return spark.read.parquet(*(found or [path]))

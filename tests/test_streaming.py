@@ -223,7 +223,7 @@ def test_a_batch_that_stopped_before_its_index_is_entered(spark, path, monkeypat
 
 def test_only_touched_hours_are_written_and_seen_when_whole(spark, path, monkeypatch):
     add = lambda rows_: rows_.groupBy("k", "at").agg(F.sum("n").alias("n"))
-    write = runner.merged_groups(path("out"), ["k", "at"], "at", add, add)
+    write = runner.merged_groups(path("out"), "at", add, add, period="yyyyMMddHH")
     batch = lambda *hours_: spark.createDataFrame(
         [("k", datetime(2024, 1, 1, h), 1) for h in hours_], "k string, at timestamp, n long")
     for n in range(12):
