@@ -51,3 +51,29 @@ def register_sql_functions(spark: SparkSession, restricted: bool) -> None:
         "CREATE OR REPLACE TEMPORARY FUNCTION unprocessed_filter(processed STRING) "
         f"RETURNS BOOLEAN RETURN CASE WHEN {flag} THEN processed = 'Y' ELSE true END"
     )
+
+
+def secured_view(spark: SparkSession, table: str, view: str, masks: Mapping[str, str],
+                 row_filter: tuple[str, str], columns: list[str]) -> None:
+    """Bind a policy to a stored table: a view in the catalogue that its readers use by name.
+    Masked columns and rows pass through functions of the catalogue, so whoever asks the view
+    gets the policy, in whatever session. masks has a function per column; row_filter is a
+    function and the column it looks at. Spark puts the functions' bodies into the plan, so the
+    filter reaches the scan."""
+    shown = ", ".join(f"{masks[c]}({c}) AS {c}" if c in masks else c for c in columns)
+    visible, by = row_filter
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {shown} FROM {table} "
+              f"WHERE {visible}({by})")
+
+
+def stored_functions(spark: SparkSession, prefix: str, restricted: bool) -> tuple[str, str]:
+    """The mask and the row filter as lasting functions of the current schema, one pair for each
+    kind of reader: their names."""
+    kind = "restricted" if restricted else "open"
+    mask, visible = f"{prefix}_mask_content_{kind}", f"{prefix}_processed_only_{kind}"
+    flag = "true" if restricted else "false"
+    spark.sql(f"CREATE OR REPLACE FUNCTION {mask}(content STRING) RETURNS STRING "
+              f"RETURN CASE WHEN {flag} THEN '***' ELSE content END")
+    spark.sql(f"CREATE OR REPLACE FUNCTION {visible}(processed STRING) RETURNS BOOLEAN "
+              f"RETURN CASE WHEN {flag} THEN processed = 'Y' ELSE true END")
+    return mask, visible

@@ -39,14 +39,30 @@ def error_messages(errors: DataFrame, as_of: Moment = None, lookback: str = "1 H
     )
 
 
-def error_summary(errors: DataFrame, as_of: Moment = None, lookback: str = "1 HOUR") -> DataFrame:
-    """Recent errors per client and table, the most frequent first."""
-    return (
-        recent(errors, "error_timestamp", as_of, lookback)
-        .groupBy("client_id", "table_name")
-        .agg(_rows().alias("error_count"), F.max("error_timestamp").alias("last_error"))
-        .orderBy(F.desc("error_count"), "client_id", "table_name")
-    )
+def with_newest(groups: DataFrame, errors: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """groups with the messages of their newest n errors as the list recent_messages, newest
+    first, equal times in order of the text. Map tasks send n rows per group at most, so a list
+    never holds more than n messages however many there are. Keys are compared null-safe."""
+    first = Window.partitionBy(*keys).orderBy(F.desc("error_timestamp"), "error_message")
+    top = errors.select(*keys, "error_message", F.row_number().over(first).alias("rank")).where(
+        F.col("rank") <= n)
+    lists = top.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.sort_array(F.collect_list(
+        F.struct("rank", "error_message"))).alias("_found"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return groups.join(lists, same, "left").select(*groups.columns, F.coalesce(
+        F.col("_found.error_message"), F.array().cast("array<string>")).alias("recent_messages"))
+
+
+def error_summary(errors: DataFrame, as_of: Moment = None, lookback: str = "1 HOUR",
+                  newest: int | None = None) -> DataFrame:
+    """Recent errors per client and table, the most frequent first; with the messages of the
+    newest ones if `newest` says how many."""
+    keys, rows = ["client_id", "table_name"], recent(errors, "error_timestamp", as_of, lookback)
+    groups = rows.groupBy(*keys).agg(_rows().alias("error_count"),
+                                     F.max("error_timestamp").alias("last_error"))
+    if newest is not None:
+        groups = with_newest(groups, rows, keys, newest)
+    return groups.orderBy(F.desc("error_count"), *keys)
 
 
 def volume(bronze: DataFrame, as_of: Moment = None, lookback: str = "1 HOUR") -> DataFrame:
@@ -157,14 +173,14 @@ def failing_clients(bronze: DataFrame, as_of: Moment = None, lookback: str = "1
     )
 
 
-def client_health(errors: DataFrame, as_of: Moment = None, lookback: str = "1 HOUR") -> DataFrame:
-    """Recent errors per client. error_messages() lists the messages themselves."""
-    return (
-        recent(errors, "error_timestamp", as_of, lookback)
-        .groupBy("client_id")
-        .agg(_rows().alias("error_count_last_hour"),
-             F.max("error_timestamp").alias("last_error_time"))
-    )
+def client_health(errors: DataFrame, as_of: Moment = None, lookback: str = "1 HOUR",
+                  newest: int | None = None) -> DataFrame:
+    """Recent errors per client; with the messages of the newest ones if `newest` says how many.
+    error_messages() lists all messages."""
+    rows = recent(errors, "error_timestamp", as_of, lookback)
+    groups = rows.groupBy("client_id").agg(_rows().alias("error_count_last_hour"),
+                                           F.max("error_timestamp").alias("last_error_time"))
+    return groups if newest is None else with_newest(groups, rows, ["client_id"], newest)
 
 
 def events_of_pipeline(events: DataFrame, pipeline_id) -> DataFrame:

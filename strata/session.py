@@ -82,6 +82,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file, such as a batch's report, by the text."""
+    place, system = _place(spark, path)
+    out = system.create(place, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library has written."""
     place, system = _place(spark, path)

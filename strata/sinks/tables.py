@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -114,6 +115,27 @@ def describe(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql("DESCRIBE EXTENDED IDENTIFIER(:name)", args={"name": name})
 
 
+MARKER = re.compile(r"(?<![:\w]):([A-Za-z_]\w*)")
+STATEMENT = re.compile(r"(?:--[^\n]*|'(?:[^'\\]|\\.)*'|`[^`]*`|[^;])+")
+
+
+def run_script(spark: SparkSession, text: str, **values: object) -> DataFrame | None:
+    """Run the statements of a DDL script, ended by semicolons, one after the other; returns what
+    the last one gives. Named markers (:env) take their values from the arguments, names of
+    objects through IDENTIFIER(concat(:env, '_table')); a marker without a value is an error
+    before anything has run. Semicolons in quotes and comments end no statement."""
+    statements = [s for s in STATEMENT.findall(text) if re.sub(r"--[^\n]*", "", s).strip()]
+    wanted = [set(MARKER.findall(re.sub(r"--[^\n]*|'(?:[^'\\]|\\.)*'", "", s)))
+              for s in statements]
+    missing = set().union(*wanted) - set(values)
+    if missing:
+        raise ValueError(f"no value for {sorted(missing)}")
+    out = None
+    for statement, names in zip(statements, wanted, strict=True):
+        out = spark.sql(statement, args={n: values[n] for n in names})
+    return out
+
+
 def layer_counts(**layers: DataFrame) -> DataFrame:
     """One row per layer with its row count."""
     counted = [

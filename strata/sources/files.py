@@ -57,6 +57,13 @@ def rate_stream(spark: SparkSession, rows_per_second: int = 10) -> DataFrame:
     return spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
 
 
+def counted_ticks(spark: SparkSession, rows: int, partitions: int = 4) -> DataFrame:
+    """A stream of the values 0, 1, ... with `rows` of them in each batch, so that what is made
+    of it depends on the values only. A triggered run ends after one batch."""
+    return (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", rows)
+            .option("numPartitions", partitions).load())
+
+
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     """No rows, but every column: the stand-in for a dataset that could not be built."""
     return spark.createDataFrame([], schema)

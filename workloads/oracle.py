@@ -586,3 +586,32 @@ FROM events, (VALUES ('valid_client_id', 'drop'), ('not_null_timestamp', 'drop')
 GROUP BY 1, 2"""
 SQL["synth_names"] = """
 SELECT count(*) AS rows, 0::bigint AS bad_ids, 5::bigint AS names FROM customer"""
+
+# --- recorded failures, newest messages, observed streams, catalogue objects ----------------
+
+_NEWEST = "string_agg(error_message, ' | ' ORDER BY error_timestamp DESC, error_message)"
+SQL["errors_newest"] = f"""WITH {ERRORS}, r AS (
+  SELECT *, row_number() OVER (PARTITION BY client_id, table_name
+                               ORDER BY error_timestamp DESC, error_message) AS rn
+  FROM errors WHERE {_since('error_timestamp', '7 DAYS')})
+SELECT client_id, table_name, count(*) AS error_count, max(error_timestamp) AS last_error,
+       {_NEWEST} FILTER (WHERE rn <= 5) AS recent_messages FROM r GROUP BY 1, 2"""
+SQL["health_newest"] = f"""WITH {ERRORS}, r AS (
+  SELECT *, row_number() OVER (PARTITION BY client_id
+                               ORDER BY error_timestamp DESC, error_message) AS rn
+  FROM errors WHERE {_since('error_timestamp', '7 DAYS')})
+SELECT client_id, count(*) AS error_count_last_hour, max(error_timestamp) AS last_error_time,
+       {_NEWEST} FILTER (WHERE rn <= 5) AS recent_messages FROM r GROUP BY 1"""
+SQL["stream_rule_counts"] = f"""
+SELECT rule, action, 4::bigint AS batches, checked, failed FROM ({SQL['rule_counts']})"""
+SQL["stream_restart_midway"] = SQL["stream_restart"]
+SQL["stream_continuous"] = SQL["stream_restart"]
+SQL["stream_from_ticks"] = SQL["stream_foreach_batch"]
+SQL["run_recorded"] = """
+SELECT 'run1' AS name, 'failed' AS detail, (SELECT count(*) FROM orders) || ',0,0' AS rows
+UNION ALL SELECT 'orders_clean', 'broken layer', NULL"""
+SQL["masked_view"] = SQL["masked_restricted"]
+SQL["ddl_script"] = """
+SELECT c_mktsegment AS name, count(c_custkey) AS n, 'customer; key' AS id_comment,
+       'bigint' AS id_type, 'names; by customer' AS table_comment
+FROM customer GROUP BY 1"""

@@ -10,17 +10,18 @@ from pyspark.sql.types import StructType
 
 from strata import schemas
 from strata.functions import json_text, labels
-from strata.functions.masking import register_sql_functions
+from strata.functions.masking import register_sql_functions, secured_view, stored_functions
 from strata.operators import conform, quality
 from strata.operators.quality import Rule
 from strata.plans import (dashboards, education, emails, messages, monitoring, orders,
                           refresh_log, small_tables, stocks, values)
+from strata.plans.recorded import Recorded
 from strata.session import configure, scratch_path
 from strata.sinks import snapshot, tables as sinks
 from strata.sinks.lake import Lake
 from strata.sources import files, kafka, synthetic
 from strata.streaming import messages as streams
-from strata.streaming import runner
+from strata.streaming import progress, runner
 from workloads import mapping
 from workloads.tables import Tables
 
@@ -281,6 +282,83 @@ def stream_restart(t: Tables) -> DataFrame:
     return t.spark.read.parquet(f"{root}/rows")
 
 
+@query
+def stream_rule_counts(t: Tables) -> DataFrame:
+    """Rule failures counted while a stream runs in four batches, added up over the batches."""
+    root, rules = scratch_path(t.spark, "counts"), messages.BRONZE_RULES + messages.SILVER_RULES
+    t.events.repartitionByRange(4, "event_id").write.parquet(f"{root}/events")
+    events = t.spark.readStream.schema(t.schema("events")).option("maxFilesPerTrigger", 1).parquet(
+        f"{root}/events")
+    rows = progress.counted(mapping.bronze_messages(events), rules, "bronze")
+    with progress.RuleCounts(t.spark, "bronze", f"{root}/rules") as counts:
+        query = runner.to_files(rows.select("client_id", "kafka_offset"), f"{root}/rows",
+                                f"{root}/log")
+        query.awaitTermination()
+        counts.wait(query)
+    return progress.rule_counts(t.spark, f"{root}/rules", rules).groupBy("rule", "action").agg(
+        F.count(F.lit(1)).alias("batches"), F.sum("checked").alias("checked"),
+        F.sum("failed").alias("failed"))
+
+
+@query
+def stream_restart_midway(t: Tables) -> DataFrame:
+    """A batch fails once after it has written its folder and before it is committed; the query
+    goes on from its checkpoint, and every message is there once."""
+    root, lost = scratch_path(t.spark, "midway"), [True]
+    t.events.repartitionByRange(4, "event_id").write.parquet(f"{root}/events")
+    store = runner.batch_folders(f"{root}/rows")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store(batch, batch_id)
+        if batch_id == 1 and lost.pop():
+            lost.append(False)
+            raise OSError("the driver was lost")
+
+    def start():
+        events = t.spark.readStream.schema(t.schema("events")).option(
+            "maxFilesPerTrigger", 1).parquet(f"{root}/events")
+        rows = mapping.bronze_messages(events).select("client_id", "kafka_offset")
+        return runner.each_batch(rows, write, f"{root}/log")
+
+    progress.restarted(start)
+    return t.spark.read.parquet(f"{root}/rows").drop("batch_id")
+
+
+@query
+def stream_continuous(t: Tables) -> DataFrame:
+    """A stream that would keep running, stopped when its backlog is worked off."""
+    root = scratch_path(t.spark, "continuous")
+    t.events.repartitionByRange(3, "event_id").write.parquet(f"{root}/events")
+
+    def start():
+        events = t.spark.readStream.schema(t.schema("events")).option(
+            "maxFilesPerTrigger", 1).parquet(f"{root}/events")
+        rows = mapping.bronze_messages(events).select("client_id", "kafka_offset")
+        return runner.each_batch(rows, runner.batch_folders(f"{root}/rows"), f"{root}/log",
+                                 continuous=True, interval="100 milliseconds")
+
+    progress.until_idle(t.spark, start)
+    return t.spark.read.parquet(f"{root}/rows").drop("batch_id")
+
+
+@query
+def stream_from_ticks(t: Tables) -> DataFrame:
+    """The generator: ticks of the rate source, as many as there are offsets, look up the message
+    of their number and send it."""
+    root = scratch_path(t.spark, "ticks")
+    stored = mapping.bronze_messages(t.events).select(
+        "client_id", "kafka_partition", "kafka_offset", "event_type", "status")
+    offsets = stored.agg(F.max("kafka_offset")).first()[0] or 0
+
+    def encode(batch: DataFrame) -> DataFrame:
+        found = stored.join(batch, F.col("value") == F.col("kafka_offset"), "left_semi")
+        return kafka.encode(found)
+
+    runner.each_batch(files.counted_ticks(t.spark, offsets + 1),
+                      runner.batch_folders(f"{root}/rows", encode), f"{root}/log").awaitTermination()
+    return t.spark.read.parquet(f"{root}/rows").select("key", "value")
+
+
 # --- monitoring ----------------------------------------------------------------------------
 
 @query
@@ -288,6 +366,20 @@ def errors_recent(t: Tables) -> DataFrame:
     return monitoring.error_summary(mapping.errors(t.events), AS_OF, "7 DAYS")
 
 
+def _listed(groups: DataFrame) -> DataFrame:
+    return groups.withColumn("recent_messages", F.concat_ws(" | ", "recent_messages"))
+
+
+@query
+def errors_newest(t: Tables) -> DataFrame:
+    return _listed(monitoring.error_summary(mapping.errors(t.events), AS_OF, "7 DAYS", newest=5))
+
+
+@query
+def health_newest(t: Tables) -> DataFrame:
+    return _listed(monitoring.client_health(mapping.errors(t.events), AS_OF, "7 DAYS", newest=5))
+
+
 @query
 def errors_recent_messages(t: Tables) -> DataFrame:
     return monitoring.error_messages(mapping.errors(t.events), AS_OF, "7 DAYS")
@@ -562,6 +654,28 @@ def run_last_two(t: Tables) -> DataFrame:
     return orders.last_two(mapping.yearly_runs(t))
 
 
+@query
+def run_recorded(t: Tables) -> DataFrame:
+    """A job whose second layer breaks on the first order it looks at: its error row, the run's
+    row, and the layers that were built all the same."""
+    spark, lake = t.spark, Lake(t.spark, scratch_path(t.spark, "recorded"))
+    run = Recorded(lake, "run1", "job1")
+    bronze = mapping.orders(t)
+    raw = run.layer("bronze", "orders", bronze.schema, lambda: bronze)
+    clean = run.layer("silver", "orders_clean", raw.schema, lambda: raw.where(
+        F.assert_true(F.col("order_id").isNull(), "broken layer").isNull()))
+    gold = orders.revenue(orders.silver(clean))
+    run.layer("gold", "revenue_summary", gold.schema, lambda: gold)
+    runs = run.finish().select(
+        F.col("run_id").alias("name"), F.col("status").alias("detail"),
+        F.concat_ws(",", "orders_rows", "orders_clean_rows", "revenue_summary_rows").alias("rows"))
+    errors = run.errors().select(
+        F.col("table_name").alias("name"),
+        F.when(F.col("error_message").contains("broken layer"), "broken layer").alias("detail"),
+        F.lit(None).cast("string").alias("rows"))
+    return runs.unionByName(errors)
+
+
 @query
 def evolving_append(t: Tables) -> DataFrame:
     """The order table appended twice, the second time with one more column."""
@@ -622,6 +736,46 @@ def masked_by_sql(t: Tables) -> DataFrame:
         FROM emails_to_mask WHERE unprocessed_filter(processed)""")
 
 
+@query
+def masked_view(t: Tables) -> DataFrame:
+    """The policy bound to a stored table: its readers ask a view of the catalogue by name."""
+    path = scratch_path(t.spark, "emails")
+    name = f"emails_{path.rsplit('-', 1)[1]}"
+    stored = sinks.overwrite_path(mapping.turn_emails(t), path)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stored.schema.fields)
+    sinks.create_table(t.spark, name, columns, location=path)
+    mask, visible = stored_functions(t.spark, "strata", restricted=True)
+    secured_view(t.spark, name, f"{name}_masked", {"content": mask}, (visible, "processed"),
+                 stored.columns)
+    return files.read_table(t.spark, f"{name}_masked")
+
+
+DDL = """
+-- one environment's copy of the names; the schema may exist
+CREATE SCHEMA IF NOT EXISTS IDENTIFIER(:schema);
+CREATE TABLE IF NOT EXISTS IDENTIFIER(concat(:schema, '.', :env, '_names_', :run))
+    (id BIGINT COMMENT 'customer; key', name STRING) USING parquet;
+COMMENT ON TABLE IDENTIFIER(concat(:schema, '.', :env, '_names_', :run)) IS 'names; by customer';
+INSERT INTO IDENTIFIER(concat(:schema, '.', :env, '_names_', :run)) SELECT id, name
+    FROM IDENTIFIER(:source);
+DESCRIBE TABLE EXTENDED IDENTIFIER(concat(:schema, '.', :env, '_names_', :run));
+"""
+
+
+@query
+def ddl_script(t: Tables) -> DataFrame:
+    """A parameterised script makes, comments, fills and describes a table, which is then read."""
+    run = scratch_path(t.spark, "ddl").rsplit("-", 1)[1]
+    sinks.as_view(mapping.names(t), f"names_{run}")
+    described = sinks.run_script(t.spark, DDL, schema="strata_ddl", env="dev", run=run,
+                                 source=f"names_{run}")
+    said = {r["col_name"]: r for r in described.collect()}
+    rows = files.read_table(t.spark, f"strata_ddl.{sinks.prefixed('dev', 'names_' + run)}")
+    return rows.groupBy("name").agg(F.count("id").alias("n")).withColumns({
+        "id_comment": F.lit(said["id"]["comment"]), "id_type": F.lit(said["id"]["data_type"]),
+        "table_comment": F.lit(said["Comment"]["data_type"])})
+
+
 @query
 def masked_open(t: Tables) -> DataFrame:
     return small_tables.masked_emails(mapping.turn_emails(t), ["analysts"])
