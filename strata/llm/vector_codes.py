@@ -30,18 +30,25 @@ class Slices:
         bits = np.left_shift(np.uint64(1), order.T.astype(np.uint64))
         self.before = np.zeros((entries.shape[1], len(entries) + 1), np.uint64)
         self.before[:, 1:] = np.bitwise_or.accumulate(bits, axis=1)
-        spread = self.sorted[:, -1] - self.sorted[:, 0]
-        self.widest = int(np.argmax(spread)) if len(spread) else 0
         self.order = order
 
-    def guess(self, points: np.ndarray) -> np.ndarray:
-        """The entry nearest to each point in the dimension where entries differ most."""
-        row = self.sorted[self.widest]
-        value = points[:, self.widest]
-        above = np.searchsorted(row, value).clip(0, len(row) - 1)
-        below = (above - 1).clip(0)
-        nearer = np.where(np.abs(row[below] - value) <= np.abs(row[above] - value), below, above)
-        return self.order[nearer, self.widest]
+    def guess(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each point, of the entries nearest in one dimension, the nearest of all, and its
+        squared distance."""
+        code = best = None
+        for k, row in enumerate(self.sorted):
+            value = points[:, k]
+            above = np.searchsorted(row, value).clip(0, len(row) - 1)
+            below = (above - 1).clip(0)
+            nearer = np.where(value - row[below] <= row[above] - value, below, above)
+            found = self.order[nearer, k]
+            gap = ((points - self.entries[found]) ** 2).sum(1)
+            if best is None:
+                code, best = found, gap
+            else:
+                better = gap < best
+                code[better], best[better] = found[better], gap[better]
+        return code, best
 
     def within(self, points: np.ndarray, radius: np.ndarray) -> np.ndarray:
         """Masks of the entries no dimension of which is further off than the radius. None
@@ -65,13 +72,11 @@ def nearest(points: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """For each point the index of the nearest entry (squared distance, ties to the lower index)
     and that distance. A guess gives the radius, the masks of all dimensions ANDed the entries
     that can be as near, and only these are measured."""
-    code = np.zeros(len(points), np.int64)
-    best = None
+    code = best = None
     for first in range(0, len(book), WORD):
         part = Slices(book[first:first + WORD], first)
         if best is None:
-            code = part.guess(points)
-            best = ((points - book[code]) ** 2).sum(1)
+            code, best = part.guess(points)
         masks = part.within(points, _root(best))
         for k in range(len(part.entries)):
             rows = np.flatnonzero(masks >> np.uint64(k) & np.uint64(1))
