@@ -40,13 +40,20 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-BASES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + 1
 
 
+def _room(x: np.ndarray, size: int) -> np.ndarray:
+    """The array, with room for `size` values and some more where it had none."""
+    if size <= len(x):
+        return x
+    return np.concatenate([x, np.zeros(max(size, len(x) * 3 // 2) - len(x), x.dtype)])
+
+
 class Lattices:
     """The lattices of words met so far, in flat arrays: a node stands for a place in a word,
     its edges, by the cumulated chance to be drawn, for the pieces that end there."""
@@ -67,43 +74,76 @@ class Lattices:
         # Bytes cost more than any piece, so they are drawn where nothing else is left.
         self.byte_log = float(self.logs.min()) - 10.0
         self.longest = max(map(len, self.pieces))
-        hashes = np.array([self._hash(_codes(names[k])) for k in plain], np.uint64)
-        order = np.argsort(hashes[:, 0])
-        self.hashes, self.of_hash = hashes[order], np.array(plain, np.int32)[order]
+        self._grow(plain, names)
         self.bytes_of = [n.replace(MARK, " ").encode() for n in names]
         for value, k in self.byte.items():
             self.bytes_of[k] = bytes([value])
         self.clear()
 
-    @staticmethod
-    def _hash(codes: np.ndarray) -> list[int]:
-        return [int((codes * np.cumprod(np.full(len(codes), base))).sum()) for base in BASES]
+    def _grow(self, plain: list[int], names: list[str]) -> None:
+        """The vocabulary as a tree of characters: a table from (node, character) to the node
+        below, with open addresses, and by node the piece that ends there or -1."""
+        below: dict[int, int] = {}
+        ends = [-1]
+        for k in plain:
+            node = 0
+            for code in _codes(names[k]).tolist():
+                key = node << 21 | code
+                if key not in below:
+                    below[key] = len(ends)
+                    ends.append(-1)
+                node = below[key]
+            ends[node] = k
+        bits = max(4, (4 * len(below)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.keys = np.full(1 << bits, -1, np.int64)
+        self.below = np.full(1 << bits, -1, np.int32)
+        slots = self._slots(np.array(list(below), np.int64)).tolist()
+        for slot, (key, node) in zip(slots, below.items(), strict=True):
+            while self.keys[slot] >= 0:
+                slot = slot + 1 & len(self.keys) - 1
+            self.keys[slot], self.below[slot] = key, node
+        self.ends = np.array(ends, np.int32)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * SPREAD >> self.shift).astype(np.int64)
+
+    def _down(self, nodes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The node below each node by its character, -1 where no piece goes on so."""
+        keys = nodes.astype(np.int64) << 21 | codes
+        slots = self._slots(keys)
+        met = self.keys[slots]
+        lost = np.flatnonzero((met != keys) & (met >= 0))
+        while len(lost):
+            slots[lost] = slots[lost] + 1 & len(self.keys) - 1
+            met = self.keys[slots[lost]]
+            lost = lost[(met != keys[lost]) & (met >= 0)]
+        return self.below[slots]
 
     def clear(self) -> None:
         self.words: dict[str, int] = {}
         self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        # By edge: the node and the cumulated chance (never decreasing), how many nodes it goes
-        # back, and the piece (-1 for a character's bytes).
-        self.total = np.zeros(1 << 20, np.int64)
+        # By node its first edge; by edge the cumulated chance among its node's, how many nodes
+        # it goes back, and the piece (-1 for a character's bytes).
+        self.first = np.zeros(1 << 20, np.int64)
+        self.total = np.zeros(1 << 20, np.int32)
         self.back, self.piece = np.zeros(1 << 20, np.int16), np.zeros(1 << 20, np.int32)
         self.nodes = self.edges = 0
 
     def _matches(self, codes: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, ...]:
         """(end, length, piece) of every piece in the words; `room` tells how many characters
         a word has from each place on."""
-        one, two = np.zeros(len(codes), np.uint64), np.zeros(len(codes), np.uint64)
-        powers, found = np.ones(2, np.uint64), []
-        live = np.arange(len(codes))
+        codes, found = codes.astype(np.int64), []
+        live, nodes = np.arange(len(codes)), np.zeros(len(codes), np.int32)
         for k in range(1, self.longest + 1):
-            live = live[room[live] >= k]
-            powers = powers * BASES
-            last = codes[live + k - 1]
-            one[live] += last * powers[0]
-            two[live] += last * powers[1]
-            at = np.minimum(np.searchsorted(self.hashes[:, 0], one[live]), len(self.hashes) - 1)
-            same = (self.hashes[at, 0] == one[live]) & (self.hashes[at, 1] == two[live])
-            found.append((live[same] + k, np.full(int(same.sum()), k, np.int32),
-                          self.of_hash[at[same]]))
+            nodes = self._down(nodes, codes[live + k - 1])
+            on = np.flatnonzero(nodes >= 0)
+            live, nodes = live[on], nodes[on]
+            ended = self.ends[nodes]
+            same = np.flatnonzero(ended >= 0)
+            found.append((live[same] + k, np.full(len(same), k, np.int32), ended[same]))
+            on = np.flatnonzero(room[live] > k)
+            live, nodes = live[on], nodes[on]
         return tuple(map(np.concatenate, zip(*found, strict=True)))
 
     def learn(self, new: list[str]) -> None:
@@ -113,64 +153,70 @@ class Lattices:
         word = np.repeat(np.arange(len(new)), sizes)
         place = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         end, back, piece = self._matches(codes, sizes[word] - place)
-        log = self.logs[piece]
         single = np.zeros(len(codes), bool)
         single[end[back == 1] - 1] = True
         bare = np.flatnonzero(~single)
-        end = np.concatenate([end, bare + 1])
-        back = np.concatenate([back, np.ones(len(bare), np.int32)])
-        piece = np.concatenate([piece, np.full(len(bare), -1, np.int32)])
-        log = np.concatenate([log, np.full(len(bare), self.byte_log)])
-        # Characters to nodes: a word of n characters has n + 1 of them.
+        end = np.concatenate([bare + 1, end])
+        back = np.concatenate([np.ones(len(bare), np.int32), back])
+        piece = np.concatenate([np.full(len(bare), -1, np.int32), piece])
+        # Characters to nodes: a word of n characters has n + 1 of them. Edges stand by node and
+        # length; they come by length, so a stable sort will do.
+        order = np.argsort(end, kind="stable")
+        end, back, piece = end[order], back[order], piece[order]
         node = end + word[end - 1]
-        level = place[end - 1] + 1
-        order = np.lexsort((back, node, level))
-        node, back, piece, log, level = (x[order] for x in (node, back, piece, log, level))
-        alpha = np.zeros(len(codes) + len(new))
-        chance = np.empty(len(node))
-        cuts = np.searchsorted(level, np.arange(1, int(sizes.max()) + 2))
+        log = np.where(piece < 0, self.byte_log, self.logs[piece])
+        counts = np.bincount(node, minlength=len(codes) + len(new))
+        tall = int(sizes.max())
+        level = (place + 1).astype(np.uint16 if tall < 1 << 16 else np.int64)[end - 1]
+        order = np.argsort(level, kind="stable")
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(level, minlength=tall + 1)[1:])])
+        before, log, node_of = (node - back)[order], log[order], node[order]
+        alpha, unit = np.zeros(len(codes) + len(new)), 1 << DRAW
+        steps = np.empty(len(node), np.int64)
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            x = alpha[node[a:b] - back[a:b]] + log[a:b]
-            firsts = np.flatnonzero(np.diff(node[a:b], prepend=-1))
-            counts = np.diff(firsts, append=b - a)
+            x, here = alpha[before[a:b]] + log[a:b], node_of[a:b]
+            firsts = np.flatnonzero(np.diff(here, prepend=-1))
+            many = np.diff(firsts, append=b - a)
             top = np.maximum.reduceat(x, firsts)
-            shifted = np.exp(x - np.repeat(top, counts))
+            shifted = np.exp(x - np.repeat(top, many))
             total = np.add.reduceat(shifted, firsts)
-            alpha[node[a:b][firsts]] = top + np.log(total)
-            run = np.cumsum(shifted / np.repeat(total, counts))
-            chance[a:b] = run - np.repeat(run[firsts] - shifted[firsts] / total, counts)
-        unit = 1 << DRAW
-        steps = np.minimum(np.rint(chance * unit).astype(np.int64), unit)
-        order = np.lexsort((back, node))
-        node, back, piece, steps = (x[order] for x in (node, back, piece, steps))
-        steps[np.diff(node, append=-1) != 0] = unit
+            alpha[here[firsts]] = top + np.log(total)
+            # Rounded before they are added up, so they do not depend on the words around.
+            own = np.rint(shifted / np.repeat(total, many) * unit).astype(np.int64)
+            run = np.cumsum(own)
+            steps[order[a:b]] = run - np.repeat(run[firsts] - own[firsts], many)
+        steps[np.flatnonzero(np.diff(node, append=-1))] = unit
         first, last = self.edges, self.edges + len(node)
-        if last > len(self.total):
-            more = max(last, len(self.total) * 3 // 2) - len(self.total)
-            self.total, self.back, self.piece = (
-                np.concatenate([x, np.zeros(more, x.dtype)])
-                for x in (self.total, self.back, self.piece))
-        self.total[first:last] = (node + self.nodes << DRAW) + steps
+        nodes = self.nodes + len(counts)
+        self.first = _room(self.first, nodes)
+        self.total, self.back, self.piece = (
+            _room(x, last) for x in (self.total, self.back, self.piece))
+        self.first[self.nodes:nodes] = first + np.cumsum(counts) - counts
+        self.total[first:last] = np.minimum(steps, unit)
         self.back[first:last], self.piece[first:last] = back, piece
         self.edges = last
         starts = self.nodes + np.cumsum(sizes + 1) - (sizes + 1)
         self.start, self.length = (np.concatenate(x) for x in (
             (self.start, starts), (self.length, sizes)))
         self.words.update(zip(new, range(len(self.words), len(self.words) + len(new)), strict=True))
-        self.nodes += len(codes) + len(new)
+        self.nodes = nodes
 
     def sample(self, ids: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, ...]:
         """One path per word: (which word, the place that a piece begins at, the piece), by
-        words and places. Edges that end at a node stand together, so a draw is one search."""
+        words and places. Edges that end at a node stand together, and a draw passes those whose
+        cumulated chance it reaches; the last one's is above every draw."""
         starts, at = self.start[ids], self.start[ids] + self.length[ids]
         live = np.flatnonzero(at > starts)
-        steps, total = [], self.total[:self.edges]
+        steps = []
         while len(live):
             here = at[live]
             draw = _mixed(seeds[live] ^ (here - starts[live]).astype(np.uint64))
-            edge = np.searchsorted(
-                total, (here << DRAW) + (draw >> np.uint64(64 - DRAW)).astype(np.int64),
-                "right")
+            draw = (draw >> np.uint64(64 - DRAW)).astype(np.int32)
+            edge = self.first[here]
+            on = np.flatnonzero(self.total[edge] <= draw)
+            while len(on):
+                edge[on] += 1
+                on = on[self.total[edge[on]] <= draw[on]]
             to = here - self.back[edge]
             steps.append((live, to - starts[live], self.piece[edge]))
             at[live] = to
