@@ -27,8 +27,8 @@ MARK = "▁"
 PLAIN_MARK = "\ud800"  # stands for the mark's own character in a text; no text holds it
 ALPHA = 0.001
 DRAW = 24  # bits of a draw: chances are whole numbers, so they do not depend on the place
-WORDS, TEXTS = 240_000, 250
-EDGES = 12_000_000  # of lattices kept; long stretches reach it before WORDS
+WORDS, TEXTS = 180_000, 250
+EDGES = 8_000_000  # of lattices kept; long stretches reach it before WORDS
 STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -164,13 +164,15 @@ class Lattices:
         order = np.argsort(end, kind="stable")
         end, back, piece = end[order], back[order], piece[order]
         node = end + word[end - 1]
-        log = np.where(piece < 0, self.byte_log, self.logs[piece])
         counts = np.bincount(node, minlength=len(codes) + len(new))
         tall = int(sizes.max())
         level = (place + 1).astype(np.uint16 if tall < 1 << 16 else np.int64)[end - 1]
+        del end
         order = np.argsort(level, kind="stable")
         cuts = np.concatenate([[0], np.cumsum(np.bincount(level, minlength=tall + 1)[1:])])
-        before, log, node_of = (node - back)[order], log[order], node[order]
+        node_of, log = node[order], piece[order]
+        before = node_of - back[order]
+        log = np.where(log < 0, self.byte_log, self.logs[log])
         alpha, unit = np.zeros(len(codes) + len(new)), 1 << DRAW
         steps = np.empty(len(node), np.int64)
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
