@@ -30,7 +30,9 @@ RULES = (Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"),
          Rule("block", "com", "/de/"))
 
 TAG = r"(?i)<(?:link|meta)\b[^>]*>"
-CANONICAL = r"""(?i)^<link\b.*\brel\s*=\s*["']?canonical["'\s/>]"""
+# rel holds a list of words; without quotes it is a single one.
+CANONICAL = (r"""(?i)^<link\b.*\brel\s*=\s*(?:canonical[\s/>]|"(?:[^"]*\s)?canonical(?:\s[^"]*)?\""""
+             r"""|'(?:[^']*\s)?canonical(?:\s[^']*)?')""")
 REFRESH = r"""(?i)^<meta\b.*\bhttp-equiv\s*=\s*["']?refresh\b"""
 HREF = r"""(?i)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 TARGET = r"""(?i)\burl\s*=\s*['"]?([^'">\s]+)"""
@@ -50,10 +52,24 @@ def path(url: Column) -> Column:
     return _part(url, "[^/?#]*([^?#]*)")
 
 
+def _plain(of_path: Column) -> Column:
+    """A path without `.` and `..`: one step stays where it is, the other goes up one. An empty
+    path stays empty, as no rule with a path fits it."""
+    steps = F.split(of_path, "/", -1)
+    walked = F.aggregate(steps, F.slice(steps, 1, 0), lambda done, step: (
+        F.when(step == ".", done)
+        .when(step == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1))))
+        .otherwise(F.concat(done, F.array(step)))))
+    ended = F.when(of_path.rlike(r"/\.\.?$"), F.lit("/")).otherwise(F.lit(""))
+    dotted = F.concat(F.array_join(walked, "/"), ended)
+    return F.when(of_path.rlike(r"/\.\.?(?:/|$)"), dotted).otherwise(of_path)
+
+
 def node(url: Column) -> Column:
-    """The address that stands for a page: host, and the rest without a fragment. Null where
-    there is no host."""
-    return F.when(host(url) != "", F.concat(host(url), _part(url, "[^/?#]*([^#]*)")))
+    """The address that stands for a page: host, path without `.` and `..`, and query. Null
+    where there is no host."""
+    return F.when(host(url) != "", F.concat(
+        host(url), _plain(path(url)), _part(url, r"[^/?#]*[^?#]*(\?[^#]*)")))
 
 
 def judged(of_host: Column, of_path: Column, rules: Sequence[Rule]) -> Column:

@@ -7,6 +7,7 @@ import random
 
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from strata.llm import url_classes, warc
 from strata.llm.url_classes import Rule
@@ -176,3 +177,29 @@ def test_allow_comes_first_among_rules_of_one_length(spark):
 
 def test_urls_of_an_empty_table(spark):
     assert url_classes.filter_urls(pages(spark, [])).count() == 0
+
+
+def test_addresses_of_one_page_are_one_node(spark):
+    want = {"http://A.org": "a.org", "http://a.org/": "a.org/", "http://a.org?x=/../y#z": "a.org?x=/../y",
+            "http://a.org/b/../c": "a.org/c", "http://a.org/b/./c/": "a.org/b/c/",
+            "http://a.org/b/c/..": "a.org/b/", "http://a.org/b/.": "a.org/b/",
+            "http://a.org/../../c?q": "a.org/c?q", "http://a.org/..": "a.org/",
+            "http://a.org/b..c/.d/...": "a.org/b..c/.d/...", "http://a.org//b//../c": "a.org//b/c",
+            "a.org/b": None, "http:///b": None, None: None}
+    rows = spark.createDataFrame([(u,) for u in want], "url string")
+    got = {r.url: r.node for r in rows.select("url", url_classes.node(F.col("url")).alias("node")).collect()}
+    assert got == want
+
+
+def test_links_in_lists_and_relative_links_carry_a_block(spark):
+    rules = (url_classes.Rule("block", "bad.net", "/x/"),)
+    rows = [(1, "http://one.net/p", '<link rel="nofollow canonical" href="http://bad.net/x/1">'),
+            (2, "http://two.net/", '<link href="http://bad.net/y/../x/2" rel="canonical">'),
+            (3, "http://three.net/a/b", "<link rel='canonical shortlink' href='../../c'>"),
+            (4, "http://three.net/c", '<link rel=canonical href="http://two.net/">'),
+            (5, "http://four.net/", '<link rel="not-canonical" href="http://bad.net/x/1">'),
+            (6, "http://five.net/", '<link rel="canonicalx" href="http://bad.net/x/1">'),
+            (7, "http://six.net/", '<link rel="next" title="canonical" href="http://bad.net/x/1">')]
+    found = {r.page_id: r.verdict for r in url_classes.filter_urls(pages(spark, rows), rules).collect()}
+    assert found == {1: "block", 2: "block", 3: "block", 4: "block",
+                     5: "allow", 6: "allow", 7: "allow"}
