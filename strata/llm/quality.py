@@ -11,11 +11,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import in_batches
+from strata.llm.common import discard_all, in_batches, left_in_place, noted, stage_in_place
 
 GRAM, BITS = 4, 16
-TRUSTED = 20_000
 LEAST_KEPT = 0.002
+STEPS = 4096
 SYMBOLS, SPACES = "#*$%&|<>", " \t\n\v\f\r"
 COLUMNS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, "
            "n_repeat_words long, base_failed boolean, score double, kept boolean")
@@ -78,54 +78,93 @@ class Model:
         return float(self.ratio[found].mean()) if len(found) else 0.0
 
 
-def _labelled(labels: DataFrame, most: int) -> DataFrame:
-    """At most `most` labelled ids, trusted where no label says otherwise, in two halves: one
-    to count n-grams from, the other to place the threshold. Chosen by a hash of the id."""
+def _labelled(labels: DataFrame, most: int | None = None) -> DataFrame:
+    """Every labelled id, and whether it is counted: trusted, as no label says otherwise. A
+    caller may set a bound; no query does."""
     by_id = (labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id")
-             .agg(F.min("quality").alias("quality")).where("quality = 1"))
-    order = F.xxhash64(F.col("doc_id").cast("long"))
-    return by_id.orderBy(order, "doc_id").limit(most).select(
-        F.col("doc_id").alias("labelled"), (F.pmod(order, F.lit(2)) == 0).alias("counted"))
+             .agg(F.min("quality").alias("quality")))
+    found = by_id.select(F.col("doc_id").alias("labelled"), (F.col("quality") == 1).alias("counted"))
+    return found if most is None else found.orderBy(
+        F.col("counted").desc(), F.xxhash64("labelled")).limit(most)
 
 
-def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text",
-        trusted: int = TRUSTED, bits: int = BITS, least_kept: float = LEAST_KEPT) -> Model:
-    """The raw multinomial counts the n-grams of all docs, the target one those of a half of
-    the trusted documents: labelled with quality 1, at most `trusted` of them (a bound that
-    lets their ids be broadcast). The threshold is 0, where the target explains a text as well
-    as the corpus does, or less: the lowest score but a share `least_kept` of the other half,
-    which the target has not seen. Without such a half nothing is rejected."""
-    known = F.broadcast(_labelled(labels, trusted))
-    texts = in_batches(docs).select(docs[id].alias("doc_id"), docs[text].alias("text"))
+def _counted(texts: DataFrame, bits: int) -> np.ndarray:
+    """One and the number of the texts' n-grams, by bucket."""
     size = 1 << bits
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            for value in batch.column(0):
+                total += np.bincount(buckets((value.as_py() or "").encode(), GRAM, bits),
+                                     minlength=size)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["bucket", "n"])
+
+    total = np.ones(size)
+    for r in (texts.select("text").mapInArrow(count, "bucket long, n long")
+              .groupBy("bucket").agg(F.sum("n").alias("n")).collect()):
+        total[r.bucket] += r.n
+    return total
+
+
+def unseen_score(text: str, raw: np.ndarray, target: np.ndarray) -> float:
+    """The score of a text that the target counts, as if the target had not seen it."""
+    found, times = np.unique(buckets(text.encode(), GRAM, len(raw).bit_length() - 1),
+                             return_counts=True)
+    if not len(found):
+        return 0.0
+    n = times.sum()
+    ratio = np.log((target[found] - times) / (target.sum() - n)) - np.log(raw[found] / raw.sum())
+    return float((ratio * times).sum() / n)
+
+
+def _least(scores: DataFrame, share: float) -> float | None:
+    """A score with a share of all scores below it, or up to 1 / STEPS less: the lowest of its
+    step. Every score is counted, and the result does not depend on their order."""
+    steps = (scores.groupBy(F.floor(F.col("score") * STEPS).alias("step"))
+             .agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
+             .orderBy("step").collect())
+    left = share * sum(r.n for r in steps)
+    for r in steps:
+        left -= r.n
+        if left <= 0:
+            return r.least
+    return None
+
+
+def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text",
+        trusted: int | None = None, bits: int = BITS, least_kept: float = LEAST_KEPT) -> Model:
+    """The raw multinomial counts the n-grams of all docs, the target one those of all trusted
+    documents: labelled with quality 1. The threshold is 0, where the target explains a text as
+    well as the corpus does, or less: the lowest score but a share `least_kept` of the trusted
+    documents, each scored by the target without its own n-grams. Without a trusted document
+    nothing is rejected.
+
+    Ids and labels are joined, and what is chosen travels to the texts, which stay in place: no
+    text is shuffled, and no id is held by a task or the driver."""
+    with noted() as folders:
+        texts = stage_in_place(in_batches(docs).select(
+            docs[id].alias("doc_id"), docs[text].alias("text")), "quality-texts")
+        known = _labelled(labels, trusted).where("counted")
+        found = texts.select("part", "tag", "doc_id").join(
+            known, texts["doc_id"] == known["labelled"], "left_semi")
+        chosen = left_in_place(texts, found.select("part", "tag"), "left_semi", ["text"], "trusted")
+    raw, target = _counted(texts, bits), _counted(chosen, bits)
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for value, counted in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                found = np.bincount(buckets((value.as_py() or "").encode(), GRAM, bits),
-                                    minlength=size)
-                raw += found
-                if counted:
-                    target += found
-        seen = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seen), pa.array(raw[seen]), pa.array(target[seen])],
-            ["bucket", "raw", "target"])
-
-    found = (texts.join(known, texts["doc_id"] == known["labelled"], "left")
-             .select("text", "counted").mapInArrow(count, "bucket long, raw long, target long")
-             .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
-             .collect())
-    raw, target = np.ones(size), np.ones(size)
-    for r in found:
-        raw[r.bucket] += r.raw
-        target[r.bucket] += r.target
-    model = Model(np.log(target / target.sum()) - np.log(raw / raw.sum()))
-    held = texts.join(known, texts["doc_id"] == known["labelled"]).where("NOT counted")
-    least = held.select(assess(model, "text").alias("q")).where("NOT q.base_failed").agg(
-        F.percentile_approx("q.score", F.lit(least_kept), F.lit(10_000))).first()[0]
-    return model if least is None else Model(model.ratio, min(0.0, least))
+            passed = []
+            for value in batch.column(0).to_pylist():
+                found = counts(value)
+                if not base_failed(found[0], found[4]):
+                    passed.append(unseen_score(value, raw, target))
+            yield pa.RecordBatch.from_arrays([pa.array(passed, pa.float64())], ["score"])
+
+    least = _least(chosen.mapInArrow(scored, "score double"), least_kept)
+    discard_all(docs.sparkSession, folders)
+    ratio = np.log(target / target.sum()) - np.log(raw / raw.sum())
+    return Model(ratio) if least is None else Model(ratio, min(0.0, least))
 
 
 def assess(model: Model, text: str | Column) -> Column:
@@ -146,7 +185,7 @@ def quality(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
             model: Model | None = None) -> DataFrame:
     """One row per row of docs: doc_id, the counts, base_failed, score, kept. Null text has no
     words and fails the base rule; rows that repeat are each judged; an empty table gives no
-    row. Nothing but the table of buckets is shuffled."""
+    row. Once the model is there, nothing is shuffled."""
     model = model or fit(docs, labels, id, text)
     return in_batches(docs).select(docs[id].alias("doc_id"), assess(model, docs[text]).alias("q")).select(
         "doc_id", "q.*")

@@ -120,6 +120,32 @@ def test_without_labels_only_the_base_rule_rejects(spark, corpus):
     assert quality.quality(documents(spark, []), labels).count() == 0
 
 
+def test_every_trusted_document_is_counted_and_sets_the_threshold(spark, corpus):
+    rows, labelled = corpus
+    labels = spark.createDataFrame([(n, 1) for n, _ in labelled], "doc_id long, quality int")
+    model = quality.fit(documents(spark, rows), labels)
+    size = 1 << quality.BITS
+    raw, seen = np.ones(size), np.ones(size)
+    own = {n: np.bincount(quality.buckets(t.encode()), minlength=size) for n, t in rows}
+    for n, found in own.items():
+        raw += found
+        seen += found * (n % 2)
+    assert model.ratio == pytest.approx(np.log(seen / seen.sum()) - np.log(raw / raw.sum()))
+    unseen = []
+    for n, _ in labelled:
+        rest = seen - own[n]
+        ratio = np.log(rest / rest.sum()) - np.log(raw / raw.sum())
+        if not quality.base_failed(*np.take(quality.counts(rows[n][1]), [0, 4])):
+            unseen.append((ratio * own[n]).sum() / own[n].sum())
+    assert model.least == pytest.approx(min(0.0, *unseen))
+
+
+def test_a_threshold_counts_every_score(spark):
+    scores = spark.range(10_000).select((F.col("id") * 0.01).alias("score"))
+    assert quality._least(scores, 0.002) == pytest.approx(0.19)
+    assert quality._least(scores.limit(0), 0.002) is None
+
+
 # Personal data.
 
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
