@@ -97,6 +97,32 @@ def test_scans_and_shuffles_grow_with_the_input(spark):
             spark.conf.set(k, v)
 
 
+def test_shuffles_and_scans_are_sized_by_rows_in_memory(spark):
+    keys = list(session.sizing(1))
+    session.configure(spark)
+    merged = spark.conf.get(session.MERGED)
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in zip(keys, ("12", "128m"), strict=True):
+            spark.conf.set(k, v)
+        for gb in (1, 6, 60):  # partitions grow with the input, so a task's share does not
+            session.configure(spark, gb << 30, 16)
+            assert spark.conf.get(keys[0]) == str(max(12, 64 * gb))
+            assert session._bytes(spark.conf.get(keys[1])) == 32 << 20
+            assert session._bytes(spark.conf.get(session.MERGED)) == 16 << 20
+        session.configure(spark, 100 << 40, 16)
+        assert session._bytes(spark.conf.get(keys[1])) == 1 << 30
+        session.configure(spark, 1 << 20)
+        assert [spark.conf.get(k) for k in keys] == ["12", "128m"]
+        assert spark.conf.get(session.MERGED) == merged
+        spark.conf.set(keys[1], "16KB")  # a smaller choice of the user's
+        session.configure(spark, 1 << 20, 16)
+        assert session._bytes(spark.conf.get(keys[1])) == 16 << 10
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("text, want", [("134217728b", 1 << 27), ("128MB", 1 << 27), ("16KB", 1 << 14),
                                         ("1g", 1 << 30), ("200", 200)])
 def test_sizes_in_settings(text, want):
