@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +17,14 @@ from strata.operators.quality import Rule
 from strata.plans import (dashboards, education, emails, messages, monitoring, orders,
                           refresh_log, small_tables, stocks, values)
 from strata.plans.recorded import Recorded
-from strata.session import configure, scratch_path
+from strata.session import PARTITION_BYTES, configure, scratch_path
 from strata.sinks import snapshot, tables as sinks
 from strata.sinks.lake import Lake
 from strata.sources import files, kafka, synthetic
 from strata.streaming import messages as streams
 from strata.streaming import progress, runner
 from workloads import mapping
-from workloads.tables import Tables
+from workloads.tables import EXPANDED, Tables
 
 # The moment the monitoring queries look back from: just after the last event.
 AS_OF = "2024-01-31 00:00:00"
@@ -178,22 +179,30 @@ def client_silver_stream(t: Tables) -> DataFrame:
     return _flat_maps(rows.drop("silver_processed_timestamp", "batch_id"))
 
 
-def _backlog(t: Tables) -> str:
+MESSAGE_BYTES = 1024  # a message in a task's memory: its body and the fields parsed from it
+
+
+def _backlog(t: Tables) -> tuple[str, int]:
     """The event messages as files of a topic in three folders, from new to old: the last three
     tenths of the offsets, then more, then everything, so that later deliveries repeat earlier
-    ones and bring far older messages. Each folder has as many files as Spark writes."""
+    ones and bring far older messages. Each folder has the same number of files, which grows with
+    the messages, so that a file and what a task reads does not; the session's shuffles are sized
+    for the messages too. Returns the path and the number of files in a folder."""
     path = scratch_path(t.spark, "topic")
     raw = mapping.raw_messages(t.events)
-    latest = t.events.agg((F.max("event_id") * 0.7).cast("long")).first()[0]
+    latest, size = t.events.agg((F.max("event_id") * 0.7).cast("long"),
+                                F.count(F.lit(1)) * MESSAGE_BYTES).first()
+    configure(t.spark, size // EXPANDED, EXPANDED)
+    files = max(4, math.ceil(size / PARTITION_BYTES))
     for n, part in enumerate((F.col("kafka_offset") > latest, F.col("kafka_offset") > latest // 2,
                               F.lit(True))):
-        raw.where(part).repartition(4).write.parquet(f"{path}/delivery={n}")
-    return path
+        raw.where(part).repartition(files).write.parquet(f"{path}/delivery={n}")
+    return path, files
 
 
-def _backlog_stream(t: Tables, path: str) -> DataFrame:
-    return t.spark.readStream.schema(schemas.RAW_MESSAGE).option("maxFilesPerTrigger", 4).parquet(
-        f"{path}/*")
+def _backlog_stream(t: Tables, path: str, files: int) -> DataFrame:
+    return t.spark.readStream.schema(schemas.RAW_MESSAGE).option(
+        "maxFilesPerTrigger", files).parquet(f"{path}/*")
 
 
 @query
@@ -201,7 +210,7 @@ def client_silver_backlog(t: Tables) -> DataFrame:
     """A backlog read in three batches, from new to old, with every late message delivered up
     to three times: each message is stored once, and none is lost."""
     root = scratch_path(t.spark, "silver")
-    bronze = messages.accepted(messages.ingest(_backlog_stream(t, _backlog(t))))
+    bronze = messages.accepted(messages.ingest(_backlog_stream(t, *_backlog(t))))
     streams.silver(bronze, f"{root}/rows", f"{root}/log").awaitTermination()
     rows = t.spark.read.parquet(f"{root}/rows")
     return _flat_maps(rows.drop("silver_processed_timestamp", "batch_id"))
@@ -211,11 +220,12 @@ def client_silver_backlog(t: Tables) -> DataFrame:
 def client_gold_hourly_compacted(t: Tables) -> DataFrame:
     """Hourly metrics of the same backlog, gathered after its last batch."""
     root = scratch_path(t.spark, "hourly")
-    bronze = messages.accepted(messages.ingest(_backlog_stream(t, _backlog(t))))
+    path, files = _backlog(t)
+    bronze = messages.accepted(messages.ingest(_backlog_stream(t, path, files)))
     streams.silver(bronze, f"{root}/silver", f"{root}/log1").awaitTermination()
     silver = t.spark.read.parquet(f"{root}/silver")
-    rows = t.spark.readStream.schema(silver.schema).option("maxFilesPerTrigger", 8).parquet(
-        f"{root}/silver")
+    rows = t.spark.readStream.schema(silver.schema).option(
+        "maxFilesPerTrigger", 2 * files).parquet(f"{root}/silver")
     streams.hourly(rows, f"{root}/rows", f"{root}/log2").awaitTermination()
     streams.compact_hourly(t.spark, f"{root}/rows")
     return _rounded(streams.hourly_table(t.spark, f"{root}/rows"))
