@@ -253,9 +253,10 @@ def pack_documents(docs: DataFrame, vocabulary: str, end: int | None = 0, id: st
         def sources() -> Iterator[Source]:
             for batch in batches:
                 for at in range(0, batch.num_rows, TEXTS):
-                    names, texts = (c.to_pylist() for c in batch.slice(at, TEXTS).columns)
-                    for name, ids in zip(names, known.many(texts), strict=True):
-                        yield Source(name, np.frombuffer(ids + last, known.dtype))
+                    names, texts = batch.slice(at, TEXTS).columns
+                    for name, ids in zip(names.to_pylist(),
+                                         known.arrays(texts, last).to_pylist(), strict=True):
+                        yield Source(name, np.frombuffer(ids, known.dtype))
 
         return _packed(sources(), limits, True)
 

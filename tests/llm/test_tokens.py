@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -50,6 +51,43 @@ def test_a_full_cache_changes_nothing(tokenizer, monkeypatch):
     assert len(known.known) + len(known.older) < 200
 
 
+class Counted:
+    """A tokenizer's model that counts what it is asked."""
+
+    def __init__(self, model):
+        self.model, self.calls = model, 0
+
+    def __getattr__(self, name):
+        return getattr(self.model, name)
+
+    def tokenize(self, letters):
+        self.calls += 1
+        return self.model.tokenize(letters)
+
+
+def test_new_pieces_reach_the_model_many_at_a_time(tokenizer):
+    known, rng = tokens.Encoder(BPE), random.Random(2)
+    words = ["".join(rng.choices("etaoinshrdlu", k=9)) + end for end in ["", ".", ",", ";", "é", "7"]
+             for _ in range(500)]
+    known.model = Counted(known.model)
+    text = " ".join(words) + "\n" + "\n\n".join(words[:50])
+    assert np.frombuffer(known.many([text])[0], known.dtype).tolist() == tokenizer.encode(
+        text, add_special_tokens=False).ids
+    assert known.model.calls < 40
+    known.apart = []  # a vocabulary without such letters
+    text = "Another text, of other words."
+    assert np.frombuffer(known.many([text])[0], known.dtype).tolist() == tokenizer.encode(
+        text, add_special_tokens=False).ids
+
+
+def test_texts_are_read_where_they_lie(tokenizer):
+    texts = ["left out", None, "a b.c", "", "語\u3000 x\u2003\n y\xa0 z", " ", "é\u0085 é it's.",
+             "\x1c \x1f", "left out"]
+    found = tokens.encoder(BPE).arrays(pa.array(texts).slice(1, 7), b"\2\0")
+    assert [np.frombuffer(x, "<u2").tolist() for x in found.to_pylist()] == [
+        tokenizer.encode(t or "", add_special_tokens=False).ids + [2] for t in texts[1:8]]
+
+
 def test_other_kinds_of_tokenizer_get_whole_texts():
     from tokenizers import Tokenizer
 
