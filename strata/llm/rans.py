@@ -15,6 +15,7 @@ import numpy as np
 
 BITS, LANES, EVERY = 18, 1024, 128
 BLOCK = LANES * EVERY * 2
+SIDE = 16  # segments decoded at a time
 LOW, WORD = np.uint64(1 << 31), np.uint64(32)
 MASK = np.uint64((1 << 32) - 1)
 HEAD = struct.Struct("<QIIIIQI")  # ids, lanes, steps, every, checkpoints, words, crc of the ids
@@ -27,6 +28,10 @@ class Table:
         self.bits, self.freq = bits, freq.astype(np.uint64)
         self.start = np.concatenate([[0], np.cumsum(self.freq)[:-1]]).astype(np.uint64)
         self.symbol = np.repeat(np.arange(len(freq), dtype=np.uint32), freq.astype(np.int64))
+        # By slot, side by side for one look: the id, its frequency, the slot's place in its range.
+        self.slots = np.zeros((len(self.symbol), 4), np.uint32)
+        self.slots[:, 0], self.slots[:, 1] = self.symbol, self.freq[self.symbol]
+        self.slots[:, 2] = np.arange(len(self.symbol), dtype=np.uint64) - self.start[self.symbol]
 
     @classmethod
     def of(cls, counts: np.ndarray, bits: int = BITS) -> Table:
@@ -60,16 +65,18 @@ def _encode_like(ids: np.ndarray, table: Table, every: int) -> list[tuple]:
     end = np.full(blocks, steps * lanes, np.int64)
     marks = -(-steps // every)
     states, places = np.empty((marks, blocks, lanes), np.uint64), np.empty((marks, blocks), np.int64)
-    row = np.arange(blocks)[:, None] * (steps * lanes)
+    row = np.arange(blocks) * (steps * lanes)
     flat = words.reshape(-1)
     for t in range(steps - 1, -1, -1):
         s = ids[:, t, :]
         f = table.freq[s]
-        over = x >= (f << room)
-        rank = np.cumsum(over, axis=1)
-        end -= rank[:, -1]
-        flat[(row + end[:, None] + rank - 1)[over]] = (x[over] & MASK).astype(np.uint32)
-        x = np.where(over, x >> WORD, x)
+        over = np.flatnonzero(x >= (f << room))
+        each = np.bincount(over // lanes, minlength=blocks)
+        end -= each
+        states_ = x.reshape(-1)
+        full = states_[over]
+        flat[np.repeat(row + end - (np.cumsum(each) - each), each) + np.arange(len(over))] = full
+        states_[over] = full >> WORD
         q = x // f
         x = (q << bits) + (x - q * f) + table.start[s]
         if t % every == 0:
@@ -122,6 +129,9 @@ def decode_segments(parts: list[Segment], table: Table) -> list[np.ndarray]:
     """The ids of each segment; all are decoded side by side."""
     if not parts:
         return []
+    if len(parts) > SIDE:  # what is at hand fits a core's cache
+        return [x for k in range(0, len(parts), SIDE)
+                for x in decode_segments(parts[k:k + SIDE], table)]
     order = sorted(range(len(parts)), key=lambda k: -parts[k].steps)
     ranked = [parts[k] for k in order]
     bits, mask = np.uint64(table.bits), np.uint64((1 << table.bits) - 1)
@@ -134,16 +144,17 @@ def decode_segments(parts: list[Segment], table: Table) -> list[np.ndarray]:
     for t in range(int(steps[0])):
         live = int(np.searchsorted(-steps, -t, "left"))  # steps > t
         now = x[:live]
-        slot = now & mask
-        s = table.symbol[slot]
-        now = table.freq[s] * (now >> bits) + slot - table.start[s]
-        short = now < LOW
-        rank = np.cumsum(short, axis=1)
-        at = (place[:live, None] + rank - 1)[short]
-        now[short] = (now[short] << WORD) | words[at]
-        place[:live] += rank[:, -1]
-        x[:live] = now
-        out[:live, t] = s
+        s = table.slots.take(now & mask, axis=0)
+        now >>= bits
+        now *= s[..., 1]
+        now += s[..., 2]
+        out[:live, t] = s[..., 0]
+        short = np.flatnonzero(now < LOW)
+        each = np.bincount(short // now.shape[1], minlength=live)
+        at = np.repeat(place[:live] - (np.cumsum(each) - each), each) + np.arange(len(short))
+        flat = now.reshape(-1)
+        flat[short] = flat[short] << WORD | words[at]
+        place[:live] += each
     found: list = [None] * len(parts)
     for rank_, k in enumerate(order):
         found[k] = out[rank_, :parts[k].steps].reshape(-1)[:parts[k].real]

@@ -107,8 +107,11 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end: int | None =
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            for value in batch.column(0):
-                total += np.bincount(np.frombuffer(value.as_buffer(), width), minlength=size)
+            for at in range(0, batch.num_rows, 1000):
+                ids = batch.column(0).slice(at, 1000).cast(pa.large_binary())
+                ends = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset:][:len(ids) + 1]
+                total += np.bincount(np.frombuffer(ids.buffers()[2], np.uint8)[
+                    ends[0]:ends[-1]].view(width), minlength=size)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["token", "n"])
 

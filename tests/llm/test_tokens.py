@@ -112,6 +112,19 @@ def test_codec_round_trip_at_all_block_ends(n):
         assert (rans.decode_range(blocks[0], table, first, 5) == ids[first:first + 5]).all()
 
 
+@pytest.mark.parametrize("side", [1, 3, 100])
+def test_segments_are_decoded_some_at_a_time(monkeypatch, side):
+    monkeypatch.setattr(rans, "SIDE", side)
+    ids = np.minimum(np.random.default_rng(side).geometric(0.05, 1003), 300).astype(np.uint16)
+    table = rans.Table.of(np.bincount(ids, minlength=301), 12)
+    blocks = rans.encode(ids, table, lanes=4, every=4, block=64)
+    calls, take = [], rans.decode_segments
+    monkeypatch.setattr(rans, "decode_segments", lambda parts, table: calls.append(
+        len(parts)) or take(parts, table))
+    assert (rans.decode(blocks, table) == ids).all()
+    assert calls[0] == 64 - 1 and sorted(calls[1:], reverse=True)[:1] in ([], [side])
+
+
 def test_code_length_is_near_the_entropy():
     rng = np.random.default_rng(1)
     ids = np.minimum(rng.zipf(1.3, 1_000_000), 50_000).astype(np.uint16)
