@@ -454,6 +454,94 @@ def test_lines_are_linked_by_edit_similarity_alone(spark):
         k: first[plain.root(a)] for k, a in enumerate(lines)}
 
 
+def test_turns_share_out_the_blocks():
+    """Each turn enters some half of the blocks, both together enter each block once."""
+    lines = changed_lines(3, 200)
+    prints = fuzzy_lines.fingerprints(lines, bits=fuzzy_lines.FIRST)
+    owner, value = fuzzy_lines.blocks(lines, prints)
+    turns = [fuzzy_lines.blocks(lines, prints, turn=turn) for turn in fuzzy_lines.TURNS]
+    assert sorted(zip(owner.tolist(), value.tolist())) == sorted(
+        x for turn in turns for x in zip(*(c.tolist() for c in turn)))
+    assert max(len(x) for x, _ in turns) < 0.6 * len(owner)
+
+
+def test_single_entries_are_left_out():
+    rng = np.random.default_rng(2)
+    block = rng.integers(0, 3000, 2000).astype(np.uint64) * np.uint64(12_345_678)
+    columns = [block, np.arange(2000), rng.integers(0, 1 << 60, 2000), rng.integers(0, 256, 2000)]
+    packed = np.concatenate([np.ascontiguousarray(x, "<u8").view(np.uint8).reshape(-1, 8)[:, :n]
+                             for x, n in zip(columns, fuzzy_lines.ENTRY)], axis=1).tobytes()
+    seen, count = np.unique(block, return_counts=True)
+    want = [x for x in zip(*(c.tolist() for c in columns)) if x[0] in set(seen[count > 1].tolist())]
+    found = fuzzy_lines._unpacked([packed[:20 * 700], packed[20 * 700:]])
+    assert list(zip(*(c.tolist() for c in found))) == want
+    assert all(len(c) == 0 for c in fuzzy_lines._unpacked([]))
+
+
+@pytest.mark.parametrize("hot, many", [(1000, 64), (7, 64), (1000, 0), (7, 0)])
+def test_near_pairs_of_clusters(monkeypatch, hot, many):
+    """Listed pairs, and all pairs of the lines given for dense clusters, against brute force;
+    clusters are dealt to parts of three lines, and read some rows at a time."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(fuzzy_lines, "HOT", hot)
+    monkeypatch.setattr(fuzzy_lines, "MANY", many)
+    rng = np.random.default_rng(3)
+    sizes, prints = rng.integers(20, 300, 300), rng.integers(0, 1 << 62, (300, 8)).astype(np.uint64)
+    for k in range(0, 300, 3):  # two of three are near the one before, in bits and in length
+        sizes[k + 1:k + 3] = sizes[k]
+        prints[k + 1:k + 3] = prints[k] ^ (np.uint64(1) << rng.integers(0, 60, (2, 8)).astype(np.uint64))
+    rows, want = [], set()
+    for cluster, n in enumerate(rng.integers(2, 60, 40).tolist()):
+        start = int(rng.integers(0, 300 - n))
+        tags = list(range(start, start + n))
+        parts = -(-n // 3) if cluster % 2 else 1
+        for tag in tags:
+            for part in range(tag % parts, parts):
+                rows.append((start, cluster, part, part != tag % parts, parts, tag,
+                             int(sizes[tag]), prints[tag].tobytes()))
+        for a in tags:
+            for b in range(a + 1, start + n):
+                longer = max(sizes[a], sizes[b])
+                if (abs(sizes[a] - sizes[b]) <= int(0.2 * longer + 1e-9)
+                        and np.bitwise_count(prints[a] ^ prints[b]).sum() <= fuzzy_lines.radius(longer)):
+                    want.add((a, b))
+    rows.sort(key=lambda x: (x[:4], x[5]))
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(
+        zip(*rows[k:k + 10]), [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(),
+                               pa.int64(), pa.int64(), pa.binary()])], names=list("abcdefgh"))
+               for k in range(0, len(rows), 10)]
+    listed, spots = set(), {}
+    for batch in fuzzy_lines._met(iter(batches), 0.8):
+        for spot, a, b, apart in zip(*(c.to_pylist() for c in batch.columns)):
+            if b < 0:
+                spots.setdefault(spot, ([], []))[-1 - b].append(a)
+            else:
+                assert apart == np.bitwise_count(prints[a] ^ prints[b]).sum()
+                listed.add((a, b))
+    given = {tuple(sorted((a, b))) for own, guests in spots.values()
+             for k, a in enumerate(own) for b in own[k + 1:] + guests}
+    assert listed <= want <= listed | given and len(want) > 100
+    assert bool(given) == (many == 0) and bool(listed) == (many > 0)
+
+
+@pytest.mark.parametrize("least", [0.6, 0.8, 0.9])
+def test_pairs_about_the_bound(least):
+    """Nearly as many edits as may be, a little fewer or more, in places of all kinds."""
+    rng, pairs = random.Random(4), []
+    for _ in range(600):
+        a = rng.choices("abcd", k=rng.choice([40, 70, 130, 300]))
+        b = list(a)
+        for _ in range(int(len(a) * (1 - least) * rng.choice([0.8, 1, 1.2, 1.5]))):
+            at = rng.randrange(len(b))
+            b[at:at + rng.randrange(2)] = rng.choices("abcd", k=rng.randrange(2))
+        turn = rng.choice([0, 0, rng.randrange(len(b))])
+        pairs.append(("".join(a), "".join(b[turn:] + b[:turn])))
+    found = edits.near_pairs(pairs, least)
+    assert found == [fuzzy_lines.similar(*x, least) for x in pairs]
+    assert 100 < sum(found) < 500
+
+
 def test_dropped_lines_leave_the_rest_as_it_is(spark):
     rows = [(1, "One line here\n\n  two  \nONE line, here!"), (2, None), (3, ""),
             (4, "two\nthree\n"), (4, "three"), (None, "three\nfour")]
