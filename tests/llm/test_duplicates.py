@@ -1,8 +1,10 @@
 """Exact, SimHash and line duplicates against plain computations."""
 
 import hashlib
+import math
 import random
 import re
+import string
 
 import numpy as np
 import pytest
@@ -278,6 +280,89 @@ def test_many_edit_distances_at_a_time(seed, n):
     assert edits.near_pairs(pairs, 0.8) == [fuzzy_lines.similar(*x) for x in pairs]
 
 
+def test_beginnings_tell_far_texts_apart_and_lose_no_near_ones():
+    """Edits in one stretch at the beginning lead far from the diagonal; edits at the end cost
+    nothing until late. Texts that are not alike go by a part of them."""
+    rng, pairs = random.Random(6), []
+
+    def text(n):
+        return "".join(rng.choice(string.ascii_lowercase) for _ in range(n))
+
+    for k in range(90):
+        a = text(rng.randrange(500, 600))
+        few = int(len(a) * rng.choice([0.05, 0.15, 0.19, 0.21, 0.25]))
+        half = few // 2
+        b = [text(few) + a, a[few:], a[half:] + text(half), text(half) + a[:-half],
+             a[:-few] + text(few), text(len(a))][k % 6]
+        pairs.append((k, *sorted((a, b), key=len), int(0.2 * max(len(a), len(b)) + 1e-9)))
+    pairs = [x for x in pairs if len(x[2]) - len(x[1]) <= x[3]]
+    pairs.sort(key=lambda x: -len(x[2]))
+    near = [edit(a, b) <= most for _, a, b, most in pairs]
+    left = edits._together(pairs, True)
+    assert all(x for x, alike in zip(left, near, strict=True) if alike)
+    assert not any(x for x, (k, *_) in zip(left, pairs, strict=True) if k % 6 == 5)
+    assert edits._together(pairs) == near
+    assert edits.near_pairs([x[1:3] for x in pairs], 0.8) == near
+
+
+def test_tables_of_characters_are_split(monkeypatch):
+    rng = random.Random(9)
+    texts = ["".join(chr(0x4e00 + rng.randrange(3000)) for _ in range(200)) for _ in range(40)]
+    pairs = [(x, x[:90] + x[100:] + "ab" if k % 2 else texts[k - 1]) for k, x in enumerate(texts)]
+    monkeypatch.setattr(edits, "TABLE", 1 << 15)
+    assert edits.near_pairs(pairs, 0.8) == [k % 2 == 1 for k in range(40)]
+
+
+def test_hashes_of_grams():
+    codes = np.random.default_rng(5).integers(0, 1 << 21, 40).astype(np.uint64)
+    for gram in (1, 2, 3, 4, 7, 8, 12):
+        want = [sum(int(c) * int(fuzzy_lines.GRAM) ** (gram - 1 - j)
+                    for j, c in enumerate(codes[k:k + gram])) % 2 ** 64
+                for k in range(len(codes) - gram + 1)]
+        assert np.array_equal(fuzzy_lines._gram_hashes(codes, gram),
+                              fuzzy_lines._mixed(np.array(want, np.uint64)))
+
+
+def connected_plain(entries):
+    """Clusters of (block, line, first bits, step), as sets of lines."""
+    found = set()
+    for block in {x[0] for x in entries}:
+        rows = sorted({x[1:] for x in entries if x[0] == block})
+        uf = Union()
+        for k, a in enumerate(rows):
+            for b in rows[k + 1:]:
+                if (abs(a[2] - b[2]) <= math.ceil(-math.log(0.8) / fuzzy_lines.STEP) + 1
+                        and (a[1] ^ b[1]).bit_count() <= fuzzy_lines.EARLIER):
+                    uf.join(a, b)
+        groups = {}
+        for a in rows:
+            groups.setdefault(uf.root(a), []).append(a[0])
+        found |= {tuple(sorted(x)) for x in groups.values() if len(x) > 1}
+    return found
+
+
+def test_entries_of_a_block_are_connected():
+    """Lines that repeat count once, also where numbers of lines end in the same bits."""
+    rng = random.Random(1)
+    prints = [rng.getrandbits(64) for _ in range(6)]
+    entries = []
+    for block in range(60):
+        for _ in range(rng.randrange(1, 9)):
+            line, print_ = rng.choice([5, 9, 5 + (1 << 24), 9 + (1 << 30), 7]), rng.choice(prints)
+            for _ in range(rng.randrange(16)):
+                print_ ^= 1 << rng.randrange(64)
+            entries += [(block, line, print_, rng.randrange(8))] * rng.randrange(1, 3)
+    packed = b"".join(int(x).to_bytes(n, "little") for row in entries
+                      for x, n in zip(row, fuzzy_lines.ENTRY, strict=True))
+    out = fuzzy_lines._connected([packed], 0.8).to_pydict()
+    found = {}
+    for home, cluster, line in zip(out["home"], out["cluster"], out["id"], strict=True):
+        found.setdefault((cluster, home), []).append(line)
+    assert all(home == min(lines) for (_, home), lines in found.items())
+    assert {tuple(sorted(set(x))) for x in found.values()} == {
+        tuple(sorted(set(x))) for x in connected_plain(entries)}
+
+
 def test_distances_of_very_long_texts():
     rng = random.Random(2)
     a = "".join(rng.choice("abcd ") for _ in range(6000))
